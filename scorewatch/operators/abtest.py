@@ -9,6 +9,7 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.stat import ChiSquareTest
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType
 
 from scorewatch import constants as K
 from scorewatch.functions import labels, numeric
@@ -53,7 +54,7 @@ def chi_square(predictions: DataFrame, feedback: DataFrame, champion: str, chall
     )
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(DoubleType())
 def upper_tail(statistic: pd.Series) -> pd.Series:
     """Upper tail of the chi-square distribution with one degree of freedom."""
     return statistic.map(lambda x: None if pd.isna(x) else math.erfc(math.sqrt(x / 2.0)))

@@ -62,10 +62,14 @@ def read_dates(spark: SparkSession, path: str, date_col: str, first: str, last:
     return spark.read.parquet(path).filter(F.col(date_col).between(F.lit(first).cast("date"), F.lit(last).cast("date")))
 
 
+CSV_OPTIONS = {"header": True, "escape": '"', "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"}
+
+
 def write_csv(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").option("header", True).csv(path)
+    """Text export; timestamps keep their microseconds."""
+    df.write.mode("overwrite").options(**CSV_OPTIONS).csv(path)
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """Read with a declared schema; inference would read the data twice."""
-    return spark.read.option("header", True).schema(schema).csv(path)
+    return spark.read.options(**CSV_OPTIONS).schema(schema).csv(path)
