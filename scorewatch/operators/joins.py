@@ -7,7 +7,7 @@ arrives as a few partial rows, and its shuffle by ``prediction_id`` is the one t
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from scorewatch import constants as K
@@ -124,105 +124,190 @@ def score_log(payload: DataFrame) -> DataFrame:
     )
 
 
+def _time_buckets(ms: Column, band_ms: int, width: int) -> Column:
+    """Every bucket that the band around a time touches: 1 + 2 * band / width of them on average."""
+    bucket = lambda at: F.floor(at / F.lit(width))
+    return F.explode(F.sequence(bucket(ms - (band_ms - 1)), bucket(ms + (band_ms - 1))))
+
+
 def band_join(
     left: DataFrame,
     right: DataFrame,
     left_ms: str,
     right_ms: str,
     band_ms: int,
-    equal: list[tuple[str, str]] | None = None,
+    equal: list[tuple[str, str]],
     bucket_factor: int = 4,
 ) -> DataFrame:
-    """Pairs with ``abs(left_ms - right_ms) < band_ms`` and equal key columns, if any are given.
+    """Pairs with equal keys and ``abs(left_ms - right_ms) < band_ms``.
 
-    Time is cut into buckets of ``bucket_factor`` bands. A left row lies in one bucket; a right row
-    is repeated in each bucket its band touches (1 + 2/bucket_factor times on average), so the join
-    is an equi join on (keys, bucket) with the band as residual and no pair is met twice. Rows that
-    share a key, or a single constant, spread over time instead of meeting in one group.
+    Time is cut into buckets of ``bucket_factor`` bands. A left row lies in one bucket, a right row
+    is repeated in each bucket its band touches, so this is an equi join on (keys, bucket) with the
+    band as residual and no pair is met twice. Callers pass rows that are already counted per key
+    and time, so one key with very many rows at one time is one row here.
     """
     width = band_ms * bucket_factor
-    bucket = lambda ms: F.floor(ms / F.lit(width))
-    lo, hi = bucket(F.col(right_ms) - band_ms), bucket(F.col(right_ms) + band_ms)
-    a = left.withColumn("_bucket", bucket(F.col(left_ms)))
-    b = right.withColumn("_right_bucket", F.explode(F.sequence(lo, hi)))
+    a = left.withColumn("_bucket", F.floor(F.col(left_ms) / F.lit(width)))
+    b = right.withColumn("_right_bucket", _time_buckets(F.col(right_ms), band_ms, width))
     condition = (F.col("_bucket") == F.col("_right_bucket")) & (
         F.abs(F.col(left_ms) - F.col(right_ms)) < F.lit(band_ms)
     )
-    for left_key, right_key in equal or []:
+    for left_key, right_key in equal:
         condition = condition & (F.col(left_key) == F.col(right_key))
     return a.join(b, condition, "inner").drop("_bucket", "_right_bucket")
 
 
-def attribute_to_log(
-    predictions: DataFrame,
-    payload: DataFrame,
-    band_ms: int = K.ATTRIBUTION_BAND_MS,
-    precise: bool = False,
+def call_points(payload: DataFrame, model: Column | None = None) -> DataFrame:
+    """Successful calls counted per score, time and model."""
+    name = F.col("logged_model") if model is None else model
+    return (
+        score_log(payload)
+        .groupBy("logged_score", "timestamp_ms", name.alias("logged_model"))
+        .agg(F.count("*").alias("calls"))
+    )
+
+
+def matched_calls(
+    rows: DataFrame, payload: DataFrame, band_ms: int = K.ATTRIBUTION_BAND_MS
 ) -> DataFrame:
-    """Predictions with every log entry of equal score and near time (columns of both sides).
+    """Rows with each model that served their score at their time.
 
-    There is no shared id: a prediction belongs to the calls with its score less than ``band_ms``
-    away. Prediction times count in whole seconds unless ``precise``. Two calls in range give two
-    rows; see ``attribute_to_nearest``. Scores are compared as numbers, not as text.
+    ``rows`` holds ``prediction_probability`` and ``predicted_at``. There is no shared id: a
+    prediction belongs to the calls with its score less than ``band_ms`` away. Adds
+    ``logged_model``, ``matches`` (calls in the band) and ``nearest_ms``. Prediction times count in
+    whole seconds, so a call meets at most ``2 * band`` seconds of distinct times, however many
+    rows share them; pairs of single rows are never formed. Scores are compared as numbers.
     """
-    timed = predictions.withColumn("predicted_ms", times.epoch_ms(F.col("predicted_at"), precise))
-    return band_join(
-        timed,
-        score_log(payload),
+    timed = rows.withColumn("predicted_ms", times.epoch_ms(F.col("predicted_at")))
+    point = ["prediction_probability", "predicted_ms"]
+    near = band_join(
+        timed.select(*point).distinct(),
+        call_points(payload),
         "predicted_ms",
         "timestamp_ms",
         band_ms,
         equal=[("prediction_probability", "logged_score")],
     )
+    per_model = near.groupBy(*point, "logged_model").agg(
+        F.sum("calls").alias("matches"),
+        F.min(F.abs(F.col("timestamp_ms") - F.col("predicted_ms"))).alias("nearest_ms"),
+    )
+    return timed.join(per_model, point).drop("predicted_ms")
+
 
+def log_attribution(
+    predictions: DataFrame, payload: DataFrame, band_ms: int = K.ATTRIBUTION_BAND_MS
+) -> DataFrame:
+    """Prediction and served model with the number of matching calls and the nearest one.
 
-def log_attribution(predictions: DataFrame, payload: DataFrame, **options) -> DataFrame:
-    """Prediction, served model and time distance of every match."""
-    return attribute_to_log(
-        predictions.select("prediction_id", "image_id", "predicted_at", "prediction_probability"), payload, **options
-    ).select(
+    Joining row by row would repeat a prediction ``matches`` times.
+    """
+    rows = predictions.select("prediction_id", "image_id", "predicted_at", "prediction_probability")
+    return matched_calls(rows, payload, band_ms).select(
         "prediction_id",
         "image_id",
         "predicted_at",
         "prediction_probability",
         F.col("logged_model").alias("model_name"),
-        "timestamp_ms",
-        (F.col("timestamp_ms") - F.col("predicted_ms")).alias("delta_ms"),
+        "matches",
+        "nearest_ms",
     )
 
 
-def log_attribution_nearest(predictions: DataFrame, payload: DataFrame, **options) -> DataFrame:
-    """At most one log entry per prediction: nearest in time, then earliest, then by model name.
+def nearest_in_band(
+    points: DataFrame, calls: DataFrame, keys: list[str], band_ms: int, bucket_factor: int = 4
+) -> DataFrame:
+    """Calls around each point: how many in the band, and the nearest before and after.
 
-    A minimum per prediction instead of a ranking, so matches combine before the shuffle.
+    ``points`` has distinct (keys, ``at_ms``); ``calls`` has distinct (keys, ``at_ms``) with
+    ``calls`` and ``tag``. Both are sorted together inside (keys, time bucket) and read off with
+    running frames, so the work grows with the rows and not with the pairs. Points without a call
+    in the band are left out.
     """
-    matches = log_attribution(predictions, payload, **options)
-    best = F.min(F.struct(F.abs("delta_ms").alias("distance"), "timestamp_ms", "model_name", "delta_ms"))
-    return (
-        matches.groupBy("prediction_id", "image_id", "prediction_probability")
-        .agg(best.alias("best"))
+    width = band_ms * bucket_factor
+    at = F.col("at_ms")
+    asked = points.select(
+        *keys, "at_ms", F.lit(0).cast("long").alias("calls"), F.lit(None).cast("string").alias("tag"),
+        F.lit(True).alias("asked"), F.floor(at / F.lit(width)).alias("_bucket"),
+    )
+    known = calls.select(
+        *keys, "at_ms", "calls", "tag", F.lit(False).alias("asked"),
+        _time_buckets(at, band_ms, width).alias("_bucket"),
+    )
+    up = Window.partitionBy(*keys, "_bucket").orderBy(at)
+    down = Window.partitionBy(*keys, "_bucket").orderBy(at.desc())
+    first = Window.unboundedPreceding
+    call = F.when(~F.col("asked"), F.struct("at_ms", "tag"))
+    upto_band, before_band = (F.sum("calls").over(up.rangeBetween(first, end)) for end in (band_ms - 1, -band_ms))
+    placed = (
+        asked.unionByName(known)
         .select(
-            "prediction_id",
-            "image_id",
-            "prediction_probability",
-            "best.model_name",
-            "best.timestamp_ms",
-            "best.delta_ms",
+            *keys,
+            "at_ms",
+            "asked",
+            (upto_band - F.coalesce(before_band, F.lit(0))).alias("calls_in_band"),
+            F.last(call, ignorenulls=True).over(up.rangeBetween(first, 0)).alias("before"),
+            F.last(call, ignorenulls=True).over(down.rangeBetween(first, 0)).alias("after"),
         )
+        .filter(F.col("asked") & (F.col("calls_in_band") > 0))
+    )
+    distance = lambda side: F.when(
+        F.abs(F.col(f"{side}.at_ms") - at) < band_ms,
+        F.struct(
+            F.abs(F.col(f"{side}.at_ms") - at).alias("nearest_ms"),
+            F.col(f"{side}.at_ms").alias("call_ms"),
+            F.col(f"{side}.tag").alias("tag"),
+        ),
+    )
+    return placed.select(
+        *keys, "at_ms", "calls_in_band", F.least(distance("before"), distance("after")).alias("nearest")
+    )
+
+
+def log_attribution_nearest(
+    predictions: DataFrame, payload: DataFrame, band_ms: int = K.ATTRIBUTION_BAND_MS, precise: bool = True
+) -> DataFrame:
+    """At most one call per prediction: nearest in time, then earliest, then by model name.
+
+    Prediction times count in milliseconds, or in whole seconds unless ``precise``.
+    """
+    timed = predictions.select(
+        "prediction_id",
+        "image_id",
+        "prediction_probability",
+        times.epoch_ms(F.col("predicted_at"), precise).alias("at_ms"),
+    )
+    calls = (
+        score_log(payload)
+        .groupBy(F.col("logged_score").alias("prediction_probability"), F.col("timestamp_ms").alias("at_ms"))
+        .agg(F.count("*").alias("calls"), F.min("logged_model").alias("tag"))
+    )
+    point = ["prediction_probability", "at_ms"]
+    found = nearest_in_band(timed.select(*point).distinct(), calls, ["prediction_probability"], band_ms)
+    return timed.join(found, point).select(
+        "prediction_id",
+        "image_id",
+        "prediction_probability",
+        F.col("nearest.tag").alias("model_name"),
+        F.col("nearest.call_ms").alias("timestamp_ms"),
+        (F.col("nearest.call_ms") - F.col("at_ms")).alias("delta_ms"),
     )
 
 
 def calls_near(predictions: DataFrame, payload: DataFrame, band_ms: int = K.ATTRIBUTION_BAND_MS) -> DataFrame:
     """How many successful calls fall within the band of each prediction, whatever their score.
 
-    Join by time alone: no equal key, only buckets.
+    By time alone, without an equal key.
     """
-    timed = predictions.select("prediction_id", times.epoch_ms(F.col("predicted_at")).alias("predicted_ms"))
-    calls = payload.filter(F.col("status_code") == 200).select("timestamp_ms")
-    near = band_join(timed, calls, "predicted_ms", "timestamp_ms", band_ms)
-    return near.groupBy("prediction_id").agg(
-        F.count("*").alias("calls_in_band"),
-        F.min(F.abs(F.col("timestamp_ms") - F.col("predicted_ms"))).alias("nearest_ms"),
+    timed = predictions.select("prediction_id", times.epoch_ms(F.col("predicted_at")).alias("at_ms"))
+    calls = (
+        payload.filter(F.col("status_code") == 200)
+        .groupBy(F.col("timestamp_ms").alias("at_ms"))
+        .agg(F.count("*").alias("calls"), F.lit(None).cast("string").alias("tag"))
+    )
+    found = nearest_in_band(timed.select("at_ms").distinct(), calls, [], band_ms)
+    return timed.join(found, "at_ms").select(
+        "prediction_id", "calls_in_band", F.col("nearest.nearest_ms").alias("nearest_ms")
     )
 
 

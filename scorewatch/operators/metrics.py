@@ -358,19 +358,33 @@ def served_daily(log: DataFrame, feedback: DataFrame, as_of: Column, days: int =
     )
 
 
-def confusion_by_model(predictions: DataFrame, feedback: DataFrame, payload: DataFrame) -> DataFrame:
-    """Outcome counts per model family, the model taken from the matching log entry."""
-    attributed = joins.attribute_to_log(
-        predictions.select("prediction_id", "predicted_at", "prediction_probability"), payload
-    )
-    # Matches per prediction and family; then one row per review group joins, not one per review.
-    family = labels.model_family(F.col("logged_model"))
-    matches = attributed.groupBy("prediction_id", family.alias("model_display_name")).agg(F.count("*").alias("matches"))
-    return (
+def confusion_by_model(
+    predictions: DataFrame, feedback: DataFrame, payload: DataFrame, band_ms: int = K.ATTRIBUTION_BAND_MS
+) -> DataFrame:
+    """Outcome counts per model family, the model taken from the matching log entries.
+
+    A review counts once per matching call. Reviews are summed per score, second and outcome and
+    calls per score, time and family before they meet, so the sums multiply and no row is repeated.
+    """
+    point = ["prediction_probability", "predicted_ms"]
+    reviews = (
         joins.outcome_tallies_per_prediction(feedback)
-        .join(matches, "prediction_id")
-        .groupBy("model_display_name", "feedback_type")
-        .agg(F.sum(F.col("reviews") * F.col("matches")).alias("count"))
+        .join(
+            predictions.select(
+                "prediction_id", "prediction_probability", times.epoch_ms(F.col("predicted_at")).alias("predicted_ms")
+            ),
+            "prediction_id",
+        )
+        .groupBy(*point, "feedback_type")
+        .agg(F.sum("reviews").alias("reviews"))
+    )
+    calls = joins.call_points(payload, labels.model_family(F.col("logged_model")))
+    near = joins.band_join(
+        reviews, calls, "predicted_ms", "timestamp_ms", band_ms, equal=[("prediction_probability", "logged_score")]
+    )
+    return (
+        near.groupBy(F.col("logged_model").alias("model_display_name"), "feedback_type")
+        .agg(F.sum(F.col("reviews") * F.col("calls")).alias("count"))
         .withColumn("sort_order", labels.outcome_order(F.col("feedback_type")))
         .orderBy("sort_order", "model_display_name")
     )
@@ -430,9 +444,13 @@ def false_positive_feed(
     reviewed = joins.with_feedback(
         predictions.select("prediction_id", "image_id", "predicted_at", "prediction_probability"), alarms
     )
-    matched = joins.attribute_to_log(reviewed, payload)
+    # Every matched row is at least one entry of the feed, so the newest rows are enough; only they
+    # are then repeated once per matching call.
+    matched = joins.matched_calls(reviewed, payload)
+    newest_rows = matched.orderBy(F.desc("timestamp"), "feedback_id", "logged_model").limit(newest)
     return (
-        matched.orderBy(F.desc("timestamp"), "feedback_id", "timestamp_ms", "logged_model")
+        newest_rows.withColumn("call", F.explode(F.sequence(F.lit(1), F.least("matches", F.lit(newest)).cast("int"))))
+        .orderBy(F.desc("timestamp"), "feedback_id", "logged_model", "call")
         .limit(newest)
         .select(
             "feedback_id",

@@ -67,10 +67,10 @@ def _as_of(log: DataFrame):
 
 @query("file_listing")
 def _file_listing(spark, sf_dir):
-    """Customer records written as files of up to 50 records, one folder per class, then listed."""
+    """Customer records written as files of up to 500 records, one folder per class, then listed."""
     folder = shared_folder(spark, "files")
     records = testbed.images(spark, sf_dir).select("category", F.to_json(F.struct("image_id", "file_path")).alias("value"))
-    records.write.partitionBy("category").option("maxRecordsPerFile", 50).text(folder)
+    records.write.partitionBy("category").option("maxRecordsPerFile", 500).text(folder)
     return files.list_images(spark, folder, _run_time(), suffix=".txt")
 
 
@@ -346,7 +346,7 @@ def _log_attribution(spark, sf_dir):
 
 @query("log_attribution_nearest")
 def _log_attribution_nearest(spark, sf_dir):
-    return joins.log_attribution_nearest(testbed.predictions(spark, sf_dir), testbed.payload_log(spark, sf_dir), precise=True)
+    return joins.log_attribution_nearest(testbed.predictions(spark, sf_dir), testbed.payload_log(spark, sf_dir))
 
 
 @query("band_join_bucketed")

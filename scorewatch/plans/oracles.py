@@ -94,7 +94,7 @@ WITH scored AS (
   FROM scored
 ), request_log AS (
   SELECT 'pred-' || event_id AS request_id, served AS served_model_name, ts AS "timestamp",
-    epoch_ms(ts) AS timestamp_ms, CAST(ts AS DATE) AS "date",
+    epoch_us(ts) // 1000 AS timestamp_ms, CAST(ts AS DATE) AS "date",
     '{{"predictions":[[' || score || ']]}}' AS response
   FROM labelled
 ), reviewed AS (
@@ -329,7 +329,7 @@ WHERE radiologist_assessment IN ('PNEUMONIA', 'NORMAL')""",
     "timestamp_formats": """SELECT prediction_id, strftime(predicted_at, '%Y-%m-%d %H:%M:%S') AS display_text,
   strftime(predicted_at, '%Y-%m-%dT%H:%M:%SZ') AS iso_text, DATE_TRUNC('second', predicted_at)::TIMESTAMP AS parsed_at,
   CAST(FLOOR(epoch(predicted_at)) AS BIGINT) * 1000 AS whole_second_ms,
-  make_timestamp(epoch_ms(predicted_at) * 1000) AS from_ms FROM predictions""",
+  make_timestamp(epoch_us(predicted_at) // 1000 * 1000) AS from_ms FROM predictions""",
     "json_score": f"""SELECT request_id, {_SCORE} AS score, string_split(served_model_name, '-')[2] AS version
 FROM request_log""",
     "pending_feedback": f"{_PENDING} ORDER BY p.predicted_at DESC, p.prediction_id LIMIT 10",
@@ -354,12 +354,12 @@ FROM (SELECT p.prediction_id, {_DECODE.format("p.predicted_label")} AS ai_predic
   FROM predictions p LEFT JOIN feedback f ON p.prediction_id = f.prediction_id
   WHERE f.feedback_id IS NULL AND p.confidence_score >= 0.8)""",
     "log_attribution": """SELECT prediction_id, image_id, predicted_at, prediction_probability, logged_model AS model_name,
-  timestamp_ms, timestamp_ms - predicted_ms AS delta_ms FROM attributed""",
+  COUNT(*) AS matches, MIN(ABS(timestamp_ms - predicted_ms)) AS nearest_ms FROM attributed GROUP BY ALL""",
     "log_attribution_nearest": """SELECT prediction_id, image_id, prediction_probability, model_name, timestamp_ms, delta_ms
 FROM (SELECT p.prediction_id, p.image_id, p.prediction_probability, l.model_name, l.timestamp_ms,
-    l.timestamp_ms - epoch_ms(p.predicted_at) AS delta_ms
+    l.timestamp_ms - epoch_us(p.predicted_at) // 1000 AS delta_ms
   FROM predictions p JOIN payload l ON p.prediction_probability = l.logged_score AND l.status_code = 200
-    AND ABS(epoch_ms(p.predicted_at) - l.timestamp_ms) < 5000)
+    AND ABS(epoch_us(p.predicted_at) // 1000 - l.timestamp_ms) < 5000)
 QUALIFY ROW_NUMBER() OVER (PARTITION BY prediction_id ORDER BY ABS(delta_ms), timestamp_ms, model_name) = 1""",
     "band_join_bucketed": """SELECT prediction_id, COUNT(*) AS calls_in_band, MIN(ABS(timestamp_ms - predicted_ms)) AS nearest_ms
 FROM (SELECT prediction_id, CAST(FLOOR(epoch(predicted_at)) AS BIGINT) * 1000 AS predicted_ms FROM predictions) p
@@ -440,7 +440,7 @@ FROM (SELECT a.logged_model AS model_name, f.feedback_type FROM attributed a
 FROM (SELECT f.feedback_id, f."timestamp", a.image_id, a.predicted_at, a.prediction_probability, a.timestamp_ms,
     a.logged_model AS model_name
   FROM attributed a JOIN feedback f ON a.prediction_id = f.prediction_id WHERE f.feedback_type = 'false-positive')
-ORDER BY "timestamp" DESC, feedback_id, timestamp_ms, model_name LIMIT 10""",
+ORDER BY "timestamp" DESC, feedback_id, model_name LIMIT 10""",
     "traffic_share_7d": """SELECT served_model_name, COUNT(*) AS total_predictions,
   ROUND(COUNT(*) * 100.0::DOUBLE / CAST(SUM(COUNT(*)) OVER () AS DOUBLE), 1) AS traffic_pct
 FROM recent GROUP BY served_model_name""",

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
@@ -116,10 +115,11 @@ def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
     not fit become NULL, so a bad row shows up in ``quality_report`` instead of failing the load.
     """
     present = set(df.columns)
-    return df.select(
+    typed = {f.name: f.dataType.simpleString() for f in schema.fields}
+    return df.selectExpr(
         *[
-            (F.col(f.name).try_cast(f.dataType) if f.name in present else F.lit(None).cast(f.dataType)).alias(f.name)
-            for f in schema.fields
+            f"try_cast(`{name}` AS {kind}) AS `{name}`" if name in present else f"CAST(NULL AS {kind}) AS `{name}`"
+            for name, kind in typed.items()
         ]
     )
 

@@ -7,6 +7,8 @@ import uuid
 
 from pyspark.sql import SparkSession
 
+ROCKSDB_STATE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
 _local_root: str | None = None
 
 
@@ -14,7 +16,8 @@ def session_builder(app_name: str = "scorewatch") -> SparkSession.Builder:
     """Settings the operators rely on; sizing is left to the cluster's own configuration.
 
     AQE re-plans joins from measured sizes and splits skewed join partitions; UTC keeps day
-    boundaries the same on every executor.
+    boundaries the same on every executor. Stream state lives in RocksDB, off the heap, and session
+    windows of one reviewer merge before the shuffle.
     """
     return (
         SparkSession.builder.appName(app_name)
@@ -23,6 +26,8 @@ def session_builder(app_name: str = "scorewatch") -> SparkSession.Builder:
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        .config("spark.sql.streaming.stateStore.providerClass", ROCKSDB_STATE)
+        .config("spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition", "true")
     )
 
 
@@ -35,6 +40,7 @@ def local_session(cores: int | str = "*", app_name: str = "scorewatch") -> Spark
         .config("spark.sql.shuffle.partitions", partitions)
         .config("spark.driver.memory", "16g")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")

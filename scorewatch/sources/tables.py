@@ -62,11 +62,16 @@ def read_dates(spark: SparkSession, path: str, date_col: str, first: str, last:
     return spark.read.parquet(path).filter(F.col(date_col).between(F.lit(first).cast("date"), F.lit(last).cast("date")))
 
 
-CSV_OPTIONS = {"header": True, "escape": '"', "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"}
+CSV_OPTIONS = {
+    "header": True,
+    "escape": '"',
+    "nullValue": "\\N",
+    "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
+}
 
 
 def write_csv(df: DataFrame, path: str) -> None:
-    """Text export; timestamps keep their microseconds."""
+    """Text export; timestamps keep their microseconds, NULL stays apart from empty text."""
     df.write.mode("overwrite").options(**CSV_OPTIONS).csv(path)
 
 

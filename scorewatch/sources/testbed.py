@@ -1,8 +1,8 @@
 """Monitored tables derived from the driver's test tables.
 
-One rule set, written here in the DataFrame API and in ``scorewatch.plans.oracles`` in SQL. Every
-event is one scored request; three event types have been reviewed, one of them twice. Rules use
-only integer arithmetic and comparisons, so both engines agree.
+One rule set, written here as Spark SQL expressions and in ``scorewatch.plans.oracles`` as DuckDB
+SQL. Every event is one scored request; three event types have been reviewed, one of them twice.
+Rules use only integer arithmetic and comparisons, so both engines agree.
 """
 
 from __future__ import annotations
@@ -11,19 +11,24 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from scorewatch import constants as K
-from scorewatch.functions import labels, payloads, texts, times
+from scorewatch.functions import times
 from scorewatch.schemas import FEEDBACK, PAYLOAD_LOG, PREDICTIONS, RAW_IMAGES, REQUEST_LOG, conform
 
 CHAMPION = "clf-1"
 CHALLENGER = "clf_alt-1"
-REVIEWED_TYPES = ("view", "click", "purchase")
-REVIEWED_TWICE = "purchase"
+
+_SCORE = "CAST(get_json_object(props, '$.k') AS INT) / 100.0D"
+_SERVED = f"CASE WHEN event_id % 2 = 0 THEN '{CHAMPION}' ELSE '{CHALLENGER}' END"
+_PREDICTION_ID = f"concat('{K.PREDICTION_ID_PREFIX}', event_id)"
+_PREDICTED = "CAST(score > 0.5D AS INT)"
+# The model is wrong where the event value is low, about one time in seven.
+_TRUTH = f"CASE WHEN value < 15.0D THEN 1 - {_PREDICTED} ELSE {_PREDICTED} END"
+_RESPONSE = """concat('{"predictions":[[', score, ']]}')"""
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One test table; zone-less timestamps become UTC timestamps."""
-    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    return with_utc_timestamps(df)
+    return with_utc_timestamps(spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet"))
 
 
 def with_utc_timestamps(df: DataFrame) -> DataFrame:
@@ -39,34 +44,21 @@ def event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return with_utc_timestamps(spark.readStream.schema(schema).parquet(path[:-1] + "[t]"))
 
 
-def _score() -> F.Column:
-    return F.get_json_object("props", "$.k").cast("int") / F.lit(100.0)
-
-
-def _true_label(predicted: F.Column) -> F.Column:
-    """Wrong where the event value is low, about one in seven."""
-    return F.when(F.col("value") < 15.0, 1 - predicted).otherwise(predicted)
-
-
-def _served_name() -> F.Column:
-    return F.when(F.col("event_id") % 2 == 0, CHAMPION).otherwise(CHALLENGER)
-
-
 def predictions_from(events: DataFrame) -> DataFrame:
-    scored = events.withColumn("score", _score()).withColumn("predicted", labels.score_to_label(F.col("score")))
+    scored = events.selectExpr("event_id", "user_id", "value", "ts", f"{_SCORE} AS score")
     return conform(
-        scored.select(
-            F.concat(F.lit(K.PREDICTION_ID_PREFIX), F.col("event_id").cast("string")).alias("prediction_id"),
-            F.col("user_id").cast("string").alias("image_id"),
-            F.col("predicted").alias("predicted_label"),
-            F.col("score").alias("prediction_probability"),
-            labels.confidence(F.col("score")).alias("confidence_score"),
-            _true_label(F.col("predicted")).alias("true_label"),
-            (F.col("predicted") == _true_label(F.col("predicted"))).alias("is_correct"),
-            _served_name().alias("model_name"),
-            F.lit("1").alias("model_version"),
-            F.col("ts").alias("predicted_at"),
-            F.to_date("ts").alias("prediction_date"),
+        scored.selectExpr(
+            f"{_PREDICTION_ID} AS prediction_id",
+            "CAST(user_id AS STRING) AS image_id",
+            f"{_PREDICTED} AS predicted_label",
+            "score AS prediction_probability",
+            "greatest(score, 1.0D - score) AS confidence_score",
+            f"{_TRUTH} AS true_label",
+            "NOT value < 15.0D AS is_correct",
+            f"{_SERVED} AS model_name",
+            "'1' AS model_version",
+            "ts AS predicted_at",
+            "to_date(ts) AS prediction_date",
         ),
         PREDICTIONS,
     )
@@ -78,31 +70,40 @@ def predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def feedback_from(events: DataFrame) -> DataFrame:
     """Reviews, hours after the prediction; the second review agrees with the model."""
-    rounds = F.when(F.col("event_type") == REVIEWED_TWICE, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))
     reviews = (
-        events.filter(F.col("event_type").isin(*REVIEWED_TYPES))
-        .withColumn("predicted", labels.score_to_label(_score()))
-        .withColumn("round", F.explode(rounds))
-        .withColumn("truth", F.when(F.col("round") == 1, _true_label(F.col("predicted"))).otherwise(F.col("predicted")))
+        events.where("event_type IN ('view', 'click', 'purchase')")
+        .selectExpr(
+            "event_id",
+            "user_id",
+            "value",
+            "ts",
+            f"{_SCORE} AS score",
+            "explode(CASE event_type WHEN 'purchase' THEN array(1, 2) ELSE array(1) END) AS round",
+        )
+        .selectExpr(
+            "event_id",
+            "user_id",
+            "ts",
+            "round",
+            f"{_PREDICTED} AS predicted",
+            f"CASE round WHEN 1 THEN {_TRUTH} ELSE {_PREDICTED} END AS truth",
+        )
     )
-    event_id = F.col("event_id")
-    hours = (event_id % 72 + F.when(F.col("round") == 2, 5).otherwise(0)).cast("int")
-    reviewer = F.concat(F.lit("DR"), ((F.col("user_id") + F.col("round") - 1) % 8).cast("string"))
-    digit = event_id % 10
     return conform(
-        reviews.select(
-            F.concat(F.when(F.col("round") == 1, "fb-").otherwise("fb2-"), event_id.cast("string")).alias("feedback_id"),
-            F.concat(F.lit(K.PREDICTION_ID_PREFIX), event_id.cast("string")).alias("prediction_id"),
-            (F.col("ts") + F.make_dt_interval(hours=hours)).alias("timestamp"),
-            labels.decode_label(F.col("truth")).alias("ground_truth"),
-            F.when(
-                event_id % 101 != 0,
-                labels.outcome(labels.decode_label(F.col("predicted")), labels.decode_label(F.col("truth"))),
-            ).alias("feedback_type"),
-            F.when(event_id % 97 != 0, reviewer).alias("radiologist_id"),
-            F.when(digit == 0, K.UNCERTAIN).when(digit == 1, K.NEEDS_REVIEW).otherwise(K.CONFIRMED).alias("confidence"),
-            F.lit("review_app").alias("feedback_source"),
-            F.lit("").alias("notes"),
+        reviews.selectExpr(
+            "concat(CASE round WHEN 1 THEN 'fb-' ELSE 'fb2-' END, event_id) AS feedback_id",
+            f"{_PREDICTION_ID} AS prediction_id",
+            "ts + make_dt_interval(0, CAST(event_id % 72 + CASE round WHEN 2 THEN 5 ELSE 0 END AS INT)) AS timestamp",
+            f"CASE truth WHEN 1 THEN '{K.POSITIVE_CLASS}' ELSE '{K.NEGATIVE_CLASS}' END AS ground_truth",
+            f"""CASE WHEN event_id % 101 = 0 THEN NULL
+                  WHEN predicted = 1 AND truth = 1 THEN '{K.TRUE_POSITIVE}'
+                  WHEN predicted = 1 THEN '{K.FALSE_POSITIVE}'
+                  WHEN truth = 0 THEN '{K.TRUE_NEGATIVE}' ELSE '{K.FALSE_NEGATIVE}' END AS feedback_type""",
+            "CASE WHEN event_id % 97 <> 0 THEN concat('DR', (user_id + round - 1) % 8) END AS radiologist_id",
+            f"""CASE event_id % 10 WHEN 0 THEN '{K.UNCERTAIN}' WHEN 1 THEN '{K.NEEDS_REVIEW}'
+                  ELSE '{K.CONFIRMED}' END AS confidence""",
+            "'review_app' AS feedback_source",
+            "'' AS notes",
         ),
         FEEDBACK,
     )
@@ -114,23 +115,20 @@ def feedback(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def images(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw image metadata, one batch per nation."""
-    customers = table(spark, sf_dir, "customer")
-    image_id = F.col("c_custkey").cast("string")
-    category = F.when(F.col("c_custkey") % 2 == 1, K.POSITIVE_CLASS).otherwise(K.NEGATIVE_CLASS)
-    slot = F.col("c_custkey") % 20
-    ingested_at = F.lit("2024-01-01 06:00:00").cast("timestamp") + F.make_dt_interval(days=F.col("c_nationkey"))
+    rows = table(spark, sf_dir, "customer").selectExpr(
+        "CAST(c_custkey AS STRING) AS image_id",
+        f"concat(c_custkey, '{K.IMAGE_SUFFIX}') AS filename",
+        f"CASE c_custkey % 2 WHEN 1 THEN '{K.POSITIVE_CLASS}' ELSE '{K.NEGATIVE_CLASS}' END AS category",
+        """CASE WHEN c_custkey % 20 < 14 THEN 'train' WHEN c_custkey % 20 < 17 THEN 'val' ELSE 'test' END
+             AS dataset_split""",
+        "floor(abs(c_acctbal)) * 9 AS file_size_bytes",
+        "TIMESTAMP '2024-01-01 06:00:00' + make_dt_interval(c_nationkey) AS ingested_at",
+    )
     return conform(
-        customers.select(
-            image_id.alias("image_id"),
-            F.concat(image_id, F.lit(K.IMAGE_SUFFIX)).alias("filename"),
-            category.alias("category"),
-            F.when(slot < 14, "train").when(slot < 17, "val").otherwise("test").alias("dataset_split"),
-            F.concat(
-                F.lit(f"{K.STORAGE_PREFIX}/volumes/raw/"), F.lower(category), F.lit("/"), image_id, F.lit(K.IMAGE_SUFFIX)
-            ).alias("file_path"),
-            (F.floor(F.abs("c_acctbal")) * 9).alias("file_size_bytes"),
-            ingested_at.alias("ingested_at"),
-            times.batch_id(ingested_at).alias("ingestion_batch_id"),
+        rows.selectExpr(
+            "*",
+            f"concat('{K.STORAGE_PREFIX}/volumes/raw/', lower(category), '/', filename) AS file_path",
+            f"date_format(ingested_at, '{K.BATCH_ID_FORMAT}') AS ingestion_batch_id",
         ),
         RAW_IMAGES,
     )
@@ -138,28 +136,28 @@ def images(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def payload_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Request log with the model name in a map; some rows are late by more than the band."""
-    events = table(spark, sf_dir, "events")
-    name = F.when(F.col("event_id") % 2 == 0, "clf_pytorch").otherwise("clf_classifier")
+    rows = table(spark, sf_dir, "events").selectExpr("event_id", "ts", f"{_SCORE} AS score")
     return conform(
-        events.select(
-            F.create_map(F.lit("model_name"), name).alias("request_metadata"),
-            payloads.score_response(_score()).alias("response"),
-            (F.unix_timestamp("ts") * 1000 + F.col("event_id") % 9 * 1000).alias("timestamp_ms"),
-            F.when(F.col("event_id") % 50 == 0, 500).otherwise(200).alias("status_code"),
+        rows.selectExpr(
+            "map('model_name', CASE event_id % 2 WHEN 0 THEN 'clf_pytorch' ELSE 'clf_classifier' END) AS request_metadata",
+            f"{_RESPONSE} AS response",
+            "unix_timestamp(ts) * 1000 + event_id % 9 * 1000 AS timestamp_ms",
+            "CASE event_id % 50 WHEN 0 THEN 500 ELSE 200 END AS status_code",
         ),
         PAYLOAD_LOG,
     )
 
 
 def request_log_from(events: DataFrame) -> DataFrame:
+    rows = events.selectExpr("event_id", "ts", f"{_SCORE} AS score")
     return conform(
-        events.select(
-            F.concat(F.lit(K.PREDICTION_ID_PREFIX), F.col("event_id").cast("string")).alias("request_id"),
-            _served_name().alias("served_model_name"),
-            F.col("ts").alias("timestamp"),
-            F.unix_millis("ts").alias("timestamp_ms"),
-            F.to_date("ts").alias("date"),
-            payloads.score_response(_score()).alias("response"),
+        rows.selectExpr(
+            f"{_PREDICTION_ID} AS request_id",
+            f"{_SERVED} AS served_model_name",
+            "ts AS timestamp",
+            "unix_millis(ts) AS timestamp_ms",
+            "to_date(ts) AS date",
+            f"{_RESPONSE} AS response",
         ),
         REQUEST_LOG,
     )
@@ -171,37 +169,31 @@ def request_log(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Feature vectors: image id, vector, class."""
-    return table(spark, sf_dir, "embeddings").select(
-        F.col("vec_id").cast("string").alias("image_id"),
-        F.col("embedding").alias("feature_vector"),
-        F.col("label").alias("vector_class"),
+    return table(spark, sf_dir, "embeddings").selectExpr(
+        "CAST(vec_id AS STRING) AS image_id", "embedding AS feature_vector", "label AS vector_class"
     )
 
 
 def evaluation_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Labels and scores of an offline evaluation: id, label, score."""
-    return table(spark, sf_dir, "labels").select(
-        F.col("doc_id").alias("sample_id"),
-        F.col("quality").alias("label"),
-        (F.col("doc_id") % 100 / F.lit(100.0)).alias("score"),
+    return table(spark, sf_dir, "labels").selectExpr(
+        "doc_id AS sample_id", "quality AS label", "doc_id % 100 / 100.0D AS score"
     )
 
 
 def scored_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Labels and scores of every logged prediction: id, label, score."""
-    return predictions(spark, sf_dir).select(
-        F.col("prediction_id").alias("sample_id"),
-        F.col("true_label").alias("label"),
-        F.col("prediction_probability").alias("score"),
+    return predictions(spark, sf_dir).selectExpr(
+        "prediction_id AS sample_id", "true_label AS label", "prediction_probability AS score"
     )
 
 
 def event_versions(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """Two versions of one table: signups are new, errors are gone, clicks have another value."""
-    events = table(spark, sf_dir, "events").select("event_id", "event_type", "value")
-    old = events.filter(F.col("event_type") != "signup")
-    new = events.filter(F.col("event_type") != "error").withColumn(
-        "value", F.when(F.col("event_type") == "click", F.col("value") + 1.0).otherwise(F.col("value"))
+    events = table(spark, sf_dir, "events")
+    old = events.where("event_type <> 'signup'").select("event_id", "event_type", "value")
+    new = events.where("event_type <> 'error'").selectExpr(
+        "event_id", "event_type", "CASE event_type WHEN 'click' THEN value + 1.0D ELSE value END AS value"
     )
     return old, new
 
@@ -209,10 +201,10 @@ def event_versions(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFra
 def image_reload(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """A stored table (train, test) and a later batch (val is new, test has changed)."""
     raw = images(spark, sf_dir)
-    stored = raw.filter(F.col("dataset_split") != "val")
+    stored = raw.where("dataset_split <> 'val'")
     loaded_at = F.lit("2024-02-01 06:00:00").cast("timestamp")
     batch = (
-        raw.filter(F.col("dataset_split") != "train")
+        raw.where("dataset_split <> 'train'")
         .withColumn("file_size_bytes", F.col("file_size_bytes") + 1)
         .withColumn("ingested_at", loaded_at)
         .withColumn("ingestion_batch_id", times.batch_id(loaded_at))
