@@ -64,20 +64,30 @@ def confusion_json() -> Column:
     )
 
 
-def auc(pairs: DataFrame, label: str = "label", score: str = "score", by: Sequence[str] = ()) -> DataFrame:
+def auc(
+    pairs: DataFrame,
+    label: str = "label",
+    score: str = "score",
+    by: Sequence[str] = (),
+    counts: Sequence[Column] = (),
+) -> DataFrame:
     """Area under the ROC curve: share of (positive, negative) pairs ranked right, ties half.
 
     Exact and without a global sort in one task. Rows are first counted per distinct score, then
     the scores are cut into ranges of about equal size; inside a range a window counts the
     negatives below each score, and the negatives of the ranges before are added from one row per
-    range. 0.5 when a group has only one class.
+    range. 0.5 when a group has only one class. ``counts`` are further named counts of the same
+    rows; they ride along, so that a report needs one pass.
     """
     by = list(by)
-    known = pairs.filter(F.col(label).isin(0, 1) & F.col(score).isNotNull())
-    per_score = known.groupBy(*by, score).agg(
-        F.count_if(F.col(label) == 1).cast("double").alias("pos"),
-        F.count_if(F.col(label) == 0).cast("double").alias("neg"),
+    scored = F.col(score).isNotNull()
+    per_score = pairs.groupBy(*by, score).agg(
+        F.count_if(scored & (F.col(label) == 1)).cast("double").alias("pos"),
+        F.count_if(scored & (F.col(label) == 0)).cast("double").alias("neg"),
+        *counts,
     )
+    named = [c for c in per_score.columns if c not in (*by, score, "pos", "neg")]
+    summed = [F.sum(c).alias(c) for c in ("pos", "neg", *named)]
     ranges = int(pairs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     ranged = per_score.repartitionByRange(ranges, *by, score).withColumn("_range", F.spark_partition_id())
     inside = Window.partitionBy(*by, "_range").orderBy(score).rowsBetween(Window.unboundedPreceding, -1)
@@ -85,17 +95,16 @@ def auc(pairs: DataFrame, label: str = "label", score: str = "score", by: Sequen
     per_range = (
         ranged.withColumn("wins", F.col("pos") * (below + F.col("neg") / 2.0))
         .groupBy(*by, "_range")
-        .agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"), F.sum("wins").alias("wins"))
+        .agg(*summed, F.sum("wins").alias("wins"))
     )
     before = Window.partitionBy(*by).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     shifted = per_range.withColumn("neg_before", F.coalesce(F.sum("neg").over(before), F.lit(0.0)))
-    pairs_total = F.sum("pos") * F.sum("neg")
+    wins = F.sum(F.col("wins") + F.col("pos") * F.col("neg_before"))
     return shifted.groupBy(*by).agg(
         F.sum("pos").cast("long").alias("positives"),
         F.sum("neg").cast("long").alias("negatives"),
-        F.coalesce(
-            F.sum(F.col("wins") + F.col("pos") * F.col("neg_before")) / F.nullif(pairs_total, F.lit(0.0)), F.lit(0.5)
-        ).alias("auc"),
+        F.coalesce(wins / F.nullif(F.sum("pos") * F.sum("neg"), F.lit(0.0)), F.lit(0.5)).alias("auc"),
+        *[F.sum(c).alias(c) for c in named],
     )
 
 
@@ -166,9 +175,8 @@ def evaluation_run(predictions: DataFrame, images: DataFrame, evaluated_at: Colu
     """
     group = ["model_name", "model_version", "dataset_split"]
     known = salted_join(predictions, images.select("image_id", "dataset_split"), "image_id", spread_by="prediction_id")
-    counts = binary_eval(known, "true_label", "predicted_label", by=group)
-    areas = auc(known, "true_label", "prediction_probability", by=group)
-    run = counts.join(areas.select(*group, F.col("auc").alias("auc_roc")), group, "left")
+    counts = confusion_counts(F.col("true_label"), F.col("predicted_label"))
+    run = auc(known, "true_label", "prediction_probability", by=group, counts=counts).select("*", *quality_metrics())
     samples = F.col("true_positives") + F.col("false_positives") + F.col("true_negatives") + F.col("false_negatives")
     return conform(
         run.select(
@@ -178,7 +186,7 @@ def evaluation_run(predictions: DataFrame, images: DataFrame, evaluated_at: Colu
             "precision",
             "recall",
             "f1_score",
-            "auc_roc",
+            F.col("auc").alias("auc_roc"),
             confusion_json().alias("confusion_matrix"),
             samples.alias("total_samples"),
             evaluated_at.alias("evaluated_at"),

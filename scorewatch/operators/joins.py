@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from scorewatch import constants as K
 from scorewatch.functions import labels, numeric, payloads, times
 from scorewatch.operators.skew import salted_join
+from scorewatch.session import pin
 
 HITS = "hits"
 MISSES = "misses"
@@ -88,6 +89,12 @@ def performance_live(log: DataFrame, feedback: DataFrame) -> DataFrame:
     )
 
 
+def create_performance_view(log: DataFrame, feedback: DataFrame, name: str = "model_performance_live") -> DataFrame:
+    """Register ``performance_live`` under a name for SQL users, and return it."""
+    performance_live(log, feedback).createOrReplaceTempView(name)
+    return log.sparkSession.table(name)
+
+
 def predictions_with_feedback(log: DataFrame, feedback: DataFrame, newest: int = 10) -> DataFrame:
     """The newest reviewed requests."""
     live = performance_live(log, feedback)
@@ -108,11 +115,12 @@ def unreviewed(predictions: DataFrame, feedback: DataFrame) -> DataFrame:
 def lookup_rows(top: DataFrame, table: DataFrame, key: str) -> DataFrame:
     """Left join of a limited result (``top`` ends in a ``limit``) with a table of any size.
 
-    The table is first cut to the few wanted keys with a broadcast semi join, so it is scanned but
-    not shuffled. The broadcast is bounded by the limit.
+    The limited rows are computed once and kept. The table is cut to the few wanted keys with a
+    broadcast semi join, so it is scanned but not shuffled. The broadcast is bounded by the limit.
     """
-    wanted = F.broadcast(top.select(key).distinct())
-    return top.join(table.join(wanted, key, "left_semi"), key, "left")
+    few = pin(top, "lookup")
+    wanted = F.broadcast(few.select(key).distinct())
+    return few.join(table.join(wanted, key, "left_semi"), key, "left")
 
 
 def score_log(payload: DataFrame) -> DataFrame:

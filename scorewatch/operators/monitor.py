@@ -63,12 +63,13 @@ def drift_alert(
     The two windows are counted from each model's own first and last day with reviews.
     """
     daily = daily_by_model(predictions, feedback)
-    bounds = daily.groupBy("model_name").agg(F.min("day_number").alias("first"), F.max("day_number").alias("last"))
-    in_baseline = F.col("day_number") < F.col("first") + baseline_days
-    in_window = F.col("day_number") > F.col("last") - window_days
+    of_model = Window.partitionBy("model_name")  # one row per day
+    in_baseline = F.col("day_number") < F.col("first_day") + baseline_days
+    in_window = F.col("day_number") > F.col("last_day") - window_days
     part = lambda inside, value: F.sum(F.when(inside, F.col(value)).otherwise(0))
     return (
-        daily.join(bounds, "model_name")
+        daily.withColumn("first_day", F.min("day_number").over(of_model))
+        .withColumn("last_day", F.max("day_number").over(of_model))
         .groupBy("model_name")
         .agg(
             numeric.ratio(part(in_baseline, "hits"), part(in_baseline, "reviews")).alias("baseline_accuracy"),

@@ -307,9 +307,7 @@ def _predictions_with_feedback(spark, sf_dir):
 
 @query("performance_live")
 def _performance_live(spark, sf_dir):
-    live = joins.performance_live(testbed.request_log(spark, sf_dir), testbed.feedback(spark, sf_dir))
-    live.createOrReplaceTempView("model_performance_live")
-    return spark.table("model_performance_live")
+    return joins.create_performance_view(testbed.request_log(spark, sf_dir), testbed.feedback(spark, sf_dir))
 
 
 @query("review_queue")

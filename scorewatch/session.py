@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 ROCKSDB_STATE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
@@ -62,3 +62,13 @@ def shared_folder(spark: SparkSession, purpose: str) -> str:
             _local_root = tempfile.mkdtemp(prefix="scorewatch-")
         root = _local_root
     return f"{root.rstrip('/')}/scorewatch/{purpose}-{uuid.uuid4().hex}"
+
+
+def pin(df: DataFrame, purpose: str) -> DataFrame:
+    """Compute a small result once: write it below the shared folder and read it back.
+
+    For limited results that are used twice; otherwise the work behind the limit would run twice.
+    """
+    path = shared_folder(df.sparkSession, purpose)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

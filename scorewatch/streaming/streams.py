@@ -14,8 +14,11 @@ from scorewatch.functions import labels, numeric
 from scorewatch.session import shared_folder
 
 
-def run_to_end(stream: DataFrame, path: str, checkpoint: str) -> None:
-    """Process everything available into a parquet folder and stop."""
+def run_to_end(stream: DataFrame, path: str, checkpoint: str) -> int:
+    """Process everything available into a parquet folder and stop.
+
+    Returns how many rows came too late and were dropped by the watermark.
+    """
     query = (
         stream.writeStream.format("parquet")
         .option("path", path)
@@ -25,6 +28,7 @@ def run_to_end(stream: DataFrame, path: str, checkpoint: str) -> None:
         .start()
     )
     query.awaitTermination()
+    return sum(state.numRowsDroppedByWatermark for step in query.recentProgress for state in step.stateOperators)
 
 
 def materialize(stream: DataFrame, purpose: str) -> DataFrame:
