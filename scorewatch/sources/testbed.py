@@ -14,6 +14,14 @@ from scorewatch import constants as K
 from scorewatch.functions import times
 from scorewatch.schemas import FEEDBACK, PAYLOAD_LOG, PREDICTIONS, RAW_IMAGES, REQUEST_LOG, conform
 
+# Declared, so that opening a table reads no file footer.
+TABLES = {
+    "events": "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, value DOUBLE, props STRING",
+    "customer": "c_custkey BIGINT, c_name STRING, c_nationkey INT, c_acctbal DOUBLE, c_mktsegment STRING",
+    "embeddings": "vec_id BIGINT, embedding ARRAY<FLOAT>, label INT",
+    "labels": "doc_id BIGINT, quality INT, toxic INT",
+}
+
 CHAMPION = "clf-1"
 CHALLENGER = "clf_alt-1"
 
@@ -28,20 +36,19 @@ _RESPONSE = """concat('{"predictions":[[', score, ']]}')"""
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One test table; zone-less timestamps become UTC timestamps."""
-    return with_utc_timestamps(spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet"))
+    return with_utc_timestamps(spark.read.schema(TABLES[name]).parquet(f"{sf_dir.rstrip('/')}/{name}.parquet"), name)
 
 
-def with_utc_timestamps(df: DataFrame) -> DataFrame:
-    naive = [name for name, kind in df.dtypes if kind == "timestamp_ntz"]
-    return df.withColumns({name: F.col(name).cast("timestamp") for name in naive}) if naive else df
+def with_utc_timestamps(df: DataFrame, name: str) -> DataFrame:
+    columns = [c.split() for c in TABLES[name].split(", ")]
+    return df.selectExpr(*[f"CAST({c} AS TIMESTAMP) AS {c}" if kind == "TIMESTAMP_NTZ" else c for c, kind in columns])
 
 
 def event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The events table as a file stream."""
-    path = f"{sf_dir.rstrip('/')}/events.parquet"
-    schema = spark.read.parquet(path).schema
     # A glob that matches just this name: the stream reader takes a file or a folder of files by it.
-    return with_utc_timestamps(spark.readStream.schema(schema).parquet(path[:-1] + "[t]"))
+    files = spark.readStream.schema(TABLES["events"]).parquet(f"{sf_dir.rstrip('/')}/events.parque[t]")
+    return with_utc_timestamps(files, "events")
 
 
 def predictions_from(events: DataFrame) -> DataFrame:
