@@ -176,7 +176,7 @@ def call_points(payload: DataFrame, model: Column | None = None) -> DataFrame:
 
 
 def matched_calls(
-    rows: DataFrame, payload: DataFrame, band_ms: int = K.ATTRIBUTION_BAND_MS
+    rows: DataFrame, payload: DataFrame, band_ms: int = K.ATTRIBUTION_BAND_MS, spread_by: str | None = None
 ) -> DataFrame:
     """Rows with each model that served their score at their time.
 
@@ -184,7 +184,8 @@ def matched_calls(
     prediction belongs to the calls with its score less than ``band_ms`` away. Adds
     ``logged_model``, ``matches`` (calls in the band) and ``nearest_ms``. Prediction times count in
     whole seconds, so a call meets at most ``2 * band`` seconds of distinct times, however many
-    rows share them; pairs of single rows are never formed. Scores are compared as numbers.
+    rows share them; pairs of single rows are never formed. Scores are compared as numbers. With
+    ``spread_by`` (an id of the rows) a score and second that many rows share is spread.
     """
     timed = rows.withColumn("predicted_ms", times.epoch_ms(F.col("predicted_at")))
     point = ["prediction_probability", "predicted_ms"]
@@ -200,7 +201,8 @@ def matched_calls(
         F.sum("calls").alias("matches"),
         F.min(F.abs(F.col("timestamp_ms") - F.col("predicted_ms"))).alias("nearest_ms"),
     )
-    return timed.join(per_model, point).drop("predicted_ms")
+    found = salted_join(timed, per_model, point, spread_by) if spread_by else timed.join(per_model, point)
+    return found.drop("predicted_ms")
 
 
 def log_attribution(
@@ -211,7 +213,7 @@ def log_attribution(
     Joining row by row would repeat a prediction ``matches`` times.
     """
     rows = predictions.select("prediction_id", "image_id", "predicted_at", "prediction_probability")
-    return matched_calls(rows, payload, band_ms).select(
+    return matched_calls(rows, payload, band_ms, spread_by="prediction_id").select(
         "prediction_id",
         "image_id",
         "predicted_at",
@@ -292,7 +294,7 @@ def log_attribution_nearest(
     )
     point = ["prediction_probability", "at_ms"]
     found = nearest_in_band(timed.select(*point).distinct(), calls, ["prediction_probability"], band_ms)
-    return timed.join(found, point).select(
+    return salted_join(timed, found, point, spread_by="prediction_id").select(
         "prediction_id",
         "image_id",
         "prediction_probability",
@@ -314,7 +316,7 @@ def calls_near(predictions: DataFrame, payload: DataFrame, band_ms: int = K.ATTR
         .agg(F.count("*").alias("calls"), F.lit(None).cast("string").alias("tag"))
     )
     found = nearest_in_band(timed.select("at_ms").distinct(), calls, [], band_ms)
-    return timed.join(found, "at_ms").select(
+    return salted_join(timed, found, "at_ms", spread_by="prediction_id").select(
         "prediction_id", "calls_in_band", F.col("nearest.nearest_ms").alias("nearest_ms")
     )
 

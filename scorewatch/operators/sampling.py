@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 BUCKET_HEX_DIGITS = 4
-SUB_BUCKETS = 64
+SUB_BUCKETS = 256
 AFTER_ANY_HEX = "g"
 
 
@@ -88,7 +88,8 @@ def first_per_class(
     """The first rows by id of every class, up to one quota for all or one per named class.
 
     Two rounds: each class is cut into sub-buckets that keep their own first rows, then the few
-    that remain are ranked together. A class with most of the rows is thus sorted by many tasks.
+    that remain are ranked together. A class with most of the rows is thus sorted by many tasks,
+    and Spark cuts each task's rows to the quota before the shuffle.
     """
     largest = quota if isinstance(quota, int) else max(quota.values())
     part = F.pmod(F.xxhash64(id_col), F.lit(SUB_BUCKETS))

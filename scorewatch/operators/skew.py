@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 TRACKED_ITEMS = 10000
@@ -12,14 +14,24 @@ HOT_ROWS = 100_000
 SALTS = 64
 
 
-def hot_keys(df: DataFrame, key: str, share: float = HOT_SHARE, rows: int = HOT_ROWS) -> list:
-    """Keys that hold at least ``share`` of all rows and at least ``rows`` rows.
+def fingerprint(df: DataFrame, keys: Sequence[str]) -> Column:
+    """64-bit hash of the key columns; 0.0 and -0.0 are one value, as they are to a join."""
+    kinds = dict(df.dtypes)
+    return F.xxhash64(*[F.col(k) + F.lit(0.0) if kinds[k] in ("float", "double") else F.col(k) for k in keys])
+
+
+def hot_keys(df: DataFrame, keys: Sequence[str], share: float = HOT_SHARE, rows: int = HOT_ROWS) -> list[int]:
+    """Fingerprints of the keys that hold at least ``share`` of all rows and at least ``rows`` rows.
 
-    A mergeable frequency sketch: one scan of the key column, no shuffle of rows, at most
-    ``MAX_HOT_KEYS`` values brought to the driver. Keys below the share are left to AQE. The list
+    A mergeable frequency sketch: one scan of the key columns, no shuffle of rows, at most
+    ``MAX_HOT_KEYS`` numbers brought to the driver. Keys below the share are left to AQE. The list
     is fixed before the join is planned, so both sides and every retried task agree on it.
     """
-    top, total = df.agg(F.expr(f"approx_top_k(`{key}`, {MAX_HOT_KEYS}, {TRACKED_ITEMS})"), F.count("*")).first()
+    top, total = (
+        df.select(fingerprint(df, keys).alias("key"))
+        .agg(F.expr(f"approx_top_k(key, {MAX_HOT_KEYS}, {TRACKED_ITEMS})"), F.count("*"))
+        .first()
+    )
     floor = max(share * total, rows)
     return [entry["item"] for entry in top or [] if entry["item"] is not None and entry["count"] >= floor]
 
@@ -27,7 +39,7 @@ def hot_keys(df: DataFrame, key: str, share: float = HOT_SHARE, rows: int = HOT_
 def salted_join(
     many: DataFrame,
     one: DataFrame,
-    key: str,
+    key: str | Sequence[str],
     spread_by: str,
     how: str = "inner",
     salts: int = SALTS,
@@ -39,14 +51,19 @@ def salted_join(
     keys are repeated on the other side. All other keys join as usual, and without hot keys this is
     the plain join. No row is dropped or counted twice: each salted row meets exactly one copy.
     """
+    keys = [key] if isinstance(key, str) else list(key)
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"unsupported join type: {how}")
-    hot = hot_keys(many, key, **hot_options)
+    left_kinds, right_kinds = dict(many.dtypes), dict(one.dtypes)
+    if any(left_kinds[k] != right_kinds[k] for k in keys):
+        raise ValueError("join keys must have the same type on both sides")
+    hot = hot_keys(many, keys, **hot_options)
     if not hot:
-        return many.join(one, key, how)
-    is_hot = F.coalesce(F.col(key).isin(hot), F.lit(False))
+        return many.join(one, keys, how)
     part = F.pmod(F.xxhash64(spread_by), F.lit(salts)).cast("int")
-    copies = F.when(is_hot, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
-    spread = many.withColumn("_salt", F.when(is_hot, part).otherwise(F.lit(0)))
-    repeated = one.withColumn("_salt", F.explode(copies))
-    return spread.join(repeated, [key, "_salt"], how).drop("_salt")
+    every_part = F.sequence(F.lit(0), F.lit(salts - 1))
+    spread = many.withColumn("_salt", F.when(fingerprint(many, keys).isin(hot), part).otherwise(F.lit(0)))
+    repeated = one.withColumn(
+        "_salt", F.explode(F.when(fingerprint(one, keys).isin(hot), every_part).otherwise(F.array(F.lit(0))))
+    )
+    return spread.join(repeated, [*keys, "_salt"], how).drop("_salt")

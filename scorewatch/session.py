@@ -16,8 +16,9 @@ def session_builder(app_name: str = "scorewatch") -> SparkSession.Builder:
     """Settings the operators rely on; sizing is left to the cluster's own configuration.
 
     AQE re-plans joins from measured sizes and splits skewed join partitions; UTC keeps day
-    boundaries the same on every executor. Stream state lives in RocksDB, off the heap, and session
-    windows of one reviewer merge before the shuffle.
+    boundaries the same on every executor. Ranked quotas are cut before the shuffle up to large
+    sizes. Stream state lives in RocksDB, off the heap, and session windows of one reviewer merge
+    before the shuffle.
     """
     return (
         SparkSession.builder.appName(app_name)
@@ -26,6 +27,7 @@ def session_builder(app_name: str = "scorewatch") -> SparkSession.Builder:
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        .config("spark.sql.optimizer.windowGroupLimitThreshold", "100000")
         .config("spark.sql.streaming.stateStore.providerClass", ROCKSDB_STATE)
         .config("spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition", "true")
     )

@@ -48,13 +48,12 @@ def append(df: DataFrame, path: str, schema: T.StructType) -> None:
 
 
 def write_by_date(df: DataFrame, path: str, date_col: str) -> None:
-    """One folder per date, one open file per task and date.
+    """One folder per date, few files each.
 
-    The shuffle key holds a hash of the row beside the date, so a date with a third of all rows is
-    written by many tasks; AQE merges the small ones.
+    The rebalance hint gathers a date's rows by their measured size: small dates share a task, and
+    a date with a third of all rows is written by as many tasks as its size asks for.
     """
-    spread = F.pmod(F.xxhash64(*[c for c in df.columns if not c.startswith("_")]), F.lit(16))
-    df.repartition(F.col(date_col), spread).write.mode("overwrite").partitionBy(date_col).parquet(path)
+    df.hint("rebalance", date_col).write.mode("overwrite").partitionBy(date_col).parquet(path)
 
 
 def read_dates(spark: SparkSession, path: str, date_col: str, first: str, last: str) -> DataFrame:

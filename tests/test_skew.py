@@ -28,9 +28,10 @@ def hot(spark):
 
 def test_hot_keys_are_found(hot):
     feedback, _ = hot
-    assert skew.hot_keys(feedback, "prediction_id", share=0.01, rows=1000) == ["p0"]
-    assert skew.hot_keys(feedback, "prediction_id") == []
-    assert skew.hot_keys(feedback.filter("false"), "prediction_id") == []
+    expected = feedback.filter("prediction_id = 'p0'").select(F.xxhash64("prediction_id")).first()[0]
+    assert skew.hot_keys(feedback, ["prediction_id"], share=0.01, rows=1000) == [expected]
+    assert skew.hot_keys(feedback, ["prediction_id"]) == []
+    assert skew.hot_keys(feedback.filter("false"), ["prediction_id"]) == []
 
 
 @pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
@@ -64,10 +65,30 @@ def test_salted_join_refuses_other_types(hot):
         skew.salted_join(*hot, "prediction_id", "feedback_id", how="full_outer")
 
 
+def test_salted_join_refuses_keys_of_different_types(spark):
+    """Their hashes would differ although the values are equal."""
+    with pytest.raises(ValueError):
+        skew.salted_join(spark.range(3), spark.range(3).selectExpr("CAST(id AS INT) AS id"), "id", "id")
+
+
+def test_salted_join_on_numbers(spark):
+    """Signed zeros and NaN are equal to a join; NULL is equal to nothing."""
+    values = "stack(4, 0.0D, -0.0D, CAST('NaN' AS DOUBLE), NULL) AS (score)"
+    many = spark.range(2000).select("id", F.expr(values))
+    one = spark.createDataFrame([(0.0, "zero"), (float("nan"), "nan"), (None, "null")], "score double, name string")
+    plain = many.join(one, ["score"], "left").groupBy("name").count()
+    salted = skew.salted_join(many, one, ["score"], "id", "left", share=0.01, rows=10).groupBy("name").count()
+    expected = {"zero": 4000, "nan": 2000, None: 2000}
+    assert {r.name: r["count"] for r in plain.collect()} == expected
+    assert {r.name: r["count"] for r in salted.collect()} == expected
+
+
 def test_metrics_with_salting(hot, monkeypatch):
     feedback, predictions = hot
     plain = [tuple(r) for r in metrics.model_metrics(predictions, feedback).collect()]
-    monkeypatch.setattr(skew, "hot_keys", lambda *args, **kwargs: ["p0", "p1"])
+    found = skew.hot_keys(feedback, ["prediction_id"], rows=1000)
+    monkeypatch.setattr(skew, "hot_keys", lambda *args, **kwargs: found)
+    assert len(found) == 1
     assert [tuple(r) for r in metrics.model_metrics(predictions, feedback).collect()] == plain
 
 
