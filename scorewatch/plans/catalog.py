@@ -47,7 +47,11 @@ def plain(df: DataFrame) -> DataFrame:
 
 def query(name: str) -> Callable[[Query], Query]:
     def register(build: Query) -> Query:
-        QUERIES[name] = lambda spark, sf_dir: plain(build(spark, sf_dir))
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            spark.conf.set("spark.sql.session.timeZone", "UTC")  # days and epochs are UTC
+            return plain(build(spark, sf_dir))
+
+        QUERIES[name] = run
         return build
 
     return register

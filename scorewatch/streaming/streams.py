@@ -7,6 +7,9 @@ them.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,19 +17,35 @@ from scorewatch.functions import labels, numeric
 from scorewatch.session import shared_folder
 
 
+@contextmanager
+def one_wave(spark: SparkSession) -> Iterator[None]:
+    """Start stateful queries with no more state partitions than the cluster has cores.
+
+    The number is fixed by a query's first start; one wave of tasks per micro-batch keeps it quick.
+    """
+    name = "spark.sql.shuffle.partitions"
+    configured = spark.conf.get(name)
+    spark.conf.set(name, min(int(configured), spark.sparkContext.defaultParallelism))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, configured)
+
+
 def run_to_end(stream: DataFrame, path: str, checkpoint: str) -> int:
     """Process everything available into a parquet folder and stop.
 
     Returns how many rows came too late and were dropped by the watermark.
     """
-    query = (
-        stream.writeStream.format("parquet")
-        .option("path", path)
-        .option("checkpointLocation", checkpoint)
-        .outputMode("append")
-        .trigger(availableNow=True)
-        .start()
-    )
+    with one_wave(stream.sparkSession):
+        query = (
+            stream.writeStream.format("parquet")
+            .option("path", path)
+            .option("checkpointLocation", checkpoint)
+            .outputMode("append")
+            .trigger(availableNow=True)
+            .start()
+        )
     query.awaitTermination()
     return sum(state.numRowsDroppedByWatermark for step in query.recentProgress for state in step.stateOperators)
 
