@@ -124,10 +124,14 @@ def lookup_rows(top: DataFrame, table: DataFrame, key: str) -> DataFrame:
 
 
 def score_log(payload: DataFrame) -> DataFrame:
-    """Successful calls of the payload log: model, score, time."""
+    """Successful calls of the payload log: model, score, time.
+
+    The score passes through a one-element array: otherwise the NULL check that a join adds would
+    parse every response a second time.
+    """
     return payload.filter(F.col("status_code") == 200).select(
         payloads.metadata_value(F.col("request_metadata"), "model_name").alias("logged_model"),
-        payloads.response_score(F.col("response")).alias("logged_score"),
+        F.explode(F.array(payloads.response_score(F.col("response")))).alias("logged_score"),
         F.col("timestamp_ms"),
     )
 

@@ -64,10 +64,13 @@ def duplicate_keys(df: DataFrame, key: str, rule: str) -> DataFrame:
 
 
 def orphans(df: DataFrame, parent: DataFrame, key: str, rule: str) -> DataFrame:
-    """Rows whose key is not in the parent table. Rows are counted per key before the join."""
+    """Rows whose key is not in the parent table; a missing key is another rule's business.
+
+    Rows are counted per key before the join.
+    """
     per_key = df.groupBy(key).agg(F.count("*").alias("n"))
     known = parent.select(key).distinct().withColumn("known", F.lit(True))
-    missing = F.when(F.col("known").isNull(), F.col("n")).otherwise(0)
+    missing = F.when(F.col("known").isNull() & F.col(key).isNotNull(), F.col("n")).otherwise(0)
     return (
         per_key.join(known, key, "left")
         .agg(F.coalesce(F.sum(missing), F.lit(0)).alias("failed"), F.coalesce(F.sum("n"), F.lit(0)).alias("total"))

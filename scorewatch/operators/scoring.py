@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Sequence
+from typing import Protocol
 
 import numpy as np
 import pandas as pd
@@ -14,15 +15,22 @@ from scorewatch.functions import labels, texts, vectors
 from scorewatch.schemas import IMAGE_FEATURES, PREDICTIONS, conform
 
 
+class BatchModel(Protocol):
+    """What ``batch_score_pandas`` calls: scores for one batch of inputs, vectors or file paths."""
+
+    def predict(self, batch: pd.Series) -> np.ndarray: ...
+
+
 class LogisticModel:
-    """Weights of a linear scorer; ``predict`` takes a batch of vectors at once."""
+    """A linear scorer of vectors; a batch is one matrix product."""
 
     def __init__(self, weights: Sequence[float], bias: float):
         self.weights = np.asarray(weights, dtype="float64")
         self.bias = float(bias)
 
-    def predict(self, batch: np.ndarray) -> np.ndarray:
-        return 1.0 / (1.0 + np.exp(-(batch @ self.weights + self.bias)))
+    def predict(self, batch: pd.Series) -> np.ndarray:
+        matrix = np.stack(batch.to_numpy()).astype("float64")
+        return 1.0 / (1.0 + np.exp(-(matrix @ self.weights + self.bias)))
 
 
 def with_predictions(scored: DataFrame, score: str = "prediction_probability") -> DataFrame:
@@ -41,21 +49,26 @@ def batch_score(vectors_df: DataFrame, weights: Sequence[float], bias: float) ->
     return with_predictions(scored)
 
 
-def batch_score_pandas(vectors_df: DataFrame, load_model: Callable[[], LogisticModel]) -> DataFrame:
+def batch_score_pandas(
+    rows: DataFrame, load_model: Callable[[], BatchModel], input_col: str = "feature_vector"
+) -> DataFrame:
     """Score with any Python model, one Arrow batch at a time.
 
-    ``load_model`` runs once per partition, so weights are read once and not per row.
+    ``load_model`` runs once per partition, so weights are read once and not per row. ``input_col``
+    holds what the model takes: a vector, or the path of a file it opens itself. Rows without an
+    input are dropped.
     """
 
     def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         model = load_model()
         for batch in batches:
             if len(batch):
-                matrix = np.stack(batch["feature_vector"].to_numpy()).astype("float64")
-                yield pd.DataFrame({"image_id": batch["image_id"], "prediction_probability": model.predict(matrix)})
+                yield pd.DataFrame(
+                    {"image_id": batch["image_id"], "prediction_probability": model.predict(batch[input_col])}
+                )
 
-    rows = vectors_df.filter(F.col("feature_vector").isNotNull()).select("image_id", "feature_vector")
-    return with_predictions(rows.mapInPandas(score, "image_id string, prediction_probability double"))
+    inputs = rows.filter(F.col(input_col).isNotNull()).select("image_id", input_col)
+    return with_predictions(inputs.mapInPandas(score, "image_id string, prediction_probability double"))
 
 
 def scale_vectors(vectors_df: DataFrame, divisor: float = 255.0) -> DataFrame:

@@ -25,7 +25,7 @@ TABLES = {
 CHAMPION = "clf-1"
 CHALLENGER = "clf_alt-1"
 
-_SCORE = "CAST(get_json_object(props, '$.k') AS INT) / 100.0D"
+_SCORE = """CAST(regexp_extract(props, '"k": ([0-9]+)', 1) AS INT) / 100.0D"""
 _SERVED = f"CASE WHEN event_id % 2 = 0 THEN '{CHAMPION}' ELSE '{CHALLENGER}' END"
 _PREDICTION_ID = f"concat('{K.PREDICTION_ID_PREFIX}', event_id)"
 _PREDICTED = "CAST(score > 0.5D AS INT)"

@@ -7,13 +7,14 @@ them.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from scorewatch.functions import labels, numeric
+from scorewatch.operators.skew import SALTS
 from scorewatch.session import shared_folder
 
 
@@ -107,10 +108,14 @@ def feedback_join(
     feedback: DataFrame,
     within: str = "96 hours",
     delay: str = "1 day",
+    hot: Sequence[str] = (),
+    salts: int = SALTS,
 ) -> DataFrame:
     """Predictions with their reviews; a prediction without one appears when its time is over.
 
-    The time bound is what lets both sides drop old state.
+    The time bound is what lets both sides drop old state. Reviews of the predictions listed in
+    ``hot`` are spread over ``salts`` parts and only those predictions are repeated; the rows then
+    carry their ``part`` and ``settle_hot`` reads them as if nothing had been spread.
     """
     left = predictions.select("prediction_id", "model_name", "predicted_at").withWatermark("predicted_at", delay)
     right = feedback.select(
@@ -121,9 +126,32 @@ def feedback_join(
         & (F.col("timestamp") >= F.col("predicted_at"))
         & (F.col("timestamp") <= F.col("predicted_at") + F.expr(f"INTERVAL {within}"))
     )
-    return left.join(right, condition, "left_outer").select(
-        "prediction_id", "model_name", "predicted_at", "feedback_id", "feedback_type", "timestamp"
+    columns = ["prediction_id", "model_name", "predicted_at", "feedback_id", "feedback_type", "timestamp"]
+    if hot:
+        parts = F.when(F.col("prediction_id").isin(*hot), F.sequence(F.lit(0), F.lit(salts - 1)))
+        part = F.when(F.col("reviewed_id").isin(*hot), F.pmod(F.xxhash64("feedback_id"), F.lit(salts)).cast("int"))
+        left = left.withColumn("part", F.explode(F.coalesce(parts, F.array(F.lit(0)))))
+        right = right.withColumn("reviewed_part", F.coalesce(part, F.lit(0)))
+        condition = condition & (F.col("part") == F.col("reviewed_part"))
+        columns = [*columns, "part"]
+    return left.join(right, condition, "left_outer").select(*columns)
+
+
+def settle_hot(rows: DataFrame, hot: Sequence[str], salts: int = SALTS) -> DataFrame:
+    """Rows of a spread ``feedback_join`` without their parts.
+
+    A hot prediction has no review only if none of its parts has one.
+    """
+    empty = F.col("feedback_id").isNull() & F.col("prediction_id").isin(*hot)
+    kept = rows.filter(~empty).drop("part")
+    waiting = (
+        rows.filter(empty)
+        .groupBy("prediction_id", "model_name", "predicted_at")
+        .agg(F.count_distinct("part").alias("parts"))
+        .filter(F.col("parts") == salts)
+        .drop("parts")
     )
+    return kept.unionByName(waiting, allowMissingColumns=True)
 
 
 def deduplicate(feedback: DataFrame, keys: list[str], delay: str = "3 days") -> DataFrame:

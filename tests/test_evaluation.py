@@ -149,4 +149,17 @@ def test_rows_without_a_vector_are_dropped(rows):
     load = lambda: scoring.LogisticModel([0.0, 0.0], 0.0)
     assert [r.image_id for r in scoring.batch_score_pandas(frame, load).collect()] == ["a"]
     assert [r.prediction_probability for r in scoring.batch_score(frame, [0.0, 0.0], 0.0).collect()] == [0.5]
+    assert [r.image_id for r in scoring.batch_score_pandas(frame.limit(0), load).collect()] == []
     assert scoring.scale_vectors(frame, 2.0).collect()[0].feature_vector == [0.5, 1.0]
+
+
+def test_models_may_take_paths(rows):
+    """A model that opens files itself gets their paths; it is loaded once per partition."""
+
+    class PathModel:
+        def predict(self, paths):
+            return paths.str.contains("ill").astype("float64").to_numpy()
+
+    frame = rows([("a", "/x/ill.jpeg"), ("b", "/x/good.jpeg"), ("c", None)], "image_id string, file_path string")
+    scored = scoring.batch_score_pandas(frame, PathModel, "file_path").collect()
+    assert {r.image_id: (r.prediction_probability, r.predicted_label) for r in scored} == {"a": (1.0, 1), "b": (0.0, 0)}

@@ -95,6 +95,23 @@ def test_unreviewed_predictions_appear_when_their_time_is_over(spark, source):
     assert got == [("p0", "f"), ("p1", None)]
 
 
+def test_hot_predictions_can_be_spread(spark, source):
+    add, stream = source
+    folder = shared_folder(spark, "test-hot")
+    data = [(f"p{i}", "m", START) for i in range(4)] + [("last", "m", START + dt.timedelta(hours=400))]
+    schema = "prediction_id string, model_name string, predicted_at timestamp"
+    spark.createDataFrame(data, schema).write.parquet(folder)
+    add(*[(f"f{i}", "p0", 5, "true-positive") for i in range(30)], ("g", "p1", 6, "true-positive"), ("h", "x", 400, None))
+    predictions = lambda: spark.readStream.schema(schema).parquet(folder)
+    plain = streams.materialize(streams.feedback_join(predictions(), stream()), "test-plain")
+    hot = ["p0", "p2"]
+    spread = streams.materialize(streams.feedback_join(predictions(), stream(), hot=hot, salts=4), "test-spread")
+    assert spread.filter("prediction_id = 'p0' AND feedback_id IS NOT NULL").select("part").distinct().count() > 1
+    settled = streams.settle_hot(spread, hot, salts=4)
+    assert sorted(map(str, settled.collect())) == sorted(map(str, plain.collect()))
+    assert sorted(r.prediction_id for r in settled.filter("feedback_id IS NULL").collect()) == ["p2", "p3"]
+
+
 def test_windows_match_the_batch_report(spark, sf_dir):
     from scorewatch.operators import metrics
 
