@@ -6,6 +6,7 @@ after it.
 
 from __future__ import annotations
 
+from scorewatch import constants as K
 from scorewatch.plans import catalog as C
 
 _HIT = "feedback_type IN ('true-positive', 'true-negative')"
@@ -32,10 +33,9 @@ _PRECISION = _ratio(_TP, f"({_TP} + {_FP})")
 _RECALL = _ratio(_TP, f"({_TP} + {_FN})")
 _F1 = f"(2.0::DOUBLE * {_PRECISION} * {_RECALL} / NULLIF({_PRECISION} + {_RECALL}, 0))"
 _COUNTS = f"""{_TP} AS true_positives, {_FP} AS false_positives, {_TN} AS true_negatives, {_FN} AS false_negatives"""
-_ORDER = """CASE feedback_type WHEN 'true-positive' THEN 1 WHEN 'false-positive' THEN 2
-  WHEN 'false-negative' THEN 3 WHEN 'true-negative' THEN 4 ELSE 5 END"""
-_FAMILY = """CASE WHEN model_name LIKE '%pytorch%' THEN 'PyTorch'
-  WHEN model_name LIKE '%classifier%' AND model_name NOT LIKE '%pytorch%' THEN 'Keras' ELSE model_name END"""
+_ORDER = f"CAST(COALESCE(list_position({list(K.OUTCOME_REPORT_ORDER)}, feedback_type), 5) AS INTEGER)"
+_FAMILY = f"""CASE WHEN contains(model_name, 'pytorch') THEN '{K.TORCH_FAMILY}'
+  WHEN contains(model_name, 'classifier') THEN '{K.KERAS_FAMILY}' ELSE model_name END"""
 _SCORE = "CAST(response::JSON->>'$.predictions[0][0]' AS DOUBLE)"
 _HASH = "CAST('0x' || substr(md5('{seed}:' || image_id), 1, 8) AS BIGINT)"
 _SHUFFLE = "md5('42:' || image_id) || ':' || image_id"
@@ -413,25 +413,23 @@ FROM reviewed WHERE {_MISS} GROUP BY feedback_type""",
   {_n("confidence = 'confirmed'")} AS confirmed_reviews, {_n("confidence = 'uncertain'")} AS uncertain_reviews,
   {_n("confidence = 'needs_review'")} AS needs_review_count, {_pct(_n(_HIT))} AS ai_agreement_pct,
   MIN("timestamp") AS first_review, MAX("timestamp") AS last_review FROM feedback GROUP BY radiologist_id""",
-    "reviewer_agreement": f"""SELECT COALESCE(radiologist_id, 'Unknown') AS radiologist_id, {_pct(_n(_HIT))} AS agreement_pct,
-  COUNT(*) AS total_reviews, {_n(_MISS)} AS disagreements FROM feedback WHERE radiologist_id IS NOT NULL GROUP BY 1""",
-    "feedback_coverage": f"""SELECT COUNT(DISTINCT p.prediction_id) AS total_predictions,
-  COUNT(DISTINCT f.feedback_id) AS predictions_with_feedback,
-  COUNT(DISTINCT p.prediction_id) - COUNT(DISTINCT f.feedback_id) AS predictions_pending_feedback,
-  {_pct("COUNT(DISTINCT f.feedback_id)", "COUNT(DISTINCT p.prediction_id)")} AS feedback_coverage_pct,
-  COUNT(DISTINCT f.prediction_id) AS reviewed_predictions,
-  {_pct("COUNT(DISTINCT f.prediction_id)", "COUNT(DISTINCT p.prediction_id)")} AS reviewed_pct
-FROM predictions p LEFT JOIN feedback f ON p.prediction_id = f.prediction_id""",
-    "feedback_coverage_7d": f"""SELECT COUNT(DISTINCT p.request_id) AS total_predictions,
-  COUNT(DISTINCT f.feedback_id) AS predictions_with_feedback,
-  {_pct("COUNT(DISTINCT f.feedback_id)", "COUNT(DISTINCT p.request_id)")} AS coverage_pct
-FROM recent p LEFT JOIN feedback f ON p.request_id = f.prediction_id""",
+    "reviewer_agreement": f"""SELECT radiologist_id, {_pct(_n(_HIT))} AS agreement_pct, COUNT(*) AS total_reviews,
+  {_n(_MISS)} AS disagreements FROM feedback GROUP BY radiologist_id HAVING radiologist_id IS NOT NULL""",
+    "feedback_coverage": f"""SELECT total AS total_predictions, reviews AS predictions_with_feedback,
+  total - reviews AS predictions_pending_feedback, {_pct("reviews", "total")} AS feedback_coverage_pct,
+  seen AS reviewed_predictions, {_pct("seen", "total")} AS reviewed_pct
+FROM (SELECT (SELECT COUNT(DISTINCT prediction_id) FROM predictions) AS total,
+  COUNT(DISTINCT feedback_id) AS reviews, COUNT(DISTINCT prediction_id) AS seen FROM reviewed)""",
+    "feedback_coverage_7d": f"""SELECT total AS total_predictions, reviews AS predictions_with_feedback,
+  {_pct("reviews", "total")} AS coverage_pct
+FROM (SELECT (SELECT COUNT(DISTINCT request_id) FROM recent) AS total,
+  COUNT(DISTINCT feedback_id) AS reviews FROM {_RECENT_SERVED})""",
     "errors_by_split": """SELECT i.dataset_split, r.feedback_type, COUNT(*) AS "count"
 FROM reviewed r JOIN images i ON r.image_id = i.image_id GROUP BY ALL""",
-    "accuracy_by_size": f"""SELECT CASE WHEN file_size_bytes < 30000 THEN 'Small (<30KB)'
-    WHEN file_size_bytes < 60000 THEN 'Medium (30-60KB)' ELSE 'Large (>60KB)' END AS size_category,
+    "accuracy_by_size": f"""SELECT CASE WHEN i.file_size_bytes >= {K.MEDIUM_LIMIT_BYTES} THEN '{K.LARGE_BAND}'
+    WHEN i.file_size_bytes >= {K.SMALL_LIMIT_BYTES} THEN '{K.MEDIUM_BAND}' ELSE '{K.SMALL_BAND}' END AS size_category,
   {_pct(_n(_HIT))} AS accuracy_pct, COUNT(*) AS total_predictions
-FROM reviewed r JOIN images i ON r.image_id = i.image_id GROUP BY 1""",
+FROM images i JOIN reviewed r USING (image_id) GROUP BY 1""",
     "confusion_by_model": f"""SELECT {_FAMILY} AS model_display_name, feedback_type, COUNT(*) AS "count", {_ORDER} AS sort_order
 FROM (SELECT a.logged_model AS model_name, f.feedback_type FROM attributed a
   JOIN feedback f ON a.prediction_id = f.prediction_id) GROUP BY ALL""",
