@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from scorewatch.llm import jaccard_join, packing, quality, suffix_dedup, toxicity
-from scorewatch.session import pin
+from scorewatch.llm.common import pin
 
 
 def _labels(spark: SparkSession, sf_dir: str) -> DataFrame:

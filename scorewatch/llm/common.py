@@ -9,6 +9,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from scorewatch.session import shared_folder
+
 #: ASCII white space; a word is a maximal run of other characters.
 SPACES = " \t\n\x0b\f\r"
 SPACE_RUN = r"[\x20\x09-\x0D]+"
@@ -16,6 +18,13 @@ SPACE_RUN = r"[\x20\x09-\x0D]+"
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
+def pin(df: DataFrame, purpose: str) -> DataFrame:
+    """Write a table below the shared folder, compressed well, and read it back; cuts the lineage."""
+    path = shared_folder(df.sparkSession, purpose)
+    df.write.option("compression", "zstd").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def words_of(text: Column) -> Column:
     """Words of a text as an array; NULL and blank texts have none."""
     bare = F.btrim(F.coalesce(text, F.lit("")), F.lit(SPACES))

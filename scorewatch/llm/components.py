@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from scorewatch.session import pin
+from scorewatch.llm.common import pin
+
 
 
 def _large_star(edges: DataFrame) -> DataFrame:

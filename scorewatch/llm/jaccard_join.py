@@ -15,13 +15,14 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from scorewatch.llm.common import SPACES, mix64, shingle_hashes, word_hashes
+from scorewatch.llm.common import mix64, pin, shingle_hashes, SPACES, word_hashes
 from scorewatch.llm.components import components
 from scorewatch.llm.signature_tree import join_groups
-from scorewatch.session import pin
 
 SHINGLE = 5
 PERCENT = 75
+#: The prefixes of linked sets share at least one in so many of the smaller set's tokens.
+SHARED_PART = 16
 #: Buckets of the token counts that order tokens from rare to frequent.
 COUNTERS = 1 << 20
 SLICES = 16
@@ -72,9 +73,14 @@ def token_counts(docs: DataFrame) -> np.ndarray:
     return out.ravel()
 
 
+def common_least(size: int) -> int:
+    """Tokens that the prefixes of two linked sets share, if the smaller has ``size`` tokens."""
+    return max(1, size // SHARED_PART)
+
+
 def prefix_length(size: int, percent: int = PERCENT) -> int:
-    """Tokens, in one order for all sets, of which two linked sets must share one."""
-    return size - math.ceil(percent * size / 100) + 1
+    """Tokens, in one order for all sets, of which two linked sets share ``common_least`` ones."""
+    return size - math.ceil(percent * size / 100) + common_least(size)
 
 
 def sets_table(docs: DataFrame, counts: np.ndarray, percent: int = PERCENT) -> DataFrame:
@@ -110,16 +116,76 @@ def sets_table(docs: DataFrame, counts: np.ndarray, percent: int = PERCENT) -> D
     return docs.select("doc_id", "text").mapInArrow(measure, schema)
 
 
-def candidate_edges(sets: DataFrame) -> DataFrame:
-    """Edges (a, b) between sets that follow each other in the list of a prefix token.
+def _ranged(rows: DataFrame) -> DataFrame:
+    """(token, s1) rows in sorted ranges, so the list of a frequent token spreads over tasks."""
+    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return rows.repartitionByRange(parts, "token", "s1").sortWithinPartitions("token", "s1")
 
-    Rows are dealt in ranges of (token, set), so the list of a frequent token spreads over tasks.
-    Each task sends its first and last row along, and the lists that go on in the next task are tied
-    together on the driver, two rows per task.
+
+def shared_rows(sets: DataFrame) -> DataFrame:
+    """(token, s1) rows of the prefixes whose token occurs in two or more sets.
+
+    The first and the last token of a task may go on elsewhere and are always kept.
     """
     rows = sets.where("doc_id is not null").select(F.explode("prefix").alias("token"), "s1")
-    parts = int(sets.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    dealt = rows.repartitionByRange(parts, "token", "s1").sortWithinPartitions("token", "s1")
+
+    def share(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: tuple[np.ndarray, np.ndarray] | None = None
+        first = True
+
+        def settled(token: np.ndarray, node: np.ndarray, edge: bool) -> pa.RecordBatch:
+            new = np.ones(len(token), bool)
+            new[1:] = (token[1:] != token[:-1]) | (node[1:] != node[:-1])
+            token, node = token[new], node[new]
+            start = np.flatnonzero(np.concatenate([[True], token[1:] != token[:-1]]))
+            counts = np.diff(np.concatenate([start, [len(token)]]))
+            keep = counts > 1
+            if edge and len(keep):
+                keep[0] = True
+            keep = np.repeat(keep, counts)
+            return pa.RecordBatch.from_arrays([pa.array(token[keep]), pa.array(node[keep])], names=["token", "s1"])
+
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            token, node = (batch.column(k).to_numpy(zero_copy_only=False) for k in range(2))
+            if held is not None:
+                token, node = np.concatenate([held[0], token]), np.concatenate([held[1], node])
+            # The last token's rows wait for the next batch; of a long list only the last two stay.
+            cut = int(np.searchsorted(token, token[-1]))
+            if len(token) - cut > 100_000:
+                cut = len(token) - 2
+            if cut:
+                yield settled(token[:cut], node[:cut], first)
+                first = False
+            held = token[cut:], node[cut:]
+        if held is not None:
+            yield pa.RecordBatch.from_arrays([pa.array(held[0]), pa.array(held[1])], names=["token", "s1"])
+
+    return pin(_ranged(rows).mapInArrow(share, "token long, s1 long"), "jaccard-shared")
+
+
+def _enough(rows: DataFrame, least: DataFrame) -> DataFrame:
+    """Rows of the sets that still share as many tokens as a link needs, and of tokens still shared."""
+    counted = rows.groupBy("s1").agg(F.count("*").alias("n"))
+    alive = counted.join(least, "s1").where("n >= least").select("s1")
+    rows = rows.join(alive, "s1", "left_semi")
+    tokens = rows.groupBy("token").agg(F.min("s1").alias("a"), F.max("s1").alias("b")).where("a <> b").select("token")
+    return rows.join(tokens, "token", "left_semi")
+
+
+def candidate_edges(sets: DataFrame, classes: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """Edges (a, b) between sets that follow each other in the list of a shared prefix token.
+
+    Sets that share too few prefix tokens with others for any link are left out first, twice over. Each
+    task sends its first and last row along, and the lists that go on in the next task are tied
+    together on the driver, two rows per task.
+    """
+    smaller = F.ceil(F.col("n_shingles") * percent / 100)
+    need = F.greatest(F.lit(1), F.floor(smaller / SHARED_PART)).alias("least")
+    least = classes.select("s1", need).groupBy("s1").agg(F.min("least").alias("least"))
+    rows = pin(_enough(_enough(shared_rows(sets).distinct(), least), least), "jaccard-rows")
+    dealt = _ranged(rows)
 
     def chain(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = ["end", "token", "a", "b"]
@@ -158,12 +224,12 @@ def _tree_links(table: pa.Table, percent: int) -> pa.Table:
     groups = table.column("piece").to_pylist()
     docs = table.column("rep").to_pylist()
     texts = table.column("text")
-    by_group: dict[str, list[int]] = {}
+    by_group: dict[str, dict[int, int]] = {}
     for k, group in enumerate(groups):
-        by_group.setdefault(group, []).append(k)
+        by_group.setdefault(group, {})[docs[k]] = k
     a, b = [], []
-    for rows in by_group.values():
-        rows.sort(key=lambda k: docs[k])
+    for group in by_group.values():
+        rows = [group[doc] for doc in sorted(group)]
         first = join_groups([shingle_set(texts[k].as_py()) for k in rows], percent)
         for k, root in zip(rows, first, strict=True):
             if docs[k] != docs[rows[root]]:
@@ -180,7 +246,7 @@ def link_classes(docs: DataFrame, sets: DataFrame, percent: int = PERCENT) -> tu
         .agg(F.min("doc_id").alias("rep")),
         "jaccard-classes",
     )
-    coarse = components(candidate_edges(sets), "jaccard-coarse").withColumnRenamed("node", "s1")
+    coarse = components(candidate_edges(sets, classes, percent), "jaccard-coarse").withColumnRenamed("node", "s1")
     members = pin(classes.join(coarse, "s1").select("rep", "root", "n_shingles"), "jaccard-members")
     sizes = members.groupBy("root").agg(F.sum("n_shingles").alias("tokens"))
     total = sizes.agg(F.sum("tokens")).first()[0] or 0
@@ -210,7 +276,7 @@ def link_classes(docs: DataFrame, sets: DataFrame, percent: int = PERCENT) -> tu
     )
     pieces = small.union(tiles)
     texts = docs.where("doc_id is not null").select(F.col("doc_id").alias("rep"), "text")
-    given = pieces.join(texts, "rep").dropDuplicates(["rep", "piece"])
+    given = pieces.join(texts, "rep")
     work = lambda table: _tree_links(table, percent)
     return classes, given.groupBy("block").applyInArrow(work, "a long, b long")
 

@@ -6,8 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from scorewatch.llm import grams as G
-from scorewatch.llm.common import words_of
-from scorewatch.session import pin
+from scorewatch.llm.common import pin, words_of
 
 #: Share of the documents that the sample holds.
 SHARE = 0.9

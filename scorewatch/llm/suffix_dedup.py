@@ -12,6 +12,7 @@ from __future__ import annotations
 import hashlib
 import math
 import struct
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -19,16 +20,17 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from scorewatch.llm.common import mix64, pieces_of, rows_out
+from scorewatch.llm.common import mix64, pieces_of, pin, rows_out
 from scorewatch.llm.suffix_array import common_prefixes, suffix_array
-from scorewatch.session import pin
 
 WINDOW = 50
-#: Length of the inner strings, a power of two plus half of it, and how many of them a window has.
-INNER = 24
+#: Length of the inner strings, a power of two, and how many of them a window has.
+INNER = 32
 SPAN = WINDOW - INNER + 1
 #: Bytes of pieces that one shard sorts. A document with more is resolved window by window.
-SHARD_BYTES = 2 << 20
+SHARD_BYTES = 1 << 20
+#: Bytes of texts that are hashed at once, few enough for the processor's cache.
+HASHED_BYTES = 1 << 17
 
 OUTPUT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
 
@@ -36,16 +38,11 @@ OUTPUT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 s
 def inner_hashes(data: np.ndarray) -> np.ndarray:
     """Hash of the inner string at every position that has one, joined from halves."""
     hashed = mix64((data.astype(np.uint64) + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15))
-    odd = np.uint64(0xD6E8FEB86659FD93)
     size = 1
-    kept = hashed
-    while 2 * size <= INNER:
-        hashed = hashed[: len(hashed) - size] * odd + (hashed[size:] ^ (hashed[size:] >> np.uint64(29)))
+    while size < INNER:
+        hashed = hashed[: len(hashed) - size] * np.uint64(0xD6E8FEB86659FD93) + (hashed[size:] ^ (hashed[size:] >> np.uint64(29)))
         size *= 2
-        if size == INNER - (1 << (INNER.bit_length() - 1)):
-            kept = hashed
-    n = len(data) - INNER + 1
-    return mix64(hashed[:n] * odd + kept[size : size + n])
+    return mix64(hashed)
 
 
 def window_marks(hashes: np.ndarray) -> np.ndarray:
@@ -73,6 +70,18 @@ def _marks(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.n
     return hashes, window_marks(hashes), starts, starts + np.maximum(sizes - WINDOW + 1, 0)
 
 
+def _cached(texts: list[bytes]) -> Iterator[tuple[int, list[bytes]]]:
+    """Consecutive texts of about ``HASHED_BYTES``, with the index of the first."""
+    first, size = 0, 0
+    for k, text in enumerate(texts):
+        size += len(text)
+        if size >= HASHED_BYTES:
+            yield first, texts[first : k + 1]
+            first, size = k + 1, 0
+    if first < len(texts):
+        yield first, texts[first:]
+
+
 def _dealt(doc_ids: np.ndarray, parts: int) -> np.ndarray:
     return (mix64(doc_ids.view(np.uint64)) % np.uint64(parts)).astype(np.int64)
 
@@ -98,14 +107,15 @@ def mark_rows(docs: DataFrame, parts: int) -> DataFrame:
         for batch in pieces_of(batches):
             ids = np.array(batch.column("doc_id").to_pylist(), np.int64)
             texts = [t.encode() for t in batch.column("text").to_pylist()]
-            _, marks, firsts, ends = _marks(texts)
             found, owner = [], []
-            for k, (a, b) in enumerate(zip(firsts.tolist(), ends.tolist(), strict=True)):
-                if b > a:
-                    own = marks[a:b]
-                    own = np.unique(own[np.concatenate([[True], own[1:] != own[:-1]])])
-                    found.append(own)
-                    owner.append(np.full(len(own), k))
+            for first, some in _cached(texts):
+                _, marks, firsts, ends = _marks(some)
+                for k, (a, b) in enumerate(zip(firsts.tolist(), ends.tolist(), strict=True), first):
+                    if b > a:
+                        own = marks[a:b]
+                        own = np.unique(own[np.concatenate([[True], own[1:] != own[:-1]])])
+                        found.append(own)
+                        owner.append(np.full(len(own), k))
             if not found:
                 continue
             mark, owner = np.concatenate(found), np.concatenate(owner)
@@ -233,8 +243,9 @@ def cut_pieces(texts: DataFrame, shared: DataFrame) -> DataFrame:
         table, at = np.unique(table, return_index=True)
         leader_of = np.concatenate(leaders)[at] if marks else np.zeros(0, np.int64)
         low = np.uint64((1 << 48) - 1)
-        for from_ in range(0, len(names), 256):
-            some = blobs[from_ : from_ + 256]
+        distinct, code = np.unique(leader_of, return_inverse=True)
+        for from_ in range(0, len(names), 32):
+            some = blobs[from_ : from_ + 32]
             plain = [zstandard.decompress(b) if b else b"" for b in some]
             hashes, windows, firsts, ends = _marks(plain)
             ids = np.unique(windows & low) if len(windows) else windows
@@ -243,7 +254,6 @@ def cut_pieces(texts: DataFrame, shared: DataFrame) -> DataFrame:
             # Marks by rank, so that leaders that are negative ids need no place of their own.
             rank = np.where(found, pos, -1)
             every = rank[np.searchsorted(ids, windows & low)] if len(windows) else np.zeros(0, np.int64)
-            distinct, code = np.unique(leader_of, return_inverse=True)
             every = np.where(every >= 0, code[every] if len(code) else -1, -1)
             rows = []
             for k, (text, a, b) in enumerate(zip(plain, firsts.tolist(), ends.tolist(), strict=True)):

@@ -14,8 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from scorewatch.llm.common import id_share, map_batches, rows_out
-from scorewatch.session import pin
+from scorewatch.llm.common import id_share, map_batches, pin, rows_out
 
 FOLDS, HELD_FOLD = 5, 0
 #: Labelled documents to learn from (those of lowest hashed id), and their shares for the lexicon,
