@@ -1,7 +1,9 @@
 """Near duplicates by the Jaccard similarity of word shingles, joined in signature trees.
 
-Sets that share none of their rarest tokens cannot be similar enough. Chains through these tokens give
-coarse groups, every link lies inside one of them, and each group is joined exactly in a tree.
+A set whose tokens are mostly its own cannot be linked; one exchange of packed tokens finds the others.
+Of these, sets that share none of their rarest tokens cannot be similar enough. Chains through such
+tokens give coarse groups, every link lies inside one of them, and each group is joined exactly in a
+tree.
 """
 
 from __future__ import annotations
@@ -15,14 +17,12 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from scorewatch.llm.common import mix64, pin, shingle_hashes, SPACES, word_hashes
+from scorewatch.llm.common import SPACES, mix64, pieces_of, pin, shingle_hashes, word_hashes
 from scorewatch.llm.components import components
 from scorewatch.llm.signature_tree import join_groups
 
 SHINGLE = 5
 PERCENT = 75
-#: The prefixes of linked sets share at least one in so many of the smaller set's tokens.
-SHARED_PART = 16
 #: Buckets of the token counts that order tokens from rare to frequent.
 COUNTERS = 1 << 20
 SLICES = 16
@@ -40,7 +40,7 @@ def shingle_set(text: str | None) -> np.ndarray:
 
 
 def token_counts(docs: DataFrame) -> np.ndarray:
-    """How often the tokens of each bucket occur, over all documents.
+    """How often the tokens of each bucket occur, over all given texts.
 
     A task adds up its documents in an array of fixed size and sends it in slices; only the sum of
     ``COUNTERS`` numbers reaches the driver.
@@ -73,119 +73,142 @@ def token_counts(docs: DataFrame) -> np.ndarray:
     return out.ravel()
 
 
-def common_least(size: int) -> int:
-    """Tokens that the prefixes of two linked sets share, if the smaller has ``size`` tokens."""
-    return max(1, size // SHARED_PART)
+def prefix_length(size: int, percent: int = PERCENT) -> int:
+    """Tokens, in one order for all sets, of which two linked sets must share one."""
+    return size - math.ceil(percent * size / 100) + 1
 
 
-def prefix_length(size: int, percent: int = PERCENT) -> int:
-    """Tokens, in one order for all sets, of which two linked sets share ``common_least`` ones."""
-    return size - math.ceil(percent * size / 100) + common_least(size)
+def identity(tokens: np.ndarray) -> tuple[int, int]:
+    """128-bit identity of a set, in two signed numbers."""
+    marks = mix64(tokens), mix64(tokens ^ np.uint64(0x5851F42D4C957F2D))
+    return tuple(int(m.sum().astype(np.int64)) if len(m) else 0 for m in marks)
 
 
-def sets_table(docs: DataFrame, counts: np.ndarray, percent: int = PERCENT) -> DataFrame:
-    """Size, 128-bit identity and prefix of each document's set; a task gives equal sets' prefix once."""
-    order = np.minimum(np.frombuffer(counts, np.uint32), 65535).astype(np.uint16)
+def sets_table(docs: DataFrame) -> DataFrame:
+    """Size and identity of each document's set."""
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: set[tuple[int, int]] = set()
         for batch in batches:
-            sizes, first, second, prefixes = [], [], [], []
-            for text in batch.column(1):
-                tokens = shingle_set(text.as_py())
-                marks = mix64(tokens), mix64(tokens ^ np.uint64(0x5851F42D4C957F2D))
-                key = tuple(int(m.sum().astype(np.int64)) if len(m) else 0 for m in marks)
-                sizes.append(len(tokens))
-                first.append(key[0])
-                second.append(key[1])
-                if key in seen or not len(tokens):
-                    prefixes.append([])
-                    continue
-                if len(seen) < 1_000_000:
-                    seen.add(key)
-                rank = order[((tokens >> np.uint64(20)) % np.uint64(COUNTERS)).astype(np.int64)]
-                rare = np.lexsort((tokens, rank))[: prefix_length(len(tokens), percent)]
-                prefixes.append(tokens[rare].view(np.int64))
-            columns = [
-                batch.column(0), pa.array(sizes, pa.int64()), pa.array(first, pa.int64()), pa.array(second, pa.int64()),
-                pa.array(prefixes, pa.list_(pa.int64())),
-            ]
-            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "n_shingles", "s1", "s2", "prefix"])
+            sets = [shingle_set(text.as_py()) for text in batch.column(1)]
+            first, second = zip(*map(identity, sets), strict=True) if sets else ((), ())
+            columns = [batch.column(0), *(pa.array(c, pa.int64()) for c in (map(len, sets), first, second))]
+            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "n_shingles", "s1", "s2"])
 
-    schema = "doc_id long, n_shingles long, s1 long, s2 long, prefix array<long>"
-    return docs.select("doc_id", "text").mapInArrow(measure, schema)
+    return docs.select("doc_id", "text").mapInArrow(measure, "doc_id long, n_shingles long, s1 long, s2 long")
 
 
-def _ranged(rows: DataFrame) -> DataFrame:
-    """(token, s1) rows in sorted ranges, so the list of a frequent token spreads over tasks."""
-    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return rows.repartitionByRange(parts, "token", "s1").sortWithinPartitions("token", "s1")
+def packed_tokens(docs: DataFrame, parts: int) -> DataFrame:
+    """(part, blob) rows: tokens dealt by hash, four bytes each, with the sets that they belong to."""
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in pieces_of(batches):
+            sets: dict[int, np.ndarray] = {}
+            for text in batch.column("text"):
+                tokens = shingle_set(text.as_py())
+                if len(tokens):
+                    sets[identity(tokens)[0]] = tokens
+            if not sets:
+                continue
+            nodes = np.fromiter(sets, np.int64, len(sets))
+            sizes = np.fromiter(map(len, sets.values()), np.int64, len(sets))
+            tokens, owner = np.concatenate([*sets.values()]), np.repeat(np.arange(len(nodes)), sizes)
+            part = ((tokens >> np.uint64(32)) % np.uint64(parts)).astype(np.int64)
+            order = np.argsort(part, kind="stable")
+            tokens, owner = tokens[order].astype(np.uint32), owner[order]
+            cuts = np.searchsorted(part[order], np.arange(parts + 1))
+            out = []
+            for k in range(parts):
+                a, b = cuts[k], cuts[k + 1]
+                if b > a:
+                    own, counts = np.unique(owner[a:b], return_counts=True)
+                    head = np.array([len(own), b - a], np.int64).tobytes()
+                    data = head + nodes[own].tobytes() + counts.astype(np.uint32).tobytes() + tokens[a:b].tobytes()
+                    out.append((k, data))
+            columns = [pa.array([k for k, _ in out], pa.int32()), pa.array([d for _, d in out], pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, names=["part", "blob"])
+
+    return docs.where("doc_id is not null").select("text").mapInArrow(run, "part int, blob binary")
+
+
+def shared_counts(packed: DataFrame, parts: int) -> DataFrame:
+    """(s1, shared): how many tokens of each set another set has too, at least.
+
+    Tokens are compared by their part and 32 more bits; a rare false match only keeps a set longer.
+    """
 
-def shared_rows(sets: DataFrame) -> DataFrame:
-    """(token, s1) rows of the prefixes whose token occurs in two or more sets.
+    def share(table: pa.Table) -> pa.Table:
+        tokens, owners = [], []
+        for blob in table.column("blob"):
+            data = blob.as_py()
+            n, size = np.frombuffer(data, np.int64, 2)
+            nodes = np.frombuffer(data, np.int64, n, 16)
+            owners.append(np.repeat(nodes, np.frombuffer(data, np.uint32, n, 16 + 8 * n)))
+            tokens.append(np.frombuffer(data, np.uint32, size, 16 + 12 * n))
+        nodes, owner = np.unique(np.concatenate(owners), return_inverse=True)
+        pairs = np.unique((np.concatenate(tokens).astype(np.uint64) << np.uint64(32)) | owner.astype(np.uint64))
+        token = pairs >> np.uint64(32)
+        same = np.zeros(len(pairs), bool)
+        same[1:] = token[1:] == token[:-1]
+        same[:-1] |= same[1:]
+        counts = np.bincount((pairs[same] & np.uint64(0xFFFFFFFF)).astype(np.int64), minlength=len(nodes))
+        kept = counts > 0
+        nodes, counts = nodes[kept], counts[kept]
+        to = (nodes.view(np.uint64) % np.uint64(parts)).astype(np.int64)
+        out = [(k, nodes[to == k].tobytes() + counts[to == k].astype(np.uint32).tobytes()) for k in np.unique(to).tolist()]
+        return pa.table({"part": pa.array([k for k, _ in out], pa.int32()), "blob": pa.array([d for _, d in out], pa.binary())})
+
+    def add(table: pa.Table) -> pa.Table:
+        nodes, counts = [], []
+        for blob in table.column("blob"):
+            data = blob.as_py()
+            nodes.append(np.frombuffer(data, np.int64, len(data) // 12))
+            counts.append(np.frombuffer(data, np.uint32, len(data) // 12, 8 * (len(data) // 12)))
+        node, at = np.unique(np.concatenate(nodes), return_inverse=True)
+        total = np.bincount(at, np.concatenate(counts)).astype(np.int64)
+        return pa.table({"s1": node, "shared": total})
+
+    found = packed.groupBy("part").applyInArrow(share, "part int, blob binary")
+    return found.groupBy("part").applyInArrow(add, "s1 long, shared long")
+
+
+def candidate_texts(docs: DataFrame, classes: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """One text (rep, s1, n_shingles, text) of each set that shares enough tokens for a link."""
+    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    counts = shared_counts(packed_tokens(docs, parts), parts)
+    enough = 100 * F.col("shared") >= percent * F.col("n_shingles")
+    alive = classes.join(counts, "s1").where(enough).select("rep", "s1", "n_shingles")
+    texts = docs.where("doc_id is not null").select(F.col("doc_id").alias("rep"), "text")
+    return pin(alive.join(texts, "rep"), "jaccard-candidates")
 
-    The first and the last token of a task may go on elsewhere and are always kept.
-    """
-    rows = sets.where("doc_id is not null").select(F.explode("prefix").alias("token"), "s1")
-
-    def share(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: tuple[np.ndarray, np.ndarray] | None = None
-        first = True
-
-        def settled(token: np.ndarray, node: np.ndarray, edge: bool) -> pa.RecordBatch:
-            new = np.ones(len(token), bool)
-            new[1:] = (token[1:] != token[:-1]) | (node[1:] != node[:-1])
-            token, node = token[new], node[new]
-            start = np.flatnonzero(np.concatenate([[True], token[1:] != token[:-1]]))
-            counts = np.diff(np.concatenate([start, [len(token)]]))
-            keep = counts > 1
-            if edge and len(keep):
-                keep[0] = True
-            keep = np.repeat(keep, counts)
-            return pa.RecordBatch.from_arrays([pa.array(token[keep]), pa.array(node[keep])], names=["token", "s1"])
 
+def prefix_rows(candidates: DataFrame, counts: np.ndarray, percent: int = PERCENT) -> DataFrame:
+    """(token, s1) rows of each candidate's rarest tokens."""
+    order = np.minimum(counts, 65535).astype(np.uint16)
+
+    def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            token, node = (batch.column(k).to_numpy(zero_copy_only=False) for k in range(2))
-            if held is not None:
-                token, node = np.concatenate([held[0], token]), np.concatenate([held[1], node])
-            # The last token's rows wait for the next batch; of a long list only the last two stay.
-            cut = int(np.searchsorted(token, token[-1]))
-            if len(token) - cut > 100_000:
-                cut = len(token) - 2
-            if cut:
-                yield settled(token[:cut], node[:cut], first)
-                first = False
-            held = token[cut:], node[cut:]
-        if held is not None:
-            yield pa.RecordBatch.from_arrays([pa.array(held[0]), pa.array(held[1])], names=["token", "s1"])
-
-    return pin(_ranged(rows).mapInArrow(share, "token long, s1 long"), "jaccard-shared")
-
-
-def _enough(rows: DataFrame, least: DataFrame) -> DataFrame:
-    """Rows of the sets that still share as many tokens as a link needs, and of tokens still shared."""
-    counted = rows.groupBy("s1").agg(F.count("*").alias("n"))
-    alive = counted.join(least, "s1").where("n >= least").select("s1")
-    rows = rows.join(alive, "s1", "left_semi")
-    tokens = rows.groupBy("token").agg(F.min("s1").alias("a"), F.max("s1").alias("b")).where("a <> b").select("token")
-    return rows.join(tokens, "token", "left_semi")
-
-
-def candidate_edges(sets: DataFrame, classes: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """Edges (a, b) between sets that follow each other in the list of a shared prefix token.
-
-    Sets that share too few prefix tokens with others for any link are left out first, twice over. Each
+            out, nodes = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+            for text, node in zip(batch.column(0), batch.column(1).to_pylist(), strict=True):
+                tokens = shingle_set(text.as_py())
+                rank = order[((tokens >> np.uint64(20)) % np.uint64(COUNTERS)).astype(np.int64)]
+                rare = np.lexsort((tokens, rank))[: prefix_length(len(tokens), percent)]
+                out.append(tokens[rare].view(np.int64))
+                nodes.append(np.full(len(rare), node))
+            columns = [pa.array(np.concatenate(out)), pa.array(np.concatenate(nodes))]
+            yield pa.RecordBatch.from_arrays(columns, names=["token", "s1"])
+
+    return candidates.select("text", "s1").mapInArrow(pick, "token long, s1 long")
+
+
+def candidate_edges(rows: DataFrame) -> DataFrame:
+    """Edges (a, b) between sets that follow each other in the list of a prefix token.
+
+    Rows are dealt in ranges of (token, set), so the list of a frequent token spreads over tasks. Each
     task sends its first and last row along, and the lists that go on in the next task are tied
     together on the driver, two rows per task.
     """
-    smaller = F.ceil(F.col("n_shingles") * percent / 100)
-    need = F.greatest(F.lit(1), F.floor(smaller / SHARED_PART)).alias("least")
-    least = classes.select("s1", need).groupBy("s1").agg(F.min("least").alias("least"))
-    rows = pin(_enough(_enough(shared_rows(sets).distinct(), least), least), "jaccard-rows")
-    dealt = _ranged(rows)
+    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = rows.repartitionByRange(parts, "token", "s1").sortWithinPartitions("token", "s1")
 
     def chain(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = ["end", "token", "a", "b"]
@@ -215,7 +238,7 @@ def candidate_edges(sets: DataFrame, classes: DataFrame, percent: int = PERCENT)
     tied = [(x[1], y[1]) for x, y in zip(ends, ends[1:]) if x[0] == y[0] and x[1] != y[1]]
     edges = found.where("end = 0").select("a", "b").distinct()
     if tied:
-        edges = edges.union(sets.sparkSession.createDataFrame(tied, "a long, b long"))
+        edges = edges.union(rows.sparkSession.createDataFrame(tied, "a long, b long"))
     return edges
 
 
@@ -246,8 +269,10 @@ def link_classes(docs: DataFrame, sets: DataFrame, percent: int = PERCENT) -> tu
         .agg(F.min("doc_id").alias("rep")),
         "jaccard-classes",
     )
-    coarse = components(candidate_edges(sets, classes, percent), "jaccard-coarse").withColumnRenamed("node", "s1")
-    members = pin(classes.join(coarse, "s1").select("rep", "root", "n_shingles"), "jaccard-members")
+    texts = candidate_texts(docs, classes, percent)
+    edges = candidate_edges(prefix_rows(texts, token_counts(texts), percent))
+    coarse = components(edges, "jaccard-coarse").withColumnRenamed("node", "s1")
+    members = pin(texts.select("rep", "s1", "n_shingles").distinct().join(coarse, "s1").select("rep", "root", "n_shingles"), "jaccard-members")
     sizes = members.groupBy("root").agg(F.sum("n_shingles").alias("tokens"))
     total = sizes.agg(F.sum("tokens")).first()[0] or 0
     blocks = max(1, math.ceil(4 * total / BLOCK_TOKENS))
@@ -275,8 +300,7 @@ def link_classes(docs: DataFrame, sets: DataFrame, percent: int = PERCENT) -> tu
         .select("rep", "piece", F.xxhash64("piece").alias("block"))
     )
     pieces = small.union(tiles)
-    texts = docs.where("doc_id is not null").select(F.col("doc_id").alias("rep"), "text")
-    given = pieces.join(texts, "rep")
+    given = pieces.join(texts.select("rep", "text"), "rep")
     work = lambda table: _tree_links(table, percent)
     return classes, given.groupBy("block").applyInArrow(work, "a long, b long")
 
@@ -290,7 +314,7 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     are not compared. Rows with a repeated id stay rows; a NULL id is linked with nothing and its
     ``component_id`` is NULL. An empty table gives no rows.
     """
-    sets = pin(sets_table(docs, token_counts(docs), percent), "jaccard-sets")
+    sets = pin(sets_table(docs), "jaccard-sets")
     classes, links = link_classes(docs, sets, percent)
     roots = components(links, "jaccard-links").withColumnRenamed("node", "rep")
     named = classes.join(roots, "rep", "left").select("s1", "s2", F.coalesce("root", "rep").alias("component_id"))
