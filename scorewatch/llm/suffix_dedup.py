@@ -24,8 +24,8 @@ from scorewatch.llm.common import mix64, pieces_of, pin, rows_out
 from scorewatch.llm.suffix_array import common_prefixes, suffix_array
 
 WINDOW = 50
-#: Length of the inner strings, a power of two, and how many of them a window has.
-INNER = 32
+#: Length of the inner strings (16 and 8 bytes joined), and how many of them a window has.
+INNER = 24
 SPAN = WINDOW - INNER + 1
 #: Bytes of pieces that one shard sorts. A document with more is resolved window by window.
 SHARD_BYTES = 1 << 20
@@ -37,12 +37,14 @@ OUTPUT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 s
 
 def inner_hashes(data: np.ndarray) -> np.ndarray:
     """Hash of the inner string at every position that has one, joined from halves."""
+    odd = np.uint64(0xD6E8FEB86659FD93)
     hashed = mix64((data.astype(np.uint64) + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15))
-    size = 1
-    while size < INNER:
-        hashed = hashed[: len(hashed) - size] * np.uint64(0xD6E8FEB86659FD93) + (hashed[size:] ^ (hashed[size:] >> np.uint64(29)))
-        size *= 2
-    return mix64(hashed)
+    halves = {1: hashed}
+    for size in (1, 2, 4, 8):
+        hashed = hashed[: len(hashed) - size] * odd + (hashed[size:] ^ (hashed[size:] >> np.uint64(29)))
+        halves[2 * size] = hashed
+    n = len(data) - INNER + 1
+    return mix64(halves[16][:n] * odd + halves[8][16 : 16 + n])
 
 
 def window_marks(hashes: np.ndarray) -> np.ndarray:
@@ -187,11 +189,12 @@ def text_rows(docs: DataFrame, parts: int) -> DataFrame:
 
 #: Kinds of rows that ``cut_pieces`` gives: documents without and with pieces, and the pieces.
 _WHOLE, _TEXT, _PIECE = 0, 1, 2
-_CUT = "kind int, doc_id long, row long, leader long, start long, size long, data binary"
+_CUT = "kind int, doc_id long, row long, leader long, start long, size long, h1 long, h2 long, last long, data binary"
 _CUT_ARROW = pa.schema(
-    [("kind", pa.int32()), ("doc_id", pa.int64()), ("row", pa.int64()), ("leader", pa.int64()), ("start", pa.int64()),
-     ("size", pa.int64()), ("data", pa.binary())]
-)
+    [("kind", pa.int32())]
+    + [(name, pa.int64()) for name in ("doc_id", "row", "leader", "start", "size", "h1", "h2", "last")]
+    + [("data", pa.binary())]
+)
 
 
 def _pieces(windows: np.ndarray, hashes: np.ndarray, leaders: np.ndarray, at: int) -> list[tuple[int, int, int]]:
@@ -223,11 +226,16 @@ def _pieces(windows: np.ndarray, hashes: np.ndarray, leaders: np.ndarray, at: in
 
 
 def cut_pieces(texts: DataFrame, shared: DataFrame) -> DataFrame:
-    """The documents' pieces; texts that have some (compressed); size and digest of all others."""
+    """The documents' pieces; texts that have some (compressed); size and digest of all others.
+
+    A piece is named by 128 bits of its digest. Of equal pieces of one part the first carries the bytes, the
+    smallest document and, in ``last``, the largest one; the others only say where they lie.
+    """
 
     def cut(given: pa.Table) -> pa.Table:
         out = []
         names, keys, blobs, marks, leaders = [], [], [], [], []
+        first_of: dict[tuple, list] = {}
         for batch in given.to_batches():
             fields = (batch.column(name).to_pylist() for name in ("doc_id", "row", "blob", "kind"))
             for doc_id, row, blob, kind in zip(*fields, strict=True):
@@ -239,6 +247,8 @@ def cut_pieces(texts: DataFrame, shared: DataFrame) -> DataFrame:
                     own, leader = _unpacked(blob, "<u8", "<i8")
                     marks.append(own)
                     leaders.append(leader)
+        order = sorted(range(len(names)), key=names.__getitem__)
+        names, keys, blobs = ([column[k] for k in order] for column in (names, keys, blobs))
         table = np.concatenate(marks) if marks else np.zeros(0, np.uint64)
         table, at = np.unique(table, return_index=True)
         leader_of = np.concatenate(leaders)[at] if marks else np.zeros(0, np.int64)
@@ -259,9 +269,21 @@ def cut_pieces(texts: DataFrame, shared: DataFrame) -> DataFrame:
             for k, (text, a, b) in enumerate(zip(plain, firsts.tolist(), ends.tolist(), strict=True)):
                 doc_id, row = names[from_ + k], keys[from_ + k]
                 cuts = _pieces(windows, hashes, every[a:b], a) if b > a and (every[a:b] >= 0).any() else []
-                rows.append((_TEXT if cuts else _WHOLE, doc_id, row, 0, 0, len(text), some[k] if cuts else hashlib.sha256(text).digest()))
-                rows += [(_PIECE, doc_id, row, int(distinct[c]), x, y - x, text[x:y]) for c, x, y in cuts]
+                data = some[k] if cuts else hashlib.sha256(text).digest()
+                rows.append((_TEXT if cuts else _WHOLE, doc_id, row, 0, 0, len(text), 0, 0, 0, data))
+                for c, x, y in cuts:
+                    h1, h2 = struct.unpack("<qq", hashlib.blake2b(text[x:y], digest_size=16).digest())
+                    leader = int(distinct[c])
+                    piece = (_PIECE, doc_id, row, leader, x, y - x, h1, h2, doc_id)
+                    known = first_of.get((leader, h1, h2))
+                    if known:
+                        known[8] = doc_id
+                        rows.append((*piece, None))
+                    else:
+                        first_of[leader, h1, h2] = [*piece, text[x:y]]
             out.append(rows_out(_CUT_ARROW, zip(*rows, strict=True)))
+        if first_of:
+            out.append(rows_out(_CUT_ARROW, zip(*first_of.values(), strict=True)))
         return pa.Table.from_batches(out, schema=_CUT_ARROW)
 
     both = texts.select("part", F.lit(1).alias("kind"), "doc_id", "row", "blob").union(
@@ -273,8 +295,13 @@ def cut_pieces(texts: DataFrame, shared: DataFrame) -> DataFrame:
 
 def _repeats(table: pa.Table) -> pa.Table:
     """Runs (a, b) of window starts of a shard's pieces, with the smallest document that holds them."""
+    table = table.sort_by([("leader", "ascending"), ("h1", "ascending"), ("h2", "ascending")])
+    names = [table.column(n).to_numpy() for n in ("leader", "h1", "h2")]
+    first = np.flatnonzero(np.concatenate([[True], np.any([n[1:] != n[:-1] for n in names], axis=0)]))
+    least = np.minimum.reduceat(table.column("doc_id").to_numpy(), first)
+    last = np.maximum.reduceat(table.column("last").to_numpy(), first)
+    table = table.take(pa.array(first))
     data = table.column("data").to_pylist()
-    least = table.column("least").to_numpy()
     whole = np.frombuffer(b"\x00".join(data) + b"\x00", np.uint8).astype(np.int64)
     sizes = np.array([len(d) for d in data], np.int64)
     starts = np.cumsum(sizes + 1) - sizes - 1
@@ -302,7 +329,7 @@ def _repeats(table: pa.Table) -> pa.Table:
     end = np.concatenate([begin[1:], [len(at)]]) - 1
     a, b = at[begin], at[end]
     own = piece[a]
-    useful = (low[a] < least[own]) | table.column("many").to_numpy(zero_copy_only=False)[own]
+    useful = low[a] < last[own]
     a, b, own = a[useful], b[useful], own[useful]
     names = ["leader", "h1", "h2"]
     out = {n: table.column(n).take(pa.array(own)) for n in names}
@@ -310,30 +337,28 @@ def _repeats(table: pa.Table) -> pa.Table:
 
 
 def repeat_runs(pieces: DataFrame) -> DataFrame:
-    """Runs of repeated windows (leader, h1, h2, a, b, low) in the different pieces."""
-    bits = (F.xxhash64("data").alias("h1"), F.xxhash64("data", F.lit(1)).alias("h2"))
-    distinct = pin(
-        pieces.groupBy("leader", "data")
-        .agg(F.min("doc_id").alias("least"), (F.min("doc_id") < F.max("doc_id")).alias("many"))
-        .select("leader", "data", "least", "many", *bits),
-        "suffix-pieces",
-    )
-    sizes = distinct.groupBy("leader").agg(F.sum(F.length("data")).alias("bytes"))
-    total = sizes.agg(F.sum("bytes")).first()[0] or 0
+    """Runs of repeated windows (leader, h1, h2, a, b, low) in the pieces that carry their bytes.
+
+    Leaders with more bytes than a shard are few; their list is written, so the plan sees its size: a
+    small list is broadcast, a long one is joined by a shuffle.
+    """
+    total = pieces.agg(F.sum("size")).first()[0] or 0
+    sizes = pieces.groupBy("leader").agg(F.sum("size").alias("bytes"))
+    heavy = pin(sizes.where(F.col("bytes") > SHARD_BYTES).select("leader"), "suffix-heavy")
     shards = max(1, math.ceil(total / SHARD_BYTES))
-    sized = distinct.join(sizes, "leader")
-    small = sized.where(F.col("bytes") <= SHARD_BYTES).drop("bytes")
+    small = pieces.join(heavy, "leader", "left_anti").select("leader", "h1", "h2", "doc_id", "last", "data")
     schema = "leader long, h1 long, h2 long, a long, b long, low long"
     shard = F.pmod(F.xxhash64("leader"), F.lit(shards))
     sorted_runs = small.groupBy(shard.alias("shard")).applyInArrow(_repeats, schema)
     # A document with more is compared window by window: each window is a key of its own.
-    large = sized.where(F.col("bytes") > SHARD_BYTES).select(
-        "leader", "h1", "h2", "data", "least", F.explode(F.sequence(F.lit(0), F.length("data") - WINDOW)).alias("a")
+    large = pieces.join(heavy, "leader", "left_semi").select(
+        "leader", "h1", "h2", "data", F.col("doc_id").alias("least"), F.explode(F.sequence(F.lit(0), F.length("data") - WINDOW)).alias("a")
     )
     cut = F.substring(F.col("data"), F.col("a") + 1, F.lit(WINDOW))
     windows = large.select("leader", "h1", "h2", "least", F.col("a").cast("long").alias("a"), cut.alias("window"))
     lows = windows.groupBy("leader", "window").agg(F.min("least").alias("low"))
     single = windows.join(lows, ["leader", "window"]).select("leader", "h1", "h2", "a", (F.col("a") + 1).alias("b"), "low")
+    single = single.distinct()
     return sorted_runs.union(single)
 
 
@@ -344,10 +369,8 @@ def removed_spans(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     shared = shared_marks(mark_rows(named, parts), parts)
     cut = pin(cut_pieces(text_rows(named, parts), shared), "suffix-cut")
     pieces = cut.where(F.col("kind") == _PIECE)
-    runs = repeat_runs(pieces.select("leader", "doc_id", "data"))
-    places = pieces.select(
-        "doc_id", "row", "leader", "start", F.xxhash64("data").alias("h1"), F.xxhash64("data", F.lit(1)).alias("h2")
-    )
+    runs = repeat_runs(pieces.where("data is not null"))
+    places = pieces.select("doc_id", "row", "leader", "start", "h1", "h2")
     found = places.join(runs, ["leader", "h1", "h2"]).where(F.col("low") < F.col("doc_id"))
     span = F.struct((F.col("start") + F.col("a")).alias("a"), (F.col("start") + F.col("b") - 1 + WINDOW).alias("b"))
     return cut, found.groupBy("doc_id", "row").agg(F.collect_set(span).alias("spans"))
