@@ -60,7 +60,7 @@ SCORE_PATH = "$.predictions[0][0]"
 IMAGE_LINK_PREFIX = "?image="
 FEEDBACK_ID_PREFIX = "fb-"
 PREDICTION_ID_PREFIX = "pred-"
-ID_HEX_DIGITS = 12
+ID_HEX_DIGITS = 32
 ID_PREVIEW_CHARS = 16
 
 # Decision rule of the champion / challenger comparison.

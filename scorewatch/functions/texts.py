@@ -44,6 +44,11 @@ def version_suffix(served_name: Column) -> Column:
 
 
 def derived_id(prefix: str, *keys: Column) -> Column:
-    """Row id computed from the row's own key, so a retried task or batch repeats the same id."""
-    text = F.concat_ws("|", *[F.coalesce(k.cast("string"), F.lit("")) for k in keys])
+    """Row id computed from the row's own key, so a retried task or batch repeats the same id.
+
+    128 bits of the key's digest. Separators inside a part are escaped and a NULL part is marked, so
+    different keys never give one text.
+    """
+    escaped = [F.regexp_replace(k.cast("string"), r"([|\\\\])", r"\\\\$1") for k in keys]
+    text = F.concat_ws("|", *[F.coalesce(k, F.lit("\\N")) for k in escaped])
     return F.concat(F.lit(prefix), F.substring(F.sha2(text, 256), 1, K.ID_HEX_DIGITS))

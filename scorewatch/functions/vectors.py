@@ -25,10 +25,19 @@ def mean(vector: Column) -> Column:
 
 
 def std(vector: Column) -> Column:
-    """Population standard deviation, from the centred values (sum of squares would cancel)."""
-    centre = mean(vector)
-    squares = F.aggregate(as_doubles(vector), F.lit(0.0), lambda acc, x: acc + (x - centre) * (x - centre))
-    return F.sqrt(squares / F.nullif(F.size(vector).cast("double"), F.lit(0.0)))
+    """Population standard deviation in one pass over the values.
+
+    Count, running mean and squared distance are carried together (sum of squares would cancel).
+    """
+
+    def add(state: Column, x: Column) -> Column:
+        n = state["n"] + 1.0
+        step = x - state["mean"]
+        centre = state["mean"] + step / n
+        return F.struct(n.alias("n"), centre.alias("mean"), (state["m2"] + step * (x - centre)).alias("m2"))
+
+    start = F.struct(F.lit(0.0).alias("n"), F.lit(0.0).alias("mean"), F.lit(0.0).alias("m2"))
+    return F.aggregate(as_doubles(vector), start, add, lambda s: F.sqrt(s["m2"] / F.nullif(s["n"], F.lit(0.0))))
 
 
 def logistic_score(vector: Column, weights: Sequence[float], bias: float) -> Column:

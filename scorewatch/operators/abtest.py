@@ -22,7 +22,8 @@ def reviewed_correctness(predictions: DataFrame, feedback: DataFrame) -> DataFra
     Every prediction counts once, with its latest review.
     """
     verdict = labels.outcome_tristate(F.col("feedback_type")).cast("int").alias("correct")
-    latest = latest_feedback(feedback).select("prediction_id", verdict).filter(F.col("correct").isNotNull())
+    needed = feedback.select("prediction_id", "timestamp", "feedback_id", "feedback_type")
+    latest = latest_feedback(needed).select("prediction_id", verdict).filter(F.col("correct").isNotNull())
     return predictions.select("prediction_id", "model_name").join(latest, "prediction_id").select("model_name", "correct")
 
 

@@ -113,13 +113,13 @@ def feedback_rows(
 ) -> DataFrame:
     """Feedback table rows for assessed predictions (``feedback_type`` is present).
 
-    Ids are a hash of prediction, reviewer and truth: saving the same assessment again gives the
-    same row, so a retried write can be merged away.
+    Ids are a hash of prediction, reviewer, truth and time: a retried write of one review gives the same
+    row and can be merged away, and going back to an earlier truth is a review of its own.
     """
     truth = F.col("radiologist_assessment")
     return conform(
         assessed.select(
-            texts.derived_id(K.FEEDBACK_ID_PREFIX, F.col("prediction_id"), F.lit(reviewer), truth).alias("feedback_id"),
+            texts.derived_id(K.FEEDBACK_ID_PREFIX, F.col("prediction_id"), F.lit(reviewer), truth, at).alias("feedback_id"),
             "prediction_id",
             at.alias("timestamp"),
             truth.alias("ground_truth"),
@@ -152,7 +152,8 @@ def batch_feedback(
 
 def review_progress(predictions: DataFrame, feedback: DataFrame) -> DataFrame:
     """One row: assessed of all, and agreeing of assessed, by the latest review."""
-    assessment = latest_feedback(feedback).select("prediction_id", "ground_truth")
+    needed = feedback.select("prediction_id", "timestamp", "feedback_id", "ground_truth")
+    assessment = latest_feedback(needed).select("prediction_id", "ground_truth")
     sheet = predictions.select(
         "prediction_id", labels.decode_label(F.col("predicted_label")).alias("ai_prediction")
     ).join(assessment, "prediction_id", "left")
@@ -172,7 +173,8 @@ def latest_feedback(feedback: DataFrame) -> DataFrame:
     """One review per prediction: the newest, then the highest id.
 
     A maximum of rows instead of a ranking: it combines on the map side, so a prediction with very
-    many reviews never has to be sorted in one task.
+    many reviews is never ranked in one task. A maximum over texts sorts each task's rows, and all given
+    columns are moved, so callers select what they need first.
     """
     rest = [c for c in feedback.columns if c not in ("prediction_id", "timestamp", "feedback_id")]
     newest = F.max(F.struct("timestamp", "feedback_id", *rest)).alias("newest")

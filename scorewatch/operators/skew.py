@@ -2,15 +2,14 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 TRACKED_ITEMS = 10000
-MAX_HOT_KEYS = 256
 HOT_SHARE = 1.0 / 512
-HOT_ROWS = 100_000
 SALTS = 64
 
 
@@ -20,19 +19,19 @@ def fingerprint(df: DataFrame, keys: Sequence[str]) -> Column:
     return F.xxhash64(*[F.col(k) + F.lit(0.0) if kinds[k] in ("float", "double") else F.col(k) for k in keys])
 
 
-def hot_keys(df: DataFrame, keys: Sequence[str], share: float = HOT_SHARE, rows: int = HOT_ROWS) -> list[int]:
-    """Fingerprints of the keys that hold at least ``share`` of all rows and at least ``rows`` rows.
+def hot_keys(df: DataFrame, keys: Sequence[str], share: float = HOT_SHARE) -> list[int]:
+    """Fingerprints of the keys that hold at least ``share`` of all rows, and more than one row.
 
     A mergeable frequency sketch: one scan of the key columns, no shuffle of rows, at most
-    ``MAX_HOT_KEYS`` numbers brought to the driver. Keys below the share are left to AQE. The list
+    one number per key that can reach the share brought to the driver. Keys below the share are left to AQE. The list
     is fixed before the join is planned, so both sides and every retried task agree on it.
     """
     top, total = (
         df.select(fingerprint(df, keys).alias("key"))
-        .agg(F.expr(f"approx_top_k(key, {MAX_HOT_KEYS}, {TRACKED_ITEMS})"), F.count("*"))
+        .agg(F.expr(f"approx_top_k(key, {math.ceil(1 / share)}, {TRACKED_ITEMS})"), F.count("*"))
         .first()
     )
-    floor = max(share * total, rows)
+    floor = max(share * total, 2)
     return [entry["item"] for entry in top or [] if entry["item"] is not None and entry["count"] >= floor]
 
 

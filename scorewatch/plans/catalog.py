@@ -596,7 +596,8 @@ def _image_features(spark, sf_dir):
 @query("retrain_set")
 def _retrain_set(spark, sf_dir):
     predictions, feedback = _tables(spark, sf_dir)
-    rows = scoring.retrain_set(review.latest_feedback(feedback), predictions, testbed.vectors(spark, sf_dir))
+    needed = feedback.select("prediction_id", "timestamp", "feedback_id", "ground_truth", "feedback_type")
+    rows = scoring.retrain_set(review.latest_feedback(needed), predictions, testbed.vectors(spark, sf_dir))
     return rows.select("image_id", "label", "reviews", F.size("feature_vector").alias("vector_length"))
 
 

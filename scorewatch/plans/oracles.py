@@ -324,8 +324,8 @@ WHERE radiologist_assessment IN ('PNEUMONIA', 'NORMAL')""",
     "normalize_path": """SELECT image_id, regexp_replace(file_path, '^dbfs:', '') AS local_path,
   regexp_replace(filename, '\\.jpeg$', '') AS stem FROM images""",
     "image_labels": """SELECT image_id, category, CASE WHEN category = 'PNEUMONIA' THEN 1 ELSE 0 END AS label FROM images""",
-    "surrogate_ids": """SELECT feedback_id, 'fb-' || substr(sha256(prediction_id || '|' || COALESCE(radiologist_id, '')
-  || '|' || ground_truth), 1, 12) AS derived_id FROM feedback""",
+    "surrogate_ids": """SELECT feedback_id, 'fb-' || substr(sha256(prediction_id || '|' || COALESCE(radiologist_id, '\\N')
+  || '|' || ground_truth), 1, 32) AS derived_id FROM feedback""",
     "timestamp_formats": """SELECT prediction_id, strftime(predicted_at, '%Y-%m-%d %H:%M:%S') AS display_text,
   strftime(predicted_at, '%Y-%m-%dT%H:%M:%SZ') AS iso_text, DATE_TRUNC('second', predicted_at)::TIMESTAMP AS parsed_at,
   CAST(FLOOR(epoch(predicted_at)) AS BIGINT) * 1000 AS whole_second_ms,
@@ -345,7 +345,7 @@ FROM request_log""",
   ROUND(prediction_probability, 3) AS prediction_probability,
   strftime(predicted_at, '%Y-%m-%d %H:%M:%S') AS predicted_at, '?image=' || image_id AS image_link,
   CAST(NULL AS VARCHAR) AS radiologist_assessment FROM ({_QUEUE.format(filter="")})""",
-    "batch_feedback": f"""SELECT 'fb-' || substr(sha256(prediction_id || '|{C.BATCH_REVIEWER}|' || radiologist_assessment), 1, 12)
+    "batch_feedback": f"""SELECT 'fb-' || substr(sha256(prediction_id || '|{C.BATCH_REVIEWER}|' || radiologist_assessment || '|{C.RUN_TIME}'), 1, 32)
     AS feedback_id, prediction_id, {_RUN} AS "timestamp", radiologist_assessment AS ground_truth,
   {_OUTCOME} AS feedback_type, '{C.BATCH_REVIEWER}' AS radiologist_id, 'confirmed' AS confidence,
   'batch' AS feedback_source, 'from known label' AS notes
@@ -426,8 +426,8 @@ FROM (SELECT (SELECT COUNT(DISTINCT request_id) FROM recent) AS total,
   COUNT(DISTINCT feedback_id) AS reviews FROM {_RECENT_SERVED})""",
     "errors_by_split": """SELECT i.dataset_split, r.feedback_type, COUNT(*) AS "count"
 FROM reviewed r JOIN images i ON r.image_id = i.image_id GROUP BY ALL""",
-    "accuracy_by_size": f"""SELECT CASE WHEN i.file_size_bytes >= {K.MEDIUM_LIMIT_BYTES} THEN '{K.LARGE_BAND}'
-    WHEN i.file_size_bytes >= {K.SMALL_LIMIT_BYTES} THEN '{K.MEDIUM_BAND}' ELSE '{K.SMALL_BAND}' END AS size_category,
+    "accuracy_by_size": f"""SELECT CASE WHEN i.file_size_bytes < {K.SMALL_LIMIT_BYTES} THEN '{K.SMALL_BAND}'
+    WHEN i.file_size_bytes < {K.MEDIUM_LIMIT_BYTES} THEN '{K.MEDIUM_BAND}' ELSE '{K.LARGE_BAND}' END AS size_category,
   {_pct(_n(_HIT))} AS accuracy_pct, COUNT(*) AS total_predictions
 FROM images i JOIN reviewed r USING (image_id) GROUP BY 1""",
     "confusion_by_model": f"""SELECT {_FAMILY} AS model_display_name, feedback_type, COUNT(*) AS "count", {_ORDER} AS sort_order
@@ -499,7 +499,7 @@ FROM ({_PAIRS})""",
     "confusion_json": f"""SELECT model_name, {_JSON} AS confusion_matrix
 FROM (SELECT model_name, {_EVAL_COUNTS} FROM predictions GROUP BY model_name)""",
     "evaluation_run": f"""SELECT 'eval-' || substr(sha256(c.model_name || '|' || c.model_version || '|' || c.dataset_split
-    || '|{C.RUN_TIME}'), 1, 12) AS evaluation_id, c.model_name, c.model_version, c.dataset_split,
+    || '|{C.RUN_TIME}'), 1, 32) AS evaluation_id, c.model_name, c.model_version, c.dataset_split,
   {_EVAL_METRICS}, a.auc AS auc_roc, {_JSON} AS confusion_matrix, total AS total_samples, {_RUN} AS evaluated_at,
   '{C.RUN_TIME[:10]}' AS evaluation_date
 FROM (SELECT model_name, model_version, dataset_split, COUNT(*) AS total, {_EVAL_COUNTS}
@@ -520,7 +520,7 @@ FROM (SELECT image_id, category, ROW_NUMBER() OVER (ORDER BY {_SHUFFLE}) - 1 AS
     "batch_score": f"""SELECT image_id, ROUND(p, 6) AS prediction_probability, CAST(p > 0.5 AS INTEGER) AS predicted_label,
   ROUND(GREATEST(p, 1 - p), 6) AS confidence_score
 FROM (SELECT CAST(vec_id AS VARCHAR) AS image_id, 1 / (1 + EXP(-({_LINEAR}))) AS p FROM embeddings)""",
-    "prediction_log": f"""SELECT 'pred-' || substr(sha256(s.image_id || '|clf|1|{C.RUN_TIME}'), 1, 12) AS prediction_id, s.image_id,
+    "prediction_log": f"""SELECT 'pred-' || substr(sha256(s.image_id || '|clf|1|{C.RUN_TIME}'), 1, 32) AS prediction_id, s.image_id,
   CAST(p > 0.5 AS INTEGER) AS predicted_label, ROUND(p, 6) AS prediction_probability,
   ROUND(GREATEST(p, 1 - p), 6) AS confidence_score,
   CASE WHEN i.image_id IS NULL THEN NULL WHEN i.category = 'PNEUMONIA' THEN 1 ELSE 0 END AS true_label,

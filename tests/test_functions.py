@@ -84,7 +84,7 @@ def test_derived_ids_repeat(spark):
     column = texts.derived_id("fb-", F.col("a"), F.col("b"))
     first = values(spark, column, [("x", "y"), ("x", None), ("x|", "y")], "a string, b string")
     assert first == values(spark, column, [("x", "y"), ("x", None), ("x|", "y")], "a string, b string")
-    assert len(set(first)) == 3 and all(len(v) == 15 for v in first)
+    assert len(set(first)) == 3 and all(len(v) == 35 for v in first)
 
 
 def test_times(spark):

@@ -29,8 +29,8 @@ def hot(spark):
 def test_hot_keys_are_found(hot):
     feedback, _ = hot
     expected = feedback.filter("prediction_id = 'p0'").select(F.xxhash64("prediction_id")).first()[0]
-    assert skew.hot_keys(feedback, ["prediction_id"], share=0.01, rows=1000) == [expected]
-    assert skew.hot_keys(feedback, ["prediction_id"]) == []
+    assert skew.hot_keys(feedback, ["prediction_id"], share=0.01) == [expected]
+    assert skew.hot_keys(feedback, ["prediction_id"]) == [expected]
     assert skew.hot_keys(feedback.filter("false"), ["prediction_id"]) == []
 
 
@@ -38,7 +38,7 @@ def test_hot_keys_are_found(hot):
 def test_salted_join_equals_plain_join(hot, how):
     feedback, predictions = hot
     plain = feedback.join(predictions, "prediction_id", how)
-    salted = skew.salted_join(feedback, predictions, "prediction_id", "feedback_id", how, salts=8, share=0.01, rows=1000)
+    salted = skew.salted_join(feedback, predictions, "prediction_id", "feedback_id", how, salts=8, share=0.01)
     assert "_salt" not in salted.columns
     assert salted.count() == plain.count()
     assert salted.exceptAll(plain.select(salted.columns)).count() == 0
@@ -49,7 +49,7 @@ def test_salted_join_spreads_the_hot_key(spark, hot):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:
-        joined = skew.salted_join(feedback, predictions, "prediction_id", "feedback_id", salts=64, share=0.01, rows=1000)
+        joined = skew.salted_join(feedback, predictions, "prediction_id", "feedback_id", salts=64, share=0.01)
         sizes = [r["count"] for r in joined.groupBy(F.spark_partition_id()).count().collect()]
         plain = feedback.join(predictions, "prediction_id")
         plain_sizes = [r["count"] for r in plain.groupBy(F.spark_partition_id()).count().collect()]
@@ -77,7 +77,7 @@ def test_salted_join_on_numbers(spark):
     many = spark.range(2000).select("id", F.expr(values))
     one = spark.createDataFrame([(0.0, "zero"), (float("nan"), "nan"), (None, "null")], "score double, name string")
     plain = many.join(one, ["score"], "left").groupBy("name").count()
-    salted = skew.salted_join(many, one, ["score"], "id", "left", share=0.01, rows=10).groupBy("name").count()
+    salted = skew.salted_join(many, one, ["score"], "id", "left", share=0.01).groupBy("name").count()
     expected = {"zero": 4000, "nan": 2000, None: 2000}
     assert {r.name: r["count"] for r in plain.collect()} == expected
     assert {r.name: r["count"] for r in salted.collect()} == expected
@@ -86,7 +86,7 @@ def test_salted_join_on_numbers(spark):
 def test_metrics_with_salting(hot, monkeypatch):
     feedback, predictions = hot
     plain = [tuple(r) for r in metrics.model_metrics(predictions, feedback).collect()]
-    found = skew.hot_keys(feedback, ["prediction_id"], rows=1000)
+    found = skew.hot_keys(feedback, ["prediction_id"])
     monkeypatch.setattr(skew, "hot_keys", lambda *args, **kwargs: found)
     assert len(found) == 1
     assert [tuple(r) for r in metrics.model_metrics(predictions, feedback).collect()] == plain
