@@ -12,19 +12,21 @@ from __future__ import annotations
 import hashlib
 import math
 import struct
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from scorewatch.llm.common import mix64, pieces_of, pin, rows_out
 from scorewatch.llm.suffix_array import common_prefixes, suffix_array
 
 WINDOW = 50
-#: Length of the inner strings (16 and 8 bytes joined), and how many of them a window has.
+#: Length of the inner strings (16 to 32 bytes), and how many of them a window has.
 INNER = 24
 SPAN = WINDOW - INNER + 1
 #: Bytes of pieces that one shard sorts. A document with more is resolved window by window.
@@ -36,15 +38,13 @@ OUTPUT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 s
 
 
 def inner_hashes(data: np.ndarray) -> np.ndarray:
-    """Hash of the inner string at every position that has one, joined from halves."""
+    """Hash of the inner string at every position that has one, from its first and its last 16 bytes."""
     odd = np.uint64(0xD6E8FEB86659FD93)
     hashed = mix64((data.astype(np.uint64) + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15))
-    halves = {1: hashed}
     for size in (1, 2, 4, 8):
         hashed = hashed[: len(hashed) - size] * odd + (hashed[size:] ^ (hashed[size:] >> np.uint64(29)))
-        halves[2 * size] = hashed
     n = len(data) - INNER + 1
-    return mix64(halves[16][:n] * odd + halves[8][16 : 16 + n])
+    return mix64(hashed[:n] * odd + hashed[INNER - 16 : INNER - 16 + n])
 
 
 def window_marks(hashes: np.ndarray) -> np.ndarray:
@@ -187,12 +187,9 @@ def text_rows(docs: DataFrame, parts: int) -> DataFrame:
     return rows.mapInArrow(run, "part int, doc_id long, row long, blob binary")
 
 
-#: Kinds of rows that ``cut_pieces`` gives: documents without and with pieces, and the pieces.
-_WHOLE, _TEXT, _PIECE = 0, 1, 2
-_CUT = "kind int, doc_id long, row long, leader long, start long, size long, h1 long, h2 long, last long, data binary"
+_CUT = "doc_id long, row long, leader long, start long, size long, h1 long, h2 long, last long, data binary"
 _CUT_ARROW = pa.schema(
-    [("kind", pa.int32())]
-    + [(name, pa.int64()) for name in ("doc_id", "row", "leader", "start", "size", "h1", "h2", "last")]
+    [(name, pa.int64()) for name in ("doc_id", "row", "leader", "start", "size", "h1", "h2", "last")]
     + [("data", pa.binary())]
 )
 
@@ -226,10 +223,10 @@ def _pieces(windows: np.ndarray, hashes: np.ndarray, leaders: np.ndarray, at: in
 
 
 def cut_pieces(texts: DataFrame, shared: DataFrame) -> DataFrame:
-    """The documents' pieces; texts that have some (compressed); size and digest of all others.
+    """The documents' pieces, each named by 128 bits of its digest.
 
-    A piece is named by 128 bits of its digest. Of equal pieces of one part the first carries the bytes, the
-    smallest document and, in ``last``, the largest one; the others only say where they lie.
+    Of equal pieces of one part the first carries the bytes, the smallest document and, in ``last``, the
+    largest one; the others only say where they lie.
     """
 
     def cut(given: pa.Table) -> pa.Table:
@@ -269,19 +266,18 @@ def cut_pieces(texts: DataFrame, shared: DataFrame) -> DataFrame:
             for k, (text, a, b) in enumerate(zip(plain, firsts.tolist(), ends.tolist(), strict=True)):
                 doc_id, row = names[from_ + k], keys[from_ + k]
                 cuts = _pieces(windows, hashes, every[a:b], a) if b > a and (every[a:b] >= 0).any() else []
-                data = some[k] if cuts else hashlib.sha256(text).digest()
-                rows.append((_TEXT if cuts else _WHOLE, doc_id, row, 0, 0, len(text), 0, 0, 0, data))
                 for c, x, y in cuts:
                     h1, h2 = struct.unpack("<qq", hashlib.blake2b(text[x:y], digest_size=16).digest())
                     leader = int(distinct[c])
-                    piece = (_PIECE, doc_id, row, leader, x, y - x, h1, h2, doc_id)
+                    piece = (doc_id, row, leader, x, y - x, h1, h2, doc_id)
                     known = first_of.get((leader, h1, h2))
                     if known:
-                        known[8] = doc_id
+                        known[7] = doc_id
                         rows.append((*piece, None))
                     else:
                         first_of[leader, h1, h2] = [*piece, text[x:y]]
-            out.append(rows_out(_CUT_ARROW, zip(*rows, strict=True)))
+            if rows:
+                out.append(rows_out(_CUT_ARROW, zip(*rows, strict=True)))
         if first_of:
             out.append(rows_out(_CUT_ARROW, zip(*first_of.values(), strict=True)))
         return pa.Table.from_batches(out, schema=_CUT_ARROW)
@@ -362,25 +358,30 @@ def repeat_runs(pieces: DataFrame) -> DataFrame:
     return sorted_runs.union(single)
 
 
-def removed_spans(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Cut documents (as ``cut_pieces``) and the byte ranges (doc_id, row, spans) to remove of them."""
-    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    named = docs.where("doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    shared = shared_marks(mark_rows(named, parts), parts)
-    cut = pin(cut_pieces(text_rows(named, parts), shared), "suffix-cut")
-    pieces = cut.where(F.col("kind") == _PIECE)
+def removed_spans(texts: DataFrame) -> DataFrame:
+    """Byte ranges to remove (doc_id, row and the arrays a, b) of the texts (doc_id, text) that have some."""
+    parts = int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    shared = shared_marks(mark_rows(texts, parts), parts)
+    pieces = pin(cut_pieces(text_rows(texts, parts), shared), "suffix-cut")
     runs = repeat_runs(pieces.where("data is not null"))
-    places = pieces.select("doc_id", "row", "leader", "start", "h1", "h2")
+    # The smallest document of a piece is its own leader at best and loses nothing there.
+    places = pieces.where("leader < doc_id").select("doc_id", "row", "leader", "start", "h1", "h2")
     found = places.join(runs, ["leader", "h1", "h2"]).where(F.col("low") < F.col("doc_id"))
     span = F.struct((F.col("start") + F.col("a")).alias("a"), (F.col("start") + F.col("b") - 1 + WINDOW).alias("b"))
-    return cut, found.groupBy("doc_id", "row").agg(F.collect_set(span).alias("spans"))
+    spans = found.groupBy("doc_id", "row").agg(F.collect_set(span).alias("spans"))
+    return spans.select("doc_id", "row", F.col("spans.a").alias("a"), F.col("spans.b").alias("b"))
+
 
+def _named(docs: DataFrame) -> DataFrame:
+    text = F.coalesce("text", F.lit("")).alias("text")
+    return docs.where("doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id"), text)
 
-def kept_parts(data: bytes, spans: list[dict]) -> tuple[bytes, int]:
+
+def kept_parts(data: bytes, begins: Iterable[int], ends: Iterable[int]) -> tuple[bytes, int]:
     """The bytes outside the spans and the number of maximal removed runs."""
     parts, at, runs = [], 0, 0
     end = -1
-    for a, b in sorted((s["a"], s["b"]) for s in spans):
+    for a, b in sorted(zip(begins, ends, strict=True)):
         if a > end:
             runs += 1
             parts.append(data[at:a])
@@ -389,11 +390,6 @@ def kept_parts(data: bytes, spans: list[dict]) -> tuple[bytes, int]:
     return b"".join(parts), runs
 
 
-def _affected(cut: DataFrame, spans: DataFrame) -> DataFrame:
-    rows = cut.where(F.col("kind") == _TEXT).select("doc_id", "row", "size", "data")
-    return rows.join(spans, ["doc_id", "row"], "left")
-
-
 def dedupe_bytes(docs: DataFrame) -> DataFrame:
     """What is removed of every document, and the digest of what is left.
 
@@ -402,28 +398,42 @@ def dedupe_bytes(docs: DataFrame) -> DataFrame:
     A NULL text counts as empty. Rows of one id do not remove each other. A row without an id is left
     whole and removes nothing. An empty table gives no rows.
     """
-    cut, spans = removed_spans(docs)
+    texts = _named(docs)
+    spans = removed_spans(texts)
 
     def finish(batches):
+        unpacker = zstandard.ZstdDecompressor()
         for batch in batches:
             rows = []
-            for doc_id, size, data, found in zip(*(batch.column(k).to_pylist() for k in range(4)), strict=True):
-                kept, runs = kept_parts(zstandard.decompress(data) if size else b"", found or [])
-                rows.append((doc_id, size, size - len(kept), runs, hashlib.sha256(kept).hexdigest()))
+            for doc_id, blob, a, b in zip(*(column.to_pylist() for column in batch.columns), strict=True):
+                data = unpacker.decompress(blob)
+                kept, runs = kept_parts(data, a or [], b or [])
+                rows.append((doc_id, len(data), len(data) - len(kept), runs, hashlib.sha256(kept).hexdigest()))
             if rows:
                 names = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"]
                 yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows, strict=True)], names=names)
 
-    some = _affected(cut, spans).select("doc_id", "size", "data", "spans").mapInArrow(finish, OUTPUT)
+    # Compressed texts are read from the input again: they are moved once here and stored nowhere.
+    packed = text_rows(texts, 1).select("doc_id", "row", "blob")
+    some = packed.join(spans, ["doc_id", "row"], "left").select("doc_id", "blob", "a", "b").mapInArrow(finish, OUTPUT)
     zero = F.lit(0).cast("long")
-    rest = cut.where(F.col("kind") == _WHOLE).select(
-        "doc_id", F.col("size").alias("n_bytes"), zero.alias("n_removed"), zero.alias("n_spans"), F.lower(F.hex("data")).alias("kept_sha256")
-    )
     text = F.coalesce("text", F.lit("")).cast("binary")
     nameless = docs.where("doc_id is null").select(
         F.col("doc_id").cast("long"), F.length(text).cast("long"), zero, zero, F.sha2(text, 256)
     )
-    return some.union(rest).union(nameless)
+    return some.union(nameless)
+
+
+@F.pandas_udf(StringType())
+def _kept_text(text: pd.Series, begins: pd.Series, ends: pd.Series) -> pd.Series:
+    """Texts without their spans; unchanged where there are none."""
+    return pd.Series(
+        [
+            t if a is None else kept_parts((t or "").encode(), a, b)[0].decode("utf-8", "ignore")
+            for t, a, b in zip(text, begins, ends, strict=True)
+        ],
+        dtype=object,
+    )
 
 
 def without_repeats(docs: DataFrame) -> DataFrame:
@@ -432,21 +442,18 @@ def without_repeats(docs: DataFrame) -> DataFrame:
     All other columns and all rows stay; a text may become empty. Characters of which only some bytes
     were cut go with them. Odd input as for ``dedupe_bytes``.
     """
-    cut, spans = removed_spans(docs.select("doc_id", "text"))
-
-    def finish(batches):
-        for batch in batches:
-            doc_ids, rows, data, found = (batch.column(k).to_pylist() for k in range(4))
-            texts = [kept_parts(zstandard.decompress(d), s)[0].decode("utf-8", "ignore") for d, s in zip(data, found, strict=True)]
-            columns = [pa.array(doc_ids, pa.int64()), pa.array(rows, pa.int64()), pa.array(texts, pa.string())]
-            yield pa.RecordBatch.from_arrays(columns, names=["_id", "_row", "_kept"])
-
-    some = _affected(cut, spans).where("spans is not null").select("doc_id", "row", "data", "spans")
-    changed = some.mapInArrow(finish, "_id long, _row long, _kept string").dropDuplicates(["_id", "_row"])
-    key = F.xxhash64(F.coalesce("text", F.lit("")))
-    match = (F.col("doc_id").cast("long") == F.col("_id")) & (key == F.col("_row"))
-    joined = docs.join(changed, match, "left")
-    text = F.coalesce("_kept", "text")
-    size = F.when(F.col("_kept").isNull(), F.col("n_chars")).otherwise(F.char_length("_kept")) if "n_chars" in docs.columns else None
-    renewed = {"text": text, "n_chars": size}
-    return joined.select(*[renewed[c].cast(docs.schema[c].dataType).alias(c) if renewed.get(c) is not None else c for c in docs.columns])
+    spans = removed_spans(_named(docs))
+    rows = docs.select(
+        F.struct(*docs.columns).alias("doc"),
+        F.col("doc_id").cast("long").alias("doc_id"),
+        F.xxhash64(F.coalesce("text", F.lit(""))).alias("row"),
+    )
+    cut = rows.join(spans, ["doc_id", "row"], "left").select(
+        "doc", F.col("a").isNotNull().alias("changed"), _kept_text("doc.text", "a", "b").alias("kept")
+    )
+    renewed = {"text": F.col("kept")}
+    if "n_chars" in docs.columns:
+        renewed["n_chars"] = F.when(F.col("changed"), F.char_length("kept")).otherwise(F.col("doc.n_chars"))
+    return cut.select(
+        *[(renewed[c].cast(docs.schema[c].dataType) if c in renewed else F.col("doc")[c]).alias(c) for c in docs.columns]
+    )
