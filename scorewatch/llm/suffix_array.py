@@ -110,7 +110,11 @@ def _order_items(items: list[int], symbols: int) -> list[int]:
     text = np.array(items, np.int64)
     types_array = suffix_types(text)
     leftmost = _leftmost(types_array)
-    larger = (~types_array).tolist()
+    # Symbol before each suffix if that makes a larger (smaller) one, else -1; the last entry serves empty places.
+    before = np.concatenate([[-1], text[:-1], [-1]])
+    is_larger = np.concatenate([[False], ~types_array[:-1], [False]])
+    before_larger = np.where(is_larger, before, -1).tolist()
+    before_smaller = np.where(is_larger, -1, before).tolist()
     counts = np.bincount(text, minlength=symbols)
     ends_list = np.cumsum(counts).tolist()
     starts_list = (np.cumsum(counts) - counts).tolist()
@@ -123,19 +127,18 @@ def _order_items(items: list[int], symbols: int) -> list[int]:
             tails[c] -= 1
             order[tails[c]] = j
         heads = starts_list.copy()
-        for k in range(n):
-            j = order[k] - 1
-            if j >= 0 and larger[j]:
-                c = items[j]
-                order[heads[c]] = j
+        # Both loops read places that they themselves have filled.
+        for j in order:
+            c = before_larger[j]
+            if c >= 0:
+                order[heads[c]] = j - 1
                 heads[c] += 1
         tails = ends_list.copy()
-        for k in range(n - 1, -1, -1):
-            j = order[k] - 1
-            if j >= 0 and not larger[j]:
-                c = items[j]
+        for j in reversed(order):
+            c = before_smaller[j]
+            if c >= 0:
                 tails[c] -= 1
-                order[tails[c]] = j
+                order[tails[c]] = j - 1
         return order
 
     if len(leftmost) <= 1:
