@@ -29,7 +29,7 @@ WINDOW = 50
 #: Length of the inner strings (16 to 32 bytes), and how many of them a window has.
 INNER = 24
 SPAN = WINDOW - INNER + 1
-#: Bytes of pieces that one shard sorts. A document with more is resolved window by window.
+#: Bytes of pieces that one shard sorts. The pieces of a leader with more are cut by mark.
 SHARD_BYTES = 1 << 20
 #: Bytes of texts that are hashed at once, few enough for the processor's cache.
 HASHED_BYTES = 1 << 17
@@ -332,30 +332,64 @@ def _repeats(table: pa.Table) -> pa.Table:
     return pa.table(out | {"a": offset[a], "b": offset[b] + 1, "low": low[a]})
 
 
+_PARTS = pa.schema(
+    [(name, pa.int64()) for name in ("leader", "of1", "of2", "at", "h1", "h2", "mark", "doc_id", "last")]
+    + [("data", pa.binary())]
+)
+
+
+def _by_mark(pieces: DataFrame) -> DataFrame:
+    """Pieces (now named of1, of2) cut at offsets ``at`` into runs of windows of one mark, named by digest."""
+
+    def run(batches):
+        for batch in batches:
+            rows = []
+            for leader, h1, h2, doc_id, last, data in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                marks = window_marks(inner_hashes(np.frombuffer(data, np.uint8))).view(np.int64)
+                first = np.flatnonzero(np.concatenate([[True], marks[1:] != marks[:-1]])).tolist()
+                for x, y in zip(first, [*first[1:], len(marks)], strict=True):
+                    part = data[x : y - 1 + WINDOW]
+                    digest = struct.unpack("<qq", hashlib.blake2b(part, digest_size=16).digest())
+                    rows.append((leader, h1, h2, x, *digest, int(marks[x]), doc_id, last, part))
+                if len(rows) >= 1 << 15:
+                    yield rows_out(_PARTS, zip(*rows, strict=True))
+                    rows = []
+            if rows:
+                yield rows_out(_PARTS, zip(*rows, strict=True))
+
+    schema = ", ".join(f"{f.name} {'binary' if f.name == 'data' else 'long'}" for f in _PARTS)
+    return pieces.select("leader", "h1", "h2", "doc_id", "last", "data").mapInArrow(run, schema)
+
+
 def repeat_runs(pieces: DataFrame) -> DataFrame:
     """Runs of repeated windows (leader, h1, h2, a, b, low) in the pieces that carry their bytes.
 
     Leaders with more bytes than a shard are few; their list is written, so the plan sees its size: a
-    small list is broadcast, a long one is joined by a shuffle.
+    small list is broadcast, a long one is joined by a shuffle. Their pieces are cut by mark, equal parts
+    are merged, and shards take them by (leader, mark): equal windows have equal marks.
     """
     total = pieces.agg(F.sum("size")).first()[0] or 0
     sizes = pieces.groupBy("leader").agg(F.sum("size").alias("bytes"))
-    heavy = pin(sizes.where(F.col("bytes") > SHARD_BYTES).select("leader"), "suffix-heavy")
-    shards = max(1, math.ceil(total / SHARD_BYTES))
-    small = pieces.join(heavy, "leader", "left_anti").select("leader", "h1", "h2", "doc_id", "last", "data")
+    heavy = pin(sizes.where(F.col("bytes") > SHARD_BYTES), "suffix-heavy")
+    heavy_total = heavy.agg(F.sum("bytes")).first()[0] or 0
     schema = "leader long, h1 long, h2 long, a long, b long, low long"
-    shard = F.pmod(F.xxhash64("leader"), F.lit(shards))
-    sorted_runs = small.groupBy(shard.alias("shard")).applyInArrow(_repeats, schema)
-    # A document with more is compared window by window: each window is a key of its own.
-    large = pieces.join(heavy, "leader", "left_semi").select(
-        "leader", "h1", "h2", "data", F.col("doc_id").alias("least"), F.explode(F.sequence(F.lit(0), F.length("data") - WINDOW)).alias("a")
+    columns = ["leader", "h1", "h2", "doc_id", "last", "data"]
+
+    def sort_shards(rows: DataFrame, size: int, *key: str) -> DataFrame:
+        shard = F.pmod(F.xxhash64(*key), F.lit(max(1, math.ceil(size / SHARD_BYTES))))
+        return rows.groupBy(shard.alias("shard")).applyInArrow(_repeats, schema)
+
+    small = pieces.join(heavy, "leader", "left_anti").select(*columns)
+    parts = _by_mark(pieces.join(heavy, "leader", "left_semi"))
+    merged = parts.groupBy("leader", "mark", "h1", "h2", "data").agg(F.min("doc_id").alias("doc_id"), F.max("last").alias("last"))
+    # A part repeats the bytes around its windows, about five times the piece in all.
+    part_runs = sort_shards(merged.select("mark", *columns), 5 * heavy_total, "leader", "mark")
+    placed = parts.select("leader", "of1", "of2", "at", "h1", "h2").join(part_runs, ["leader", "h1", "h2"])
+    runs = placed.select(
+        "leader", F.col("of1").alias("h1"), F.col("of2").alias("h2"), (F.col("at") + F.col("a")).alias("a"), (F.col("at") + F.col("b")).alias("b"), "low"
     )
-    cut = F.substring(F.col("data"), F.col("a") + 1, F.lit(WINDOW))
-    windows = large.select("leader", "h1", "h2", "least", F.col("a").cast("long").alias("a"), cut.alias("window"))
-    lows = windows.groupBy("leader", "window").agg(F.min("least").alias("low"))
-    single = windows.join(lows, ["leader", "window"]).select("leader", "h1", "h2", "a", (F.col("a") + 1).alias("b"), "low")
-    single = single.distinct()
-    return sorted_runs.union(single)
+    # Copies of a piece that several tasks carried give equal runs.
+    return sort_shards(small, total, "leader").union(runs.distinct())
 
 
 def removed_spans(texts: DataFrame) -> DataFrame:
