@@ -100,6 +100,22 @@ def test_repeated_strings(spark, monkeypatch, shard):
     assert {k: tuple(r)[1:] for k, r in found.items()} == removed_by_force(rows)
 
 
+@pytest.mark.parametrize("shard", [1 << 20, 300])
+def test_texts_without_repeats(spark, monkeypatch, shard):
+    """Cut texts have the digests of the byte form; columns that clash with inner names stay."""
+    monkeypatch.setattr(suffix_dedup, "SHARD_BYTES", shard)
+    shared = "the same passage of more than fifty bytes stands in many documents " * 2
+    rows = [(k, f"{k} own start {k * k} " + shared[k % 9 :] + f" own end {k}", 5, f"a{k}", k, None) for k in range(30)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, n_chars int, a string, row long, doc string")
+    found = suffix_dedup.without_repeats(docs)
+    assert found.schema.simpleString() == docs.schema.simpleString()
+    expected = removed_by_force([r[:2] for r in rows])
+    for r in found.collect():
+        assert hashlib.sha256(r["text"].encode()).hexdigest() == expected[r["doc_id"]][3]
+        assert r["n_chars"] == (len(r["text"]) if expected[r["doc_id"]][1] else 5)
+        assert (r["a"], r["row"], r["doc"]) == (f"a{r['doc_id']}", r["doc_id"], None)
+
+
 def test_repeated_strings_odd(odd):
     rows = suffix_dedup.dedupe_bytes(odd).collect()
     assert len(rows) == odd.count()
