@@ -50,6 +50,10 @@ def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.with_near(simhash.fingerprint_documents(_table(spark, sf_dir, "documents")))
 
 
+def op5_simhash_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_documents(_table(spark, sf_dir, "documents"))
+
+
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     return packing.pack_documents(docs, public_tokenizers.path(BYTE_BPE), public_tokenizers.PATTERN, END_OF_TEXT)
@@ -79,6 +83,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op3_suffix_dedup,
         op4_ngram_jaccard_join,
         op5_simhash,
+        op5_simhash_pairs,
         op6_packing,
         op7_toxicity,
         op8_quality_resampling,

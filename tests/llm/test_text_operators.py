@@ -210,6 +210,51 @@ def test_block_tables(spark):
     assert {r["fingerprint"]: r["n_near"] for r in simhash.near_sets(frame).collect()} == near
 
 
+def test_simhash_near_copies(spark):
+    """Texts with some words replaced are near, copies are one class, pairs equal brute force."""
+    rng = random.Random(3)
+    texts = [" ".join(f"w{rng.randrange(5000)}" for _ in range(300)) for _ in range(40)]
+    for text in texts[:20]:
+        words = text.split()
+        words[rng.randrange(300)] = words[rng.randrange(300)] = "other"
+        texts.append(" ".join(words))
+    rows = [*enumerate(texts), (100, texts[0]), (101, texts[0])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    marks = {t: simhash.fingerprint(t) for t in texts}
+    want = {}
+    for a in range(len(texts)):
+        for b in range(a + 1, len(texts)):
+            distance = (int.from_bytes(marks[texts[a]]) ^ int.from_bytes(marks[texts[b]])).bit_count()
+            if distance <= simhash.NEAR:
+                want[a, b] = distance
+    assert want.keys() >= {(k, k + 40) for k in range(20)}
+    found = simhash.near_documents(docs).collect()
+    assert len(found) == len(want) and {(r["a"], r["b"]): r["distance"] for r in found} == want
+    near = by_id(simhash.with_near(simhash.fingerprint_documents(docs)))
+    for k in (0, 100, 101):
+        assert (near[k]["class_id"], near[k]["n_copies"], near[k]["n_near"]) == (0, 3, 1)
+    assert [near[k]["n_near"] for k in range(60)] == [sum(k in pair for pair in want) for k in range(60)]
+
+
+def test_sampled_tables_hold_their_recall(spark):
+    """Keys and tiles at a small group size: pairs once each, and the promised share of all."""
+    rng = np.random.default_rng(4)
+    marks = [rng.bytes(16) for _ in range(300)]
+    for m in marks[:]:
+        flips = rng.permutation(128)[: int(rng.integers(1, simhash.NEAR + 1))]
+        marks.append((int.from_bytes(m) ^ sum(1 << int(f) for f in flips)).to_bytes(16))
+    ids = {m.hex(): k for k, m in enumerate(marks)}
+    numbers = [int.from_bytes(m) for m in marks]
+    want = {(a, b) for a in range(600) for b in range(a + 1, 600) if (numbers[a] ^ numbers[b]).bit_count() <= simhash.NEAR}
+    classes = spark.createDataFrame([(f, k) for f, k in ids.items()], "fingerprint string, class_id long")
+    assert simhash.sampled_bits(600, group=40).shape[1] == 4
+    found = [(r["a"], r["b"]) for r in simhash.near_pairs(classes, group=40).collect()]
+    assert len(found) == len({*found}) and {*found} <= want and len(found) >= 0.99 * len(want)
+    counts = {r["fingerprint"]: r["n_near"] for r in simhash.near_counts(classes, group=40).collect()}
+    assert counts == {f: n for f, k in ids.items() if (n := sum(k in pair for pair in found))}
+    assert {(r["a"], r["b"]) for r in simhash.near_pairs(classes).collect()} == want
+
+
 def test_packing(odd):
     exact = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
     args = public_tokenizers.path(queries.BYTE_BPE), public_tokenizers.PATTERN, queries.END_OF_TEXT
