@@ -84,17 +84,23 @@ def identity(tokens: np.ndarray) -> tuple[int, int]:
     return tuple(int(m.sum().astype(np.int64)) if len(m) else 0 for m in marks)
 
 
+def text_mark(docs: DataFrame):
+    """Hash that tells the texts of one id apart."""
+    return F.xxhash64(docs["text"])
+
+
 def sets_table(docs: DataFrame) -> DataFrame:
-    """Size and identity of each document's set."""
+    """Size and identity of each document's set, and the mark of its text."""
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sets = [shingle_set(text.as_py()) for text in batch.column(1)]
             first, second = zip(*map(identity, sets), strict=True) if sets else ((), ())
-            columns = [batch.column(0), *(pa.array(c, pa.int64()) for c in (map(len, sets), first, second))]
-            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "n_shingles", "s1", "s2"])
+            columns = [batch.column(0), *(pa.array(c, pa.int64()) for c in (map(len, sets), first, second)), batch.column(2)]
+            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "n_shingles", "s1", "s2", "mark"])
 
-    return docs.select("doc_id", "text").mapInArrow(measure, "doc_id long, n_shingles long, s1 long, s2 long")
+    rows = docs.select("doc_id", "text", text_mark(docs).alias("mark"))
+    return rows.mapInArrow(measure, "doc_id long, n_shingles long, s1 long, s2 long, mark long")
 
 
 def packed_tokens(docs: DataFrame, parts: int) -> DataFrame:
@@ -172,13 +178,16 @@ def shared_counts(packed: DataFrame, parts: int) -> DataFrame:
 
 
 def candidate_texts(docs: DataFrame, classes: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """One text (rep, s1, n_shingles, text) of each set that shares enough tokens for a link."""
+    """One text (s1, n_shingles, text) of each set that shares enough tokens for a link.
+
+    It is fetched by id and mark, as an id may stand on other texts too.
+    """
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     counts = shared_counts(packed_tokens(docs, parts), parts)
     enough = 100 * F.col("shared") >= percent * F.col("n_shingles")
-    alive = classes.join(counts, "s1").where(enough).select("rep", "s1", "n_shingles")
-    texts = docs.where("doc_id is not null").select(F.col("doc_id").alias("rep"), "text")
-    return pin(alive.join(texts, "rep"), "jaccard-candidates")
+    alive = classes.join(counts, "s1").where(enough).select("rep", "mark", "s1", "n_shingles")
+    texts = docs.where("doc_id is not null").select(F.col("doc_id").alias("rep"), text_mark(docs).alias("mark"), "text")
+    return pin(alive.join(texts, ["rep", "mark"]).select("s1", "n_shingles", "text"), "jaccard-candidates")
 
 
 def prefix_rows(candidates: DataFrame, counts: np.ndarray, percent: int = PERCENT) -> DataFrame:
@@ -243,36 +252,37 @@ def candidate_edges(rows: DataFrame) -> DataFrame:
 
 
 def _tree_links(table: pa.Table, percent: int) -> pa.Table:
-    """Links that tie the sets of a task together, group by group: each document with its group's first."""
+    """Links that tie the sets of a task together, group by group: each set with its group's first."""
     groups = table.column("piece").to_pylist()
-    docs = table.column("rep").to_pylist()
+    nodes = table.column("s1").to_pylist()
     texts = table.column("text")
     by_group: dict[str, dict[int, int]] = {}
     for k, group in enumerate(groups):
-        by_group.setdefault(group, {})[docs[k]] = k
+        by_group.setdefault(group, {})[nodes[k]] = k
     a, b = [], []
     for group in by_group.values():
-        rows = [group[doc] for doc in sorted(group)]
+        rows = [group[node] for node in sorted(group)]
         first = join_groups([shingle_set(texts[k].as_py()) for k in rows], percent)
         for k, root in zip(rows, first, strict=True):
-            if docs[k] != docs[rows[root]]:
-                a.append(docs[k])
-                b.append(docs[rows[root]])
+            if nodes[k] != nodes[rows[root]]:
+                a.append(nodes[k])
+                b.append(nodes[rows[root]])
     return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
 
 def link_classes(docs: DataFrame, sets: DataFrame, percent: int = PERCENT) -> tuple[DataFrame, DataFrame]:
-    """Classes of equal sets (s1, s2, rep) and the links (a, b) that tie representatives together."""
+    """Classes of equal sets (s1, s2, rep and the mark of its text) and the links (a, b) that tie their s1 together."""
     classes = pin(
         sets.where("n_shingles > 0 and doc_id is not null")
         .groupBy("s1", "s2", "n_shingles")
-        .agg(F.min("doc_id").alias("rep")),
+        .agg(F.min(F.struct("doc_id", "mark")).alias("least"))
+        .select("s1", "s2", "n_shingles", F.col("least.doc_id").alias("rep"), "least.mark"),
         "jaccard-classes",
     )
     texts = candidate_texts(docs, classes, percent)
     edges = candidate_edges(prefix_rows(texts, token_counts(texts), percent))
     coarse = components(edges, "jaccard-coarse").withColumnRenamed("node", "s1")
-    members = pin(texts.select("rep", "s1", "n_shingles").distinct().join(coarse, "s1").select("rep", "root", "n_shingles"), "jaccard-members")
+    members = pin(texts.select("s1", "n_shingles").distinct().join(coarse, "s1").select("s1", "root", "n_shingles"), "jaccard-members")
     sizes = members.groupBy("root").agg(F.sum("n_shingles").alias("tokens"))
     total = sizes.agg(F.sum("tokens")).first()[0] or 0
     blocks = max(1, math.ceil(4 * total / BLOCK_TOKENS))
@@ -280,56 +290,66 @@ def link_classes(docs: DataFrame, sets: DataFrame, percent: int = PERCENT) -> tu
     # A group that fits is one piece. A larger one is cut by the size of its sets and then by hash, and
     # every two parts whose sizes allow a link form a piece.
     small = sized.where(F.col("tokens") <= BLOCK_TOKENS).select(
-        "rep", F.concat(F.lit("g"), "root").alias("piece"), F.pmod(F.xxhash64("root"), F.lit(blocks)).alias("block")
+        "s1", F.concat(F.lit("g"), "root").alias("piece"), F.pmod(F.xxhash64("root"), F.lit(blocks)).alias("block")
     )
     parts = F.ceil(2 * F.col("tokens") / BLOCK_TOKENS).cast("int")
     step = math.log(100 / percent)
     band = F.floor(F.log("n_shingles") / step).cast("int")
     tiles = (
         sized.where(F.col("tokens") > BLOCK_TOKENS)
-        .select("rep", "root", band.alias("band"), parts.alias("parts"))
-        .withColumn("part", F.pmod(F.xxhash64("rep"), F.col("parts")).cast("int"))
+        .select("s1", "root", band.alias("band"), parts.alias("parts"))
+        .withColumn("part", F.pmod(F.xxhash64("s1"), F.col("parts")).cast("int"))
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
         .withColumn("low", F.explode(F.array(F.col("band") - 1, F.col("band"))))
         .select(
-            "rep",
+            "s1",
             F.concat_ws(
                 ":", F.concat(F.lit("t"), "root"), "low", F.least("part", "other"), F.greatest("part", "other")
             ).alias("piece"),
         )
-        .select("rep", "piece", F.xxhash64("piece").alias("block"))
+        .select("s1", "piece", F.xxhash64("piece").alias("block"))
     )
     pieces = small.union(tiles)
-    given = pieces.join(texts.select("rep", "text"), "rep")
+    given = pieces.join(texts.select("s1", "text"), "s1")
     work = lambda table: _tree_links(table, percent)
     return classes, given.groupBy("block").applyInArrow(work, "a long, b long")
 
 
+def near_rows(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """Rows of ``near_duplicates`` with the mark of their text."""
+    sets = pin(sets_table(docs), "jaccard-sets")
+    classes, links = link_classes(docs, sets, percent)
+    roots = components(links, "jaccard-links").withColumnRenamed("node", "s1")
+    least = classes.join(roots, "s1").groupBy("root").agg(F.min("rep").alias("first"))
+    named = classes.join(roots.join(least, "root"), "s1", "left").select(
+        "s1", "s2", F.coalesce("first", "rep").alias("component_id")
+    )
+    rows = sets.select("doc_id", "n_shingles", "s1", "s2", "mark")
+    joined = rows.where("n_shingles > 0 and doc_id is not null").join(named, ["s1", "s2"])
+    alone = rows.where("n_shingles = 0 or doc_id is null").withColumn("component_id", F.col("doc_id"))
+    columns = ["doc_id", "n_shingles", "component_id", "mark"]
+    return joined.select(*columns).union(alone.select(*columns))
+
+
 def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """Size of each document's set and the smallest id that it reaches by links.
 
     ``docs`` needs ``doc_id`` and ``text``; other columns are ignored. Two documents are linked when
     their sets of five-word shingles have a Jaccard similarity of ``percent`` or more; a shorter text
     is one shingle, NULL or blank texts have none and stay alone. Equal sets are one class, so copies
-    are not compared. Rows with a repeated id stay rows; a NULL id is linked with nothing and its
-    ``component_id`` is NULL. An empty table gives no rows.
+    are not compared. Rows with a repeated id stay rows, and each is linked by its own text; a NULL id
+    is linked with nothing and its ``component_id`` is NULL. An empty table gives no rows.
     """
-    sets = pin(sets_table(docs), "jaccard-sets")
-    classes, links = link_classes(docs, sets, percent)
-    roots = components(links, "jaccard-links").withColumnRenamed("node", "rep")
-    named = classes.join(roots, "rep", "left").select("s1", "s2", F.coalesce("root", "rep").alias("component_id"))
-    rows = sets.select("doc_id", "n_shingles", "s1", "s2")
-    joined = rows.where("n_shingles > 0 and doc_id is not null").join(named, ["s1", "s2"])
-    alone = rows.where("n_shingles = 0 or doc_id is null").withColumn("component_id", F.col("doc_id"))
-    columns = ["doc_id", "n_shingles", "component_id"]
-    return joined.select(*columns).union(alone.select(*columns))
+    return near_rows(docs, percent).drop("mark")
 
 
 def keep_first(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """One document of each group of near duplicates: the one with the smallest id, as it was.
 
-    Rows of one id are one document and stay or go together; rows without a shingle or an id all stay.
+    Rows of one id stay or go by their own text; if a group's smallest id has several rows in it, all
+    of these stay. Rows without a shingle or an id all stay.
     """
-    found = near_duplicates(docs.select("doc_id", "text"), percent)
-    gone = found.where("doc_id <> component_id").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    found = near_rows(docs.select("doc_id", "text"), percent).where("doc_id <> component_id")
+    gone = found.select(F.col("doc_id").alias("gone_id"), F.col("mark").alias("gone_mark")).distinct()
+    same = (docs["doc_id"] == gone["gone_id"]) & (text_mark(docs) == gone["gone_mark"])
+    return docs.join(gone, same, "left_anti").select(*docs.columns)

@@ -162,6 +162,22 @@ def test_near_duplicates(spark, odd, monkeypatch, block):
     assert kept == [1, 3, 4, 5, 6, 8]
 
 
+@pytest.mark.parametrize("block", [2_000_000, 60])
+def test_near_duplicates_with_an_id_on_two_texts(spark, monkeypatch, block):
+    """Each text of a repeated id finds its own near copies, in any order of the rows."""
+    monkeypatch.setattr(jaccard_join, "BLOCK_TOKENS", block)
+    a, b, c = (" ".join(f"{name}{k}" for k in range(60)) for name in "abc")
+    rows = [(2, a), (2, b), (2, c), (3, a + " x"), (4, b + " x"), (5, c + " x"), (1, b + " y"), (6, a), (7, c), (7, a + " z")]
+    for order in (rows, rows[::-1]):
+        docs = spark.createDataFrame(order, "doc_id long, text string")
+        marks = {(r["doc_id"], r["mark"]): r["component_id"] for r in jaccard_join.near_rows(docs).collect()}
+        texts = {(r["doc_id"], r["mark"]): r["text"] for r in docs.select("*", jaccard_join.text_mark(docs).alias("mark")).collect()}
+        found = {(doc_id, texts[doc_id, mark]): root for (doc_id, mark), root in marks.items()}
+        assert found == {(i, t): 1 if t[0] == "b" else 2 for i, t in rows}
+        kept = {(r["doc_id"], r["text"]) for r in jaccard_join.keep_first(docs).collect()}
+        assert kept == {(2, a), (2, c), (1, b + " y")}
+
+
 def test_quality_counts(spark, odd, labels):
     found = by_id(quality.judge(odd, labels))
     assert found[3]["base_failed"] and found[3]["n_words"] == 0 and not found[3]["kept"]
