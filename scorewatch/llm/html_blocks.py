@@ -9,8 +9,13 @@ from dataclasses import dataclass
 
 #: Elements whose content is never text of the page.
 _SKIPPED = "script|style|title|noscript|template|iframe|svg|textarea|select|object|canvas"
+#: Of these, the ones whose content runs to the end of the page without an end tag.
+_OPEN_ENDED = frozenset("script style textarea title".split())
+_END = {
+    name: re.compile(rf"</{name}(?=[\t\n\f\r />]|\Z)[^>]*+(?:>|\Z)", re.I) for name in _SKIPPED.split("|")
+}
 _TOKEN = re.compile(
-    rf"<!--.*?(?:-->|\Z)|<(?P<skip>{_SKIPPED})\b[^>]*+>(?:.*?</(?P=skip)\b[^>]*+(?:>|\Z)|.*\Z)"
+    rf"<!--.*?(?:-->|\Z)|<(?P<skip>{_SKIPPED})(?=[\t\n\f\r />])(?P<own>(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+|[^>]*+)>"
     r"|<(?P<close>/?)(?P<tag>[a-zA-Z][a-zA-Z0-9:-]*+)(?P<attrs>(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)(?:>|\Z)"
     r"|</?[a-zA-Z][^>]*+(?:>|\Z)|<[!?/][^>]*+(?:>|\Z)",
     re.S | re.I,
@@ -61,7 +66,9 @@ def blocks_of(page: str, codes: PathCodes) -> list[Block]:
 
     Character references are decoded, white space becomes single spaces. Unclosed and stray tags are
     allowed: a start tag ends an open paragraph or list item as browsers do, an end tag closes what
-    was opened inside it.
+    was opened inside it. Elements whose content is no text are left out up to their end tag; a
+    self-closed svg is empty, and without an end tag only scripts, styles, titles and text areas run to
+    the end of the page.
     """
     out: list[Block] = []
     stack: list[tuple[str, tuple[int, ...]]] = []
@@ -88,13 +95,24 @@ def blocks_of(page: str, codes: PathCodes) -> list[Block]:
                     link_chars += len(piece)
             parts.append(piece)
 
+    def skipped(name: str, start: int) -> int:
+        """Where the content of a skipped element ends that starts there."""
+        end = None if name in unended else _END[name].search(page, start)
+        if end:
+            return end.end()
+        unended.add(name)
+        return len(page) if name in _OPEN_ENDED else start
+
     at = 0
-    for found in _TOKEN.finditer(page):
+    unended: set[str] = set()
+    while found := _TOKEN.search(page, at):
         add(page[at : found.start()])
         at = found.end()
         tag = found["tag"]
         if not tag:
-            if found["skip"]:
+            if name := (found["skip"] or "").lower():
+                if name != "svg" or not found["own"].endswith("/"):
+                    at = skipped(name, at)
                 parts.append(" ")
             continue
         tag = tag.lower()

@@ -14,6 +14,7 @@ from scorewatch.llm import (
     bpe,
     components,
     extraction,
+    html_blocks,
     jaccard_join,
     langid,
     packing,
@@ -364,6 +365,25 @@ def test_extraction(spark):
     assert [r["n_chars"] for r in rows[1:]] == [0, 0, 0]
 
 
+@pytest.mark.parametrize(
+    ("page", "text"),
+    [
+        ('<p>one<svg class="icon" />two<p>three', "one two three"),
+        ("<p>one<SVG/>two</p><svg><text>no</text></svg>three", "one two three"),
+        ("<title-bar>one</title-bar><template-x>two</template-x><object-view>three</object-view>", "one two three"),
+        ("<title>no</title-bar>no</title>one<select-box><p>two</select-box>", "one two"),
+        ("<p>one<iframe src=x>two<p>three<select><option>four", "one two three four"),
+        ('<p>one<object title="a>b">no</object>two', "one two"),
+        ("<p>one<script\n>no</p></script >two<style>no</p>no", "one two"),
+        ("<p>one<textarea>no<p>no", "one"),
+        ("<p>one" + "<canvas>" * 50_000 + "two", "one two"),
+    ],
+)
+def test_skipped_elements(page, text):
+    blocks = html_blocks.blocks_of(page, html_blocks.PathCodes(64))
+    assert " ".join(b.text for b in blocks) == text
+
+
 def test_extraction_of_the_test_pages(spark):
     pages = spark.read.parquet("/root/testdata/sf0.01/pages.parquet")
     right = 0
