@@ -11,8 +11,6 @@ from scorewatch.llm.common import words_of
 
 #: Hash buckets of a multinomial. The model that tasks receive has this many numbers at any input size.
 BUCKETS = 10_000
-#: Trusted documents from which the target is learned, those of lowest hashed id.
-TRUSTED_ROWS = 50_000
 #: Log ratios are kept in thousandths.
 SCALE = 1000
 
@@ -39,24 +37,24 @@ def pair_codes(codes: Column) -> Column:
     return joined_codes(codes, codes, 1, 1)
 
 
-def trusted_ids(labels: DataFrame, rows: int = TRUSTED_ROWS) -> DataFrame:
-    """Ids that are labelled of good quality and never of bad quality, at most ``rows`` of them."""
+def trusted_ids(labels: DataFrame) -> DataFrame:
+    """Ids that are labelled of good quality and never of bad quality."""
     judged = labels.where("doc_id is not null and quality is not null").groupBy("doc_id").agg(F.min("quality").alias("q"))
-    return judged.where("q = 1").orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows).select("doc_id")
+    return judged.where("q = 1").select("doc_id")
 
 
 def log_ratios(docs: DataFrame, labels: DataFrame, buckets: int = BUCKETS, smoothing: float = 1.0) -> list[int]:
     """Log of target over raw probability per bucket, in thousandths.
 
-    The raw counts cover every document; the target's those of the trusted documents, whose bounded
-    id list is the only table that is broadcast. Counts are added up in each task before the shuffle,
-    so at most two rows per bucket and task are moved.
+    The raw counts cover every document, the target's every trusted document. Texts and trusted ids
+    meet by a shuffle at any size. Counts are added up in each task before the next shuffle, so at most
+    two rows per bucket and task are moved.
     """
     trusted = trusted_ids(labels).withColumn("trusted", F.lit(1))
-    words = docs.select("doc_id", word_codes(words_of(F.col("text"))).alias("codes"))
-    grams = words.join(F.broadcast(trusted), "doc_id", "left").select(
-        "trusted", F.explode(F.concat("codes", pair_codes(F.col("codes")))).alias("gram")
+    words = docs.select("doc_id", "text").join(trusted.hint("merge"), "doc_id", "left").select(
+        "trusted", word_codes(words_of(F.col("text"))).alias("codes")
     )
+    grams = words.select("trusted", F.explode(F.concat("codes", pair_codes(F.col("codes")))).alias("gram"))
     counts = grams.groupBy(F.pmod("gram", F.lit(buckets)).cast("int").alias("bucket"), "trusted").count()
     target, raw = [0] * buckets, [0] * buckets
     for found_bucket, is_trusted, n in counts.collect():

@@ -14,6 +14,7 @@ from scorewatch.llm import (
     bpe,
     components,
     extraction,
+    grams,
     html_blocks,
     jaccard_join,
     langid,
@@ -190,6 +191,19 @@ def test_quality_counts(spark, odd, labels):
     assert quality.keep(odd, labels).columns == odd.columns
 
 
+def test_all_trusted_documents_count(spark):
+    """Target counts cover every trusted document, also those of a long list of labels."""
+    n = 60_000
+    docs = spark.range(n).selectExpr("id as doc_id", "concat('w', id) as text")
+    trusted = spark.range(n).selectExpr("id as doc_id", "cast(id % 12 > 0 as int) as quality")
+    assert grams.trusted_ids(trusted).count() == n - n // 12
+    codes = [r["c"] % 100 for r in docs.selectExpr("xxhash64(text) as c").collect()]
+    raw = np.bincount(codes, minlength=100)
+    target = np.bincount([c for k, c in enumerate(codes) if k % 12], minlength=100)
+    want = np.log((target + 1) / (target.sum() + 100)) - np.log((raw + 1) / (raw.sum() + 100))
+    assert np.abs(np.array(grams.log_ratios(docs, trusted, 100)) / grams.SCALE - want).max() < 0.001
+
+
 def test_resampling(odd, labels):
     rows = resampling.resample(odd, labels, share=0.5).collect()
     kept = [r["sample_key"] for r in rows if r["kept"]]
