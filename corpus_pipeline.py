@@ -47,7 +47,7 @@ STAGES = [
     ("packing", pack),
 ]
 
-#: The learned scores of the first stages cannot be written in SQL; tests compare with plain Python.
+#: The learned scores of the first stages cannot be written in SQL; tests run it on empty tables only.
 ORACLE_SQL = None
 
 
