@@ -8,6 +8,49 @@ from __future__ import annotations
 
 import corpus_pipeline
 
-ORACLES: dict[str, str] = {}
+_LOWERED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+#: One row with the table of the byte-wise CRC-32, from its polynomial.
+_CRC_TABLE = """crc AS (SELECT list(list_reduce(list_prepend(i, range(8)),
+    lambda c, k: CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) ORDER BY i) AS t FROM range(256) AS r(i))"""
+
+
+def _crc32(text: str) -> str:
+    """Unsigned CRC-32 of a text's UTF-8 bytes; the query joins the one row of ``crc``."""
+    return f"""xor(list_reduce(list_prepend(4294967295::BIGINT,
+        list_transform(regexp_extract_all(hex(encode({text})), '..'), lambda x: ('0x' || x)::BIGINT)),
+        lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295)"""
+
+
+def _features(table: str) -> str:
+    return f"""SELECT row, n_words, unnest(list_concat(ws, list_transform(range(1, len(ws)), lambda i: ws[i] || ' ' || ws[i + 1]))) AS g
+        FROM (SELECT row, ws, len(ws) AS n_words FROM (SELECT row_number() OVER () AS row,
+              regexp_extract_all({_LOWERED}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS ws FROM {table}))"""
+
+
+_TARGET_RESAMPLING = f"""WITH {_CRC_TABLE},
+d AS (SELECT row_number() OVER () AS row, doc_id,
+        len(regexp_extract_all({_LOWERED}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')) AS n_words FROM documents),
+df AS (SELECT row, g, count(*) AS n FROM ({_features("documents")}) GROUP BY row, g),
+bf AS (SELECT g, count(*) AS n FROM ({_features("benchmark")}) GROUP BY g),
+codes AS (SELECT g, {_crc32("g")} % 10000 AS b FROM (SELECT g FROM df UNION SELECT g FROM bf), crc),
+s AS (SELECT b, sum(n) AS n FROM df JOIN codes USING (g) GROUP BY b),
+t AS (SELECT b, sum(n) AS n FROM bf JOIN codes USING (g) GROUP BY b),
+gains AS (SELECT i AS b, CAST(floor(1000 * ln(CAST((coalesce(t.n, 0) + 1) * ((SELECT sum(n) FROM s) + 10000) AS DOUBLE)
+        / CAST((coalesce(s.n, 0) + 1) * ((SELECT coalesce(sum(n), 0) FROM t) + 10000) AS DOUBLE))) AS BIGINT) AS gain
+    FROM range(10000) AS r(i) LEFT JOIN s ON s.b = i LEFT JOIN t ON t.b = i),
+sums AS (SELECT row, CAST(sum(n) AS BIGINT) AS n, CAST(sum(n * gain) AS BIGINT) AS total
+    FROM df JOIN codes USING (g) JOIN gains USING (b) GROUP BY row),
+w AS (SELECT doc_id, n_words, coalesce(n, 0) AS n_features,
+        coalesce((total - ((total % n + n) % n)) // n, 0) AS weight,
+        ('0x' || substr(sha256('7:' || doc_id), 1, 8))::BIGINT AS h
+    FROM d LEFT JOIN sums USING (row)),
+scored AS (SELECT *, weight + CAST(floor(-1000 * ln(-ln((h + 0.5::DOUBLE) / 4294967296))) AS BIGINT) AS score FROM w),
+placed AS (SELECT *, row_number() OVER (PARTITION BY n_words >= 20 ORDER BY score DESC, doc_id) AS place FROM scored)
+SELECT doc_id, n_features, weight, score,
+    CASE WHEN n_words >= 20 AND place <= 25 * (SELECT count(*) FROM scored WHERE n_words >= 20) // 100 THEN place END AS rank
+FROM placed"""
+
+ORACLES: dict[str, str] = {"op12_target_resampling": _TARGET_RESAMPLING}
 if corpus_pipeline.ORACLE_SQL:
     ORACLES["pipeline"] = corpus_pipeline.ORACLE_SQL

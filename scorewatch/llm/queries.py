@@ -18,6 +18,7 @@ from scorewatch.llm import (
     resampling,
     simhash,
     suffix_dedup,
+    target_resampling,
     toxicity,
 )
 
@@ -75,6 +76,10 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(_table(spark, sf_dir, "documents"))
 
 
+def op12_target_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return target_resampling.resample(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -89,5 +94,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_quality_resampling,
         op9_bpe,
         op10_language_id,
+        op12_target_resampling,
     )
 } | {"pipeline": corpus_pipeline.run}
