@@ -51,6 +51,30 @@ SELECT doc_id, n_features, weight, score,
     CASE WHEN n_words >= 20 AND place <= 25 * (SELECT count(*) FROM scored WHERE n_words >= 20) // 100 THEN place END AS rank
 FROM placed"""
 
-ORACLES: dict[str, str] = {"op12_target_resampling": _TARGET_RESAMPLING}
+#: Two words are one edit apart if they are alike without the letter at one place, or one is the other without a letter.
+_SPELLING = f"""WITH RECURSIVE {_CRC_TABLE},
+runs AS (SELECT doc_id, run, count(*) AS k FROM (SELECT doc_id, unnest(regexp_extract_all({_LOWERED}, '[a-z\u00c0-\u00ff]+')) AS run
+    FROM documents) WHERE length(run) >= 7 GROUP BY doc_id, run),
+hashed AS (SELECT run, k, {_crc32("doc_id || ':' || run")} AS h FROM runs, crc),
+words AS (SELECT CASE WHEN h % 31 = 0 THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word,
+    sum(k)::BIGINT AS n FROM hashed GROUP BY 1 HAVING length(word) >= 7 AND sum(k) >= 2),
+cut AS (SELECT word, n, i, substr(word, 1, i - 1) || substr(word, i + 1) AS rest
+    FROM (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM words)),
+pairs AS (SELECT a.word, b.word AS other, b.n AS other_n FROM cut a JOIN cut b ON a.rest = b.rest AND a.i = b.i AND a.word <> b.word
+    UNION SELECT a.word, b.word, b.n FROM cut a JOIN words b ON a.rest = b.word
+    UNION SELECT b.word, a.word, a.n FROM cut a JOIN words b ON a.rest = b.word),
+near AS (SELECT word, count(*) AS n_near, max(other_n) AS best FROM pairs GROUP BY word),
+forms AS (SELECT w.word, w.n, coalesce(n_near, 0) AS n_near, CASE WHEN best >= 10 * w.n THEN best END AS form_n,
+    (SELECT min(other) FROM pairs p WHERE p.word = w.word AND p.other_n = best AND best >= 10 * w.n) AS form
+    FROM words w LEFT JOIN near USING (word)),
+chain AS (SELECT word, word AS root FROM forms
+    UNION ALL SELECT c.word, f.form FROM chain c JOIN forms f ON f.word = c.root WHERE f.form IS NOT NULL)
+SELECT f.word, f.form, c.root, f.n, f.n_near, f.form_n FROM forms f JOIN chain c USING (word)
+    JOIN forms r ON r.word = c.root AND r.form IS NULL"""
+
+ORACLES: dict[str, str] = {
+    "op12_target_resampling": _TARGET_RESAMPLING,
+    "op13_spelling_variants": _SPELLING,
+}
 if corpus_pipeline.ORACLE_SQL:
     ORACLES["pipeline"] = corpus_pipeline.ORACLE_SQL

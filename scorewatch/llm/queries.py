@@ -17,6 +17,7 @@ from scorewatch.llm import (
     quality,
     resampling,
     simhash,
+    spelling,
     suffix_dedup,
     target_resampling,
     toxicity,
@@ -80,6 +81,10 @@ def op12_target_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return target_resampling.resample(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.group_variants(_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -95,5 +100,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op9_bpe,
         op10_language_id,
         op12_target_resampling,
+        op13_spelling_variants,
     )
 } | {"pipeline": corpus_pipeline.run}
