@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
 from scorewatch.llm import (
+    bilinear_lm,
     bpe,
     extraction,
     jaccard_join,
@@ -77,6 +78,10 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(_table(spark, sf_dir, "documents"))
 
 
+def op11_bilinear_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bilinear_lm.score(_table(spark, sf_dir, "documents"))
+
+
 def op12_target_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return target_resampling.resample(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
@@ -99,6 +104,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_quality_resampling,
         op9_bpe,
         op10_language_id,
+        op11_bilinear_lm,
         op12_target_resampling,
         op13_spelling_variants,
     )

@@ -71,7 +71,6 @@ def frame(spark, docs):
 def test_variants(spark, monkeypatch, limit, cells, floor, entries):
     """Whole results for any size of lists, tiles, tasks and dictionary."""
     monkeypatch.setattr(spelling, "SHARD_CELLS", cells)
-    monkeypatch.setattr(spelling, "HELD_WORDS", 50)
     monkeypatch.setattr(spelling.gram_dictionary, "__defaults__", (entries, floor))
     monkeypatch.setattr(spelling.tiled, "__defaults__", (limit,))
     docs = corpus(5)

@@ -41,10 +41,18 @@ def frame(spark, rows):
     return spark.createDataFrame([(i, t, "en", 5, 6, 7, "s") for i, t in rows], ODD)
 
 
-@pytest.mark.parametrize("part", [4 << 20, 40])
-def test_weights_and_ranks(spark, monkeypatch, part):
-    """Odd texts, repeated ids and rows, extra columns with clashing names; also with texts cut in slices."""
+@pytest.mark.parametrize("part", [1, 5, 40])
+def test_features_of_texts_in_slices(monkeypatch, part):
     monkeypatch.setattr(target_resampling, "SLICE", part)
+    for text in (None, "", " -- ", "a", "The END of the naïve wörld " * 9, "日本 x1 " * 30 + "tail", "x" * 200 + " y"):
+        grams, n_words = features(text)
+        counts, found = target_resampling.bucket_counts(text)
+        assert found == n_words
+        assert counts.tolist() == np.bincount([zlib.crc32(g.encode()) % 10_000 for g in grams], minlength=10_000).tolist()
+
+
+def test_weights_and_ranks(spark):
+    """Odd texts, repeated ids and rows, extra columns with clashing names."""
     rng = random.Random(4)
     words = ["the", "Of", "x1", "naïve", "日本語", "a-b", "wörld", "İ", "end"]
     docs = [(k, " ".join(rng.choices(words, k=rng.randint(0, 60)))) for k in range(90)]
