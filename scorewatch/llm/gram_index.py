@@ -5,7 +5,8 @@ A word is read between two end marks. The gram that starts at a position is the
 to the end. It depends on its own characters alone, so one edit at a position changes only the grams over
 that position; all others stay, moved by one place at most behind the edit. The largest number of grams over
 one position is the word's affected-gram bound: two words within one edit share at least all grams of either
-but so many.
+but so many. The bound of two grams that do not overlap is one, so such a pair is enough to look a word up: one
+of the two is in the other word's list at about the same place.
 
 Words are rows of a matrix of Latin-1 bytes (all letters of the words fit), padded with zeros.
 """
@@ -15,9 +16,12 @@ from __future__ import annotations
 import numpy as np
 
 SHORTEST = 2
-#: At most 7: a gram then fits a 64-bit number, and a word of 7 letters keeps a gram that no edit touches.
-LONGEST = 6
+#: At most 7: a gram then fits a 64-bit number, and a word of 7 letters has two grams that do not overlap.
+LONGEST = 7
 START, END = 1, 2
+#: Words are looked up by grams that start before this place.
+WINDOW = 24
+SKETCH_BITS = 4
 
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
@@ -55,18 +59,20 @@ def all_grams(rows: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     return np.concatenate(found) if found else np.zeros(0, np.uint64)
 
 
-def _known(codes: np.ndarray, dictionary: np.ndarray) -> np.ndarray:
+def frequency_of(codes: np.ndarray, dictionary: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """Count of each gram in the dictionary (sorted codes), 0 for others."""
     if not len(dictionary):
-        return np.zeros(codes.shape, bool)
+        return np.zeros(codes.shape, np.int64)
     at = np.minimum(np.searchsorted(dictionary, codes), len(dictionary) - 1)
-    return dictionary[at] == codes
+    return np.where(dictionary[at] == codes, counts[at], 0)
 
 
 def decompose(rows: np.ndarray, lengths: np.ndarray, dictionary: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(gram from every start, number of grams, affected-gram bound); starts without a gram hold 0.
+    """(gram from every start, its size, affected-gram bound of the word); starts without a gram hold 0.
 
     ``dictionary`` has the sorted codes of the frequent grams.
     """
+    known = np.ones(len(dictionary), np.int64)
     n_words, width = rows.shape
     starts = np.arange(width)[None, :]
     grams = np.zeros((n_words, width), np.uint64)
@@ -79,36 +85,33 @@ def decompose(rows: np.ndarray, lengths: np.ndarray, dictionary: np.ndarray) ->
         grams[:, :w] = np.where(fits, codes, grams[:, :w])
         sizes[:, :w] = np.where(fits, size, sizes[:, :w])
         longer = np.zeros_like(open_)
-        longer[:, :w][fits] = _known(codes[fits], dictionary)
+        longer[:, :w][fits] = frequency_of(codes[fits], dictionary, known) > 0
         open_ = longer
     edges = np.zeros((n_words, width + 1), np.int64)
     held = sizes > 0
     edges[:, :width] += held
     row, start = np.nonzero(held)
     np.subtract.at(edges, (row, start + sizes[row, start]), 1)
-    return grams, held.sum(axis=1), np.cumsum(edges, axis=1).max(axis=1)
+    return grams, sizes, np.cumsum(edges, axis=1).max(axis=1)
 
 
-def prefixes(
-    grams: np.ndarray, bounds: np.ndarray, dictionary: np.ndarray
-) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(row, start, gram) of the first grams of every word in one order of all grams: its bound and one more.
+def two_apart(sizes: np.ndarray, weights: np.ndarray) -> np.ndarray:
+    """Starts before ``WINDOW`` of two grams of every word that do not overlap, those of the least weight together.
 
-    Two words within one edit share one of these at the same start, or one apart. Of the grams that both keep
-    take the first in the order (equal grams by their start): before it stand only grams that the edit
-    touched, of which there are no more than the bound. Frequent grams, which only the longest and those at a
-    word's end can be, come last, so that lists are short. A code has less than 62 bits, in which the odd
-    factor gives every gram a number of its own.
+    Every word has two: the gram at its start has at most seven characters, the last one two.
     """
-    weight = (grams * _MIX) & np.uint64((1 << 62) - 1)
-    weight |= _known(grams, dictionary).astype(np.uint64) << np.uint64(62)
-    weight[grams == 0] = np.iinfo(np.uint64).max
-    order = np.argsort(weight, axis=1, kind="stable")
-    row, place = np.nonzero(np.arange(grams.shape[1])[None, :] <= bounds[:, None])
-    start = order[row, place]
-    held = grams[row, start] != 0
-    row, start = row[held], start[held]
-    return row, start, grams[row, start]
+    sizes, weights = sizes[:, :WINDOW], weights[:, :WINDOW]
+    n_words, width = sizes.shape
+    starts = np.arange(width)
+    # The best gram that ends at or before each place, by weight and start in one number.
+    packed = weights * width + starts[None, :]
+    best = np.full((n_words, width + LONGEST), np.iinfo(np.int64).max // 4)
+    row, start = np.nonzero(sizes > 0)
+    np.minimum.at(best, (row, start + sizes[row, start]), packed[row, start])
+    best = np.minimum.accumulate(best, axis=1)[:, :width]
+    second = np.where(sizes > 0, best // width + weights, np.iinfo(np.int64).max // 4).argmin(axis=1)
+    first = best[np.arange(n_words), second] % width
+    return np.stack([first, second], axis=1)
 
 
 def common_grams(grams: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -119,6 +122,16 @@ def common_grams(grams: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return (((ours == theirs) | (ours == later)) & (ours != 0)).sum(axis=1)
 
 
+def pair_sketch(rows: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """64 bits per word: for each bit, whether the word has an odd number of the two-letter grams that fall on it.
+
+    One edit takes away and adds at most two such grams, so it changes at most ``SKETCH_BITS`` bits.
+    """
+    bits = np.uint64(1) << ((gram_codes(rows, 2) * _MIX) >> np.uint64(58))
+    bits[np.arange(bits.shape[1])[None, :] + 2 > lengths[:, None]] = 0
+    return np.bitwise_xor.reduce(bits, axis=1)
+
+
 def one_edit_apart(rows: np.ndarray, lengths: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Exact test of pairs; words ``b`` are as long as words ``a`` or one character longer."""
     left, right = rows[a], rows[b]
@@ -135,43 +148,55 @@ def one_edit_apart(rows: np.ndarray, lengths: np.ndarray, a: np.ndarray, b: np.n
     return replaced | inserted
 
 
+def _candidates(keys: np.ndarray, left: np.ndarray, chunk: int):
+    """Pairs of a word looked up in a list and a word of the list, as indexes into the sorted entries, in chunks."""
+    looked, held = np.flatnonzero(left), np.flatnonzero(~left)
+    firsts = np.searchsorted(keys[held], keys[looked], "left")
+    sizes = np.searchsorted(keys[held], keys[looked], "right") - firsts
+    ends = np.cumsum(sizes)
+    done = 0
+    while done < len(looked):
+        before = ends[done - 1] if done else 0
+        upto = max(int(np.searchsorted(ends, before + chunk, "right")), done + 1)
+        part = slice(done, upto)
+        n = int(ends[upto - 1] - before)
+        shift = firsts[part] - (ends[part] - sizes[part] - before)
+        yield np.repeat(looked[part], sizes[part]), held[np.repeat(shift, sizes[part]) + np.arange(n)]
+        done = upto
+
+
 def merge_lists(
-    keys: np.ndarray, left: np.ndarray, right: np.ndarray, word: np.ndarray, rows: np.ndarray, lengths: np.ndarray,
-    dictionary: np.ndarray, cells: int = 1 << 22,
+    keys: np.ndarray, left: np.ndarray, word: np.ndarray, rows: np.ndarray, lengths: np.ndarray,
+    dictionary: np.ndarray, chunk: int = 1 << 18, cells: int = 1 << 21,
 ) -> tuple[np.ndarray, np.ndarray]:
     """Pairs of words one edit apart among the entries of the lists ``keys``; (a, b) as indexes into ``rows``.
 
-    An entry belongs to a list, as one of its own words (``left``), as a word to compare with (``right``), or
-    both; ``word`` is its row. The short lists give candidates, whose other lists are then probed: a pair
-    stays if it shares at least as many grams as both words' bounds leave. What stays is tested exactly.
-    Candidates are handled ``cells`` characters at a time.
+    An entry belongs to a list as a word that is looked up there (``left``) or as a word that has the gram;
+    ``word`` is its row, and rows are in the order of the words. The lists looked up give candidates. A candidate stays if its two-letter grams allow
+    one edit; then the other lists are probed, and it stays if the words share at least as many grams as the
+    bounds of both leave. What stays is tested exactly. About ``chunk`` candidates are held at a time, of which
+    those left are read in parts of ``cells`` characters.
     """
-    chunk = max(cells // rows.shape[1], 1)
     order = np.argsort(keys, kind="stable")
-    keys, left, right, word = keys[order], left[order], right[order], word[order]
-    grams, n_grams, bounds = decompose(rows, lengths, dictionary)
-    least = n_grams - bounds
-    others = np.flatnonzero(right)
-    firsts = np.searchsorted(keys[others], keys, "left")
-    sizes = np.where(left, np.searchsorted(keys[others], keys, "right") - firsts, 0)
-    ends = np.cumsum(sizes)
+    keys, left, word = keys[order], left[order], word[order]
+    grams, sizes, bounds = decompose(rows, lengths, dictionary)
+    least = (sizes > 0).sum(axis=1) - bounds
+    sketch = pair_sketch(rows, lengths)[word]
+    step = max(cells // rows.shape[1], 1)
     found_a, found_b = [], []
-    done, total = 0, int(ends[-1]) if len(ends) else 0
-    while done < total:
-        upto = min(done + chunk, total)
-        number = np.arange(done, upto)
-        entry = np.searchsorted(ends, number, "right")
-        other = others[firsts[entry] + number - (ends[entry] - sizes[entry])]
-        a, b = word[entry], word[other]
-        grow = lengths[b] - lengths[a]
-        fit = (grow == 1) | ((grow == 0) & (a < b))
-        a, b = a[fit], b[fit]
-        fit = common_grams(grams, a, b) >= np.maximum(least[a], least[b])
-        a, b = a[fit], b[fit]
-        fit = one_edit_apart(rows, lengths, a, b)
-        found_a.append(a[fit])
-        found_b.append(b[fit])
-        done = upto
+    for at_a, at_b in _candidates(keys, left, chunk):
+        near = np.bitwise_count(sketch[at_a] ^ sketch[at_b]) <= SKETCH_BITS
+        all_a, all_b = word[at_a[near]], word[at_b[near]]
+        # Of two words of one length it is enough to look up the first.
+        fit = (lengths[all_b] > lengths[all_a]) | (all_a < all_b)
+        all_a, all_b = all_a[fit], all_b[fit]
+        for start in range(0, len(all_a), step):
+            a, b = all_a[start : start + step], all_b[start : start + step]
+            fit = common_grams(grams, a, b) >= np.maximum(least[a], least[b])
+            a, b = a[fit], b[fit]
+            fit = one_edit_apart(rows, lengths, a, b)
+            found_a.append(a[fit])
+            found_b.append(b[fit])
     if not found_a:
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
     pairs = np.unique(np.stack([np.concatenate(found_a), np.concatenate(found_b)]), axis=1)

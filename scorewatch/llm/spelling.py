@@ -1,9 +1,9 @@
 """Spelling variants of the words of a corpus by an index of variable-length grams.
 
-Words within one edit meet in the list of a rare gram that both have at about the same place
-(``gram_index``). Lists are dealt over the cluster by gram, place and word length; a word enters a list per
-prefix gram for words of its own length and two for those a letter shorter. A list over ``LIST_LIMIT`` entries
-is dealt into tiles.
+Words within one edit meet in the list of a gram that both have at about the same place (``gram_index``).
+Lists are dealt over the cluster by gram, place and word length. A word stands in the list of each of its
+grams and is looked up in those of two rare grams that do not overlap, among words of its own length and of
+one letter more. A list over ``LIST_LIMIT`` entries is dealt into tiles.
 """
 
 from __future__ import annotations
@@ -37,7 +37,6 @@ SHARD_CELLS = 1 << 20
 #: Words that a task counts before it passes them on.
 HELD_WORDS = 300_000
 
-_LEFT, _RIGHT = 1, 2
 _LOWER = b"abcdefghijklmnopqrstuvwxyz"
 _FOLD = bytes.maketrans(_LOWER.upper(), _LOWER)
 #: Latin-1 bytes of runs: a-z and U+00C0 to U+00FF, A-Z as a-z; the rest is a space.
@@ -94,8 +93,8 @@ def _sorted_parts(words: list[bytes], cells: int = SHARD_CELLS) -> Iterator[np.n
         start += size
 
 
-def gram_dictionary(words: DataFrame, entries: int = DICTIONARY, floor: int = GRAM_FLOOR) -> np.ndarray:
-    """Sorted codes of the grams that more than ``floor`` words have, or more where they could be over ``entries``.
+def gram_dictionary(words: DataFrame, entries: int = DICTIONARY, floor: int = GRAM_FLOOR) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted codes and counts of the grams that more than ``floor`` words have, or more where they could be over ``entries``.
 
     All words are counted. The floor rises with the number of grams, so that no more than ``entries`` can pass.
     """
@@ -112,8 +111,10 @@ def gram_dictionary(words: DataFrame, entries: int = DICTIONARY, floor: int = GR
     total = words.agg(F.sum(sum(sizes[1:], sizes[0]))).first()[0] or 0
     least = max(floor, math.ceil(total / entries))
     found = words.select("word").mapInArrow(count, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n"))
-    rows = found.where(F.col("n") > least).select("gram").toArrow()
-    return np.sort(np.asarray(rows.column("gram"), np.int64).view(np.uint64))
+    rows = found.where(F.col("n") > least).toArrow()
+    codes = np.asarray(rows.column("gram"), np.int64).view(np.uint64)
+    order = np.argsort(codes)
+    return codes[order], np.asarray(rows.column("n"), np.int64)[order]
 
 
 def _list_ids(grams: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
@@ -121,33 +122,32 @@ def _list_ids(grams: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.
     return mix64(mix64(grams + np.uint64(0x9E3779B97F4A7C15)) + places).view(np.int64)
 
 
-def list_entries(words: DataFrame, dictionary: np.ndarray) -> DataFrame:
-    """(list, width, role, word, n): every word in the lists of its prefix grams.
+def list_entries(words: DataFrame, dictionary: np.ndarray, counts: np.ndarray) -> DataFrame:
+    """(list, width, left, word, n): every word in the lists of its grams and in those where it is looked up.
 
-    ``width`` is the length with marks of the words that a list is for. A word is an entry of its own in the list for its length, and one to compare with in the lists for words
-    that lack one letter, before or behind the gram.
+    ``width`` is the length with marks of the words that a list is for. A word of one letter more has the same
+    gram at the same place or one later, as the letter comes behind the gram or before it.
     """
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            names, counts = batch.column("word"), batch.column("n")
+            names, numbers = batch.column("word"), batch.column("n")
             texts = [w.encode("latin-1") for w in names.to_pylist()]
             for part in _sorted_parts(texts):
                 rows, lengths = G.matrix_of([texts[k] for k in part])
-                grams, _, bounds = G.decompose(rows, lengths, dictionary)
-                row, start, gram = G.prefixes(grams, bounds, dictionary)
-                longer = lengths[row] > MIN_LENGTH + 2
-                behind = longer & (start > 0)
-                width = np.concatenate([lengths[row], lengths[row[longer]] - 1, lengths[row[behind]] - 1])
-                place = np.concatenate([start, start[longer], start[behind] - 1])
-                lists = _list_ids(np.concatenate([gram, gram[longer], gram[behind]]), place, width)
-                roles = np.full(len(lists), _RIGHT, np.int32)
-                roles[: len(row)] = _LEFT | _RIGHT
-                at = pa.array(part[np.concatenate([row, row[longer], row[behind]])])
-                columns = [*map(pa.array, (lists, width.astype(np.int32), roles)), names.take(at), counts.take(at)]
-                yield pa.RecordBatch.from_arrays(columns, ["list", "width", "role", "word", "n"])
-
-    return words.mapInArrow(work, "list long, width int, role int, word string, n long")
+                grams, sizes, _ = G.decompose(rows, lengths, dictionary)
+                two = G.two_apart(sizes, G.frequency_of(grams, dictionary, counts)).ravel()
+                own, start = np.nonzero(sizes[:, : G.WINDOW + 1])
+                up = np.repeat(np.arange(len(rows)), 2)
+                row = np.concatenate([own, up, up, up])
+                place = np.concatenate([start, two, two, two + 1])
+                width = lengths[row] + np.repeat([0, 0, 1, 1], [len(own), len(up), len(up), len(up)])
+                lists = _list_ids(np.concatenate([grams[own, start], *[grams[up, two]] * 3]), place, width)
+                left, at = pa.array(np.arange(len(row)) >= len(own)), pa.array(part[row])
+                columns = [pa.array(lists), pa.array(width.astype(np.int32)), left, names.take(at), numbers.take(at)]
+                yield pa.RecordBatch.from_arrays(columns, ["list", "width", "left", "word", "n"])
+
+    return words.mapInArrow(work, "list long, width int, left boolean, word string, n long")
 
 
 def tiled(entries: DataFrame, limit: int = LIST_LIMIT) -> DataFrame:
@@ -161,21 +161,14 @@ def tiled(entries: DataFrame, limit: int = LIST_LIMIT) -> DataFrame:
     if not n:
         return entries
     own = F.pmod(F.xxhash64("word"), F.col("parts")).cast("int")
-    tile = lambda a, b, role: F.struct(F.xxhash64("list", a, b).alias("list"), role.alias("role"))
-    as_left = F.transform(
-        F.sequence(F.lit(0), F.col("parts") - 1),
-        lambda k: tile(F.col("own"), k, F.when(k == F.col("own"), F.col("role")).otherwise(F.lit(_LEFT))),
+    every = F.sequence(F.lit(0), F.col("parts") - 1)
+    tiles = F.transform(
+        every,
+        lambda k: F.when(F.col("left"), F.xxhash64("list", "own", k)).otherwise(F.xxhash64("list", k, F.col("own"))),
     )
-    as_right = F.transform(F.sequence(F.lit(0), F.col("parts") - 1), lambda k: tile(k, F.col("own"), F.lit(_RIGHT)))
-    is_left = F.col("role").bitwiseAND(_LEFT) > 0
-    # An entry that is both goes as both into the tile of its own part only.
-    tiles = F.when(
-        is_left, F.concat(as_left, F.filter(as_right, lambda t: t["list"] != F.xxhash64("list", "own", "own")))
-    ).otherwise(as_right)
     dealt = entries.join(F.broadcast(long_lists) if n < 100_000 else long_lists, "list", "left").withColumn("own", own)
-    one = F.array(F.struct("list", "role"))
-    cut = dealt.withColumn("tile", F.explode(F.when(F.col("parts").isNull(), one).otherwise(tiles)))
-    return cut.select("tile.list", "width", "tile.role", "word", "n")
+    to = F.when(F.col("parts").isNull(), F.array("list")).otherwise(tiles)
+    return dealt.withColumn("list", F.explode(to)).select("list", "width", "left", "word", "n")
 
 
 def near_pairs(words: DataFrame) -> DataFrame:
@@ -183,8 +176,8 @@ def near_pairs(words: DataFrame) -> DataFrame:
 
     A task loads lists of words of similar length, of about ``SHARD_CELLS`` characters by the measured sizes.
     """
-    dictionary = gram_dictionary(words)
-    entries = pin(list_entries(words, dictionary), "gram-lists")
+    dictionary, known = gram_dictionary(words)
+    entries = pin(list_entries(words, dictionary, known), "gram-lists")
     sizes = {r[0]: r[1] for r in entries.groupBy(_width_class()).agg(F.sum("width")).collect()}
     parts = [math.ceil(sizes.get(k, 0) / SHARD_CELLS) for k in range(max(sizes, default=0) + 1)]
     before = [sum(parts[:k]) for k in range(len(parts))]
@@ -192,15 +185,18 @@ def near_pairs(words: DataFrame) -> DataFrame:
     shard = of_class(before) + F.pmod("list", of_class(parts)).cast("int")
 
     def work(table: pa.Table) -> pa.Table:
-        names = table.column("word").combine_chunks().dictionary_encode()
-        counts = np.zeros(len(names.dictionary), np.int64)
-        index = np.asarray(names.indices).astype(np.int64)
+        coded = table.column("word").combine_chunks().dictionary_encode()
+        texts = [w.encode("latin-1") for w in coded.dictionary.to_pylist()]
+        # Rows in the order of the words, which is the same in every task.
+        order = np.array(sorted(range(len(texts)), key=texts.__getitem__))
+        index = np.argsort(order)[np.asarray(coded.indices)]
+        names, texts = coded.dictionary.take(pa.array(order)), [texts[k] for k in order.tolist()]
+        counts = np.zeros(len(texts), np.int64)
         counts[index] = np.asarray(table.column("n"))
-        lists, roles = np.asarray(table.column("list")), np.asarray(table.column("role"))
-        rows, lengths = G.matrix_of([w.encode("latin-1") for w in names.dictionary.to_pylist()])
-        a, b = G.merge_lists(lists, roles & _LEFT > 0, roles & _RIGHT > 0, index, rows, lengths, dictionary)
-        take = names.dictionary.take
-        columns = [take(pa.array(a)), pa.array(counts[a]), take(pa.array(b)), pa.array(counts[b])]
+        lists, left = np.asarray(table.column("list")), np.asarray(table.column("left"))
+        rows, lengths = G.matrix_of(texts)
+        a, b = G.merge_lists(lists, left, index, rows, lengths, dictionary)
+        columns = [names.take(pa.array(a)), pa.array(counts[a]), names.take(pa.array(b)), pa.array(counts[b])]
         return pa.Table.from_arrays(columns, ["a", "n_a", "b", "n_b"])
 
     found = tiled(entries).groupBy(shard.alias("shard")).applyInArrow(work, "a string, n_a long, b string, n_b long")

@@ -82,12 +82,12 @@ def test_variants(spark, monkeypatch, limit, cells, floor, entries):
 def test_dictionary_is_bounded(spark):
     words = spark.createDataFrame([(w, 2) for w in words_by_force(corpus(7))], "word string, n long")
     for entries in (1, 10, 100):
-        found = spelling.gram_dictionary(words, entries, 0)
-        assert len(found) <= entries and (np.diff(found.view(np.int64)) > 0).all()
+        found, counts = spelling.gram_dictionary(words, entries, 0)
+        assert len(found) <= entries and (np.diff(found.view(np.int64)) > 0).all() and (counts > 0).all()
 
 
-def test_bounds_and_prefixes_hold():
-    """Words one edit apart keep all grams but the bound and meet in a prefix gram at the same place or one apart."""
+def test_bounds_hold():
+    """Words one edit apart keep all grams but the bound, and one of two grams that do not overlap, in about its place."""
     rng = np.random.default_rng(3)
     for _ in range(300):
         letters = int(rng.integers(1, 5))
@@ -95,18 +95,24 @@ def test_bounds_and_prefixes_hold():
         a = make(int(rng.integers(7, 15)))
         at = int(rng.integers(0, len(a) + 1))
         b = a[:at] + make(1) + a[at + int(rng.integers(0, 2)) :]
+        if a == b or len(b) < len(a):
+            continue
         rows, lengths = gram_index.matrix_of([a, b])
         known = np.unique(gram_index.all_grams(rows, lengths))
         dictionary = known[rng.random(len(known)) < rng.random()]
         grams, sizes, bounds = gram_index.decompose(rows, lengths, dictionary)
+        n_grams = (sizes > 0).sum(axis=1)
         common = gram_index.common_grams(grams, np.array([0]), np.array([1]))[0]
-        if a == b or len(b) < len(a):
-            continue
-        assert (sizes > bounds).all() and common >= max(sizes - bounds)
-        row, start, gram = gram_index.prefixes(grams, bounds, dictionary)
-        first = {(g, s) for r, s, g in zip(row, start, gram) if r == 0}
-        shifts = {0, 1} if len(b) > len(a) else {0}
-        assert any((g, s - k) in first for r, s, g in zip(row, start, gram) if r == 1 for k in shifts)
+        assert (n_grams > bounds).all() and common >= max(n_grams - bounds)
+        weights = rng.integers(0, 9, sizes.shape)
+        two = gram_index.two_apart(sizes, weights)
+        assert (two[:, 0] + sizes[[0, 1], two[:, 0]] <= two[:, 1]).all() and (sizes[[0, 1], two[:, 1]] > 0).all()
+        pairs = [(p, q) for q in range(n_grams[0]) for p in range(q) if p + sizes[0, p] <= q]
+        assert weights[0, two[0]].sum() == min(weights[0, p] + weights[0, q] for p, q in pairs)
+        later = (0, 1) if len(b) > len(a) else (0,)
+        assert any(grams[1, p + k] == grams[0, p] for p in two[0] for k in later)
+        sketch = gram_index.pair_sketch(rows, lengths)
+        assert (int(sketch[0]) ^ int(sketch[1])).bit_count() <= gram_index.SKETCH_BITS
         assert gram_index.one_edit_apart(rows, lengths, np.array([0]), np.array([1]))[0] == near(a, b)
 
 
