@@ -18,9 +18,6 @@ HITS = (TRUE_POSITIVE, TRUE_NEGATIVE)
 MISSES = (FALSE_POSITIVE, FALSE_NEGATIVE)
 OUTCOMES = (TRUE_POSITIVE, FALSE_POSITIVE, TRUE_NEGATIVE, FALSE_NEGATIVE)
 
-# Order in which reports list the outcomes; anything else sorts last.
-OUTCOME_REPORT_ORDER = (TRUE_POSITIVE, FALSE_POSITIVE, FALSE_NEGATIVE, TRUE_NEGATIVE)
-
 # Reviewer certainty.
 CONFIRMED = "confirmed"
 UNCERTAIN = "uncertain"

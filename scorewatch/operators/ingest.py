@@ -45,20 +45,26 @@ def stamp_batch(rows: DataFrame, loaded_at: Column) -> DataFrame:
     return rows.withColumns({"ingested_at": loaded_at, "ingestion_batch_id": times.batch_id(loaded_at)})
 
 
-def upsert_by_key(target: DataFrame, source: DataFrame, key: str | Sequence[str]) -> DataFrame:
-    """Target after a keyed merge: matched rows take the source's values, new rows are added.
-
-    Two source rows with one key are an error, raised while the job runs. The target is only
-    filtered: with a batch small enough to broadcast, by its measured size, it is not shuffled.
-    """
+def unique_by_key(source: DataFrame, key: str | Sequence[str]) -> DataFrame:
+    """The rows of a load; two rows with one key are an error, raised while the job runs."""
     keys = [key] if isinstance(key, str) else list(key)
     payload = F.struct(*[c for c in source.columns if c not in keys])
     grouped = source.groupBy(*keys).agg(F.first(payload).alias("row"), F.count("*").alias("copies"))
     message = F.concat(F.lit("duplicate source key: "), F.concat_ws(",", *[F.col(k).cast("string") for k in keys]))
     checked = grouped.withColumn("row", F.when(F.col("copies") > 1, F.raise_error(message)).otherwise(F.col("row")))
-    incoming = checked.select(*keys, "row.*")
+    return checked.select(*keys, "row.*").select(*source.columns)
+
+
+def upsert_by_key(target: DataFrame, source: DataFrame, key: str | Sequence[str]) -> DataFrame:
+    """Target after a keyed merge: matched rows take the source's values, new rows are added.
+
+    The rows only; ``sources.keyed`` keeps them in a table whose other files stay as they are. Two source rows
+    with one key are an error, raised while the job runs. The target is only filtered: with a batch small
+    enough to broadcast, by its measured size, it is not shuffled.
+    """
+    keys = [key] if isinstance(key, str) else list(key)
     kept = target.join(source.select(*keys).distinct(), keys, "left_anti")
-    return kept.unionByName(incoming.select(*target.columns))
+    return kept.unionByName(unique_by_key(source, keys).select(*target.columns))
 
 
 def change_feed(old: DataFrame, new: DataFrame, key: str) -> DataFrame:

@@ -12,7 +12,7 @@ from scorewatch.functions import labels, payloads, texts, times
 from scorewatch.operators import abtest, evaluation, ingest, joins, metrics, monitor, quality, review, sampling, scoring
 from scorewatch.schemas import FEEDBACK, conform
 from scorewatch.session import shared_folder
-from scorewatch.sources import files, tables, testbed
+from scorewatch.sources import files, keyed, tables, testbed
 from scorewatch.streaming import streams
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -86,10 +86,14 @@ def _conform_schema(spark, sf_dir):
 
 @query("write_overwrite")
 def _write_overwrite(spark, sf_dir):
-    root = shared_folder(spark, "images")
-    if not tables.table_exists(spark, root):
-        tables.write_next(testbed.images(spark, sf_dir), root)
-    return tables.read_current(spark, root)
+    """A first load creates the table, a later one takes its place."""
+    path = shared_folder(spark, "images")
+    name = path.rpartition("/")[2].replace("-", "_")
+    images = testbed.images(spark, sf_dir)
+    tables.create_or_replace(images.limit(0), name, path)
+    if tables.table_exists(spark, name):
+        tables.create_or_replace(images, name, path)
+    return spark.table(name)
 
 
 @query("append_rows")
@@ -106,9 +110,9 @@ def _append_rows(spark, sf_dir):
 def _upsert_by_key(spark, sf_dir):
     stored, batch = testbed.image_reload(spark, sf_dir)
     root = shared_folder(spark, "images")
-    tables.write_next(stored, root)
-    tables.write_next(ingest.upsert_by_key(tables.read_current(spark, root), batch, "image_id"), root)
-    return tables.read_current(spark, root)
+    for number, load in enumerate((stored, batch)):
+        keyed.merge(ingest.unique_by_key(load, "image_id"), root, "image_id", number)
+    return keyed.read(spark, root)
 
 
 @query("migrate_log")
@@ -641,36 +645,71 @@ def _feedback_stream(spark, sf_dir):
     return testbed.feedback_from(testbed.event_stream(spark, sf_dir))
 
 
+def _partitions(spark):
+    """State partitions for the small test tables: one wave of tasks."""
+    return min(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+
+
+def _windows(spark, sf_dir, purpose, *shape):
+    root = shared_folder(spark, purpose)
+    windows = streams.outcome_windows(_feedback_stream(spark, sf_dir), *shape)
+    streams.keep_windows(windows, f"{root}/rows", f"{root}/checkpoint", _partitions(spark))
+    return streams.read_windows(spark, f"{root}/rows")
+
+
 @query("stream_daily_error_rate")
 def _stream_daily_error_rate(spark, sf_dir):
-    return streams.materialize(streams.daily_error_rate(_feedback_stream(spark, sf_dir)), "daily-errors")
+    return streams.error_rates(_windows(spark, sf_dir, "daily-errors", "1 day"))
 
 
 @query("stream_sliding_accuracy")
 def _stream_sliding_accuracy(spark, sf_dir):
-    return streams.materialize(streams.sliding_accuracy(_feedback_stream(spark, sf_dir)), "sliding-accuracy")
+    return streams.accuracies(_windows(spark, sf_dir, "sliding-accuracy", "7 days", "1 day"))
 
 
 @query("stream_review_sessions")
 def _stream_review_sessions(spark, sf_dir):
-    return streams.materialize(streams.review_sessions(_feedback_stream(spark, sf_dir)), "sessions")
+    closed = streams.materialize(streams.review_sessions(_feedback_stream(spark, sf_dir)), "sessions", _partitions(spark))
+    return streams.with_open_sessions(closed, testbed.feedback(spark, sf_dir))
 
 
 @query("stream_feedback_join")
 def _stream_feedback_join(spark, sf_dir):
+    """The most reviewed predictions so far are spread, however few their reviews, so that every run takes that way."""
+    root = shared_folder(spark, "reviewed-keys")
+    streams.watch_keys(_feedback_stream(spark, sf_dir), "prediction_id", f"{root}/sketches", f"{root}/checkpoint")
+    hot = streams.hot_keys(spark, f"{root}/sketches", most=16, share=0.0)
     predictions = testbed.predictions_from(testbed.event_stream(spark, sf_dir))
-    return streams.materialize(streams.feedback_join(predictions, _feedback_stream(spark, sf_dir)), "feedback-join")
+    spread = streams.feedback_join(predictions, _feedback_stream(spark, sf_dir), hot=hot)
+    joined = streams.settle_hot(streams.materialize(spread, "feedback-join", _partitions(spark)), hot)
+    return streams.with_waiting(joined, testbed.predictions(spark, sf_dir))
+
+
+@query("stream_late_split")
+def _stream_late_split(spark, sf_dir):
+    """Reviews arrive in the order of their predictions, eight days at a time; each arrival is one batch."""
+    root = shared_folder(spark, "late-split")
+    for part in range(testbed.ARRIVALS):
+        testbed.feedback_arrival(spark, sf_dir, part).write.mode("append").parquet(f"{root}/arrived")
+        arrived = spark.readStream.schema(FEEDBACK).parquet(f"{root}/arrived")
+        streams.split_late(arrived, "timestamp", root, f"{root}/checkpoint")
+    columns = ["feedback_id", "timestamp", "batch_id"]
+    late = spark.read.parquet(f"{root}/late").select(*columns, "watermark").withColumn("late", F.lit(True))
+    on_time = spark.read.parquet(f"{root}/on_time").select(*columns).withColumn("late", F.lit(False))
+    return late.unionByName(on_time, allowMissingColumns=True).withColumn("batch_id", F.col("batch_id").cast("long"))
 
 
 @query("stream_dedup")
 def _stream_dedup(spark, sf_dir):
+    root = shared_folder(spark, "dedup")
     keys = ["prediction_id", "ground_truth"]
-    return streams.materialize(streams.deduplicate(_feedback_stream(spark, sf_dir), keys), "dedup")
+    streams.deduplicate(_feedback_stream(spark, sf_dir), keys, f"{root}/rows", f"{root}/checkpoint")
+    return keyed.read(spark, f"{root}/rows")
 
 
 @query("stream_upsert")
 def _stream_upsert(spark, sf_dir):
     root = shared_folder(spark, "loads")
     log = testbed.request_log_from(testbed.event_stream(spark, sf_dir))
-    streams.load_batches(ingest.migrate_log(log), f"{root}/rows", f"{root}/checkpoint")
-    return streams.read_latest(spark, f"{root}/rows", "prediction_id", "predicted_at")
+    streams.load_batches(ingest.migrate_log(log), f"{root}/rows", "prediction_id", "predicted_at", f"{root}/checkpoint")
+    return keyed.read(spark, f"{root}/rows")

@@ -1,13 +1,19 @@
 """SQL equivalents of the registered queries, for DuckDB over the same test tables.
 
 ``BASE`` states the derivation of the monitored tables once more, in SQL; every query is a SELECT
-after it.
+after it. Nothing is imported from the library, so a wrong value there shows.
 """
 
 from __future__ import annotations
 
-from scorewatch import constants as K
-from scorewatch.plans import catalog as C
+# Parameters of the registered queries.
+_RUN_TIME = "2024-02-01 00:00:00"
+_LOOKUP_IMAGE = "42"
+_SUMMARY_BATCH = "20240106_060000"
+_PRUNE_FROM, _PRUNE_TO = "2024-01-10", "2024-01-16"
+_BATCH_REVIEWER = "DR_BATCH"
+_PER_CLASS = 50
+_THRESHOLDS = "0.1, 0.3, 0.5, 0.7, 0.9"
 
 _HIT = "feedback_type IN ('true-positive', 'true-negative')"
 _MISS = "feedback_type IN ('false-positive', 'false-negative')"
@@ -33,17 +39,18 @@ _PRECISION = _ratio(_TP, f"({_TP} + {_FP})")
 _RECALL = _ratio(_TP, f"({_TP} + {_FN})")
 _F1 = f"(2.0::DOUBLE * {_PRECISION} * {_RECALL} / NULLIF({_PRECISION} + {_RECALL}, 0))"
 _COUNTS = f"""{_TP} AS true_positives, {_FP} AS false_positives, {_TN} AS true_negatives, {_FN} AS false_negatives"""
-_ORDER = f"CAST(COALESCE(list_position({list(K.OUTCOME_REPORT_ORDER)}, feedback_type), 5) AS INTEGER)"
-_FAMILY = f"""CASE WHEN contains(model_name, 'pytorch') THEN '{K.TORCH_FAMILY}'
-  WHEN contains(model_name, 'classifier') THEN '{K.KERAS_FAMILY}' ELSE model_name END"""
+_ORDER = """CASE feedback_type WHEN 'true-positive' THEN 1 WHEN 'false-positive' THEN 2 WHEN 'false-negative' THEN 3
+  WHEN 'true-negative' THEN 4 ELSE 5 END"""
+_FAMILY = """CASE WHEN model_name LIKE '%pytorch%' THEN 'PyTorch' WHEN model_name LIKE '%classifier%' THEN 'Keras'
+  ELSE model_name END"""
 _SCORE = "CAST(response::JSON->>'$.predictions[0][0]' AS DOUBLE)"
 _HASH = "CAST('0x' || substr(md5('{seed}:' || image_id), 1, 8) AS BIGINT)"
 _SHUFFLE = "md5('42:' || image_id) || ':' || image_id"
 _DECODE = "CASE WHEN {0} = 1 THEN 'PNEUMONIA' ELSE 'NORMAL' END"
-_RUN = f"TIMESTAMP '{C.RUN_TIME}'"
-_WEIGHTS = "[" + ", ".join(str(w) for w in C.WEIGHTS) + "]::DOUBLE[]"
-_LINEAR = f"list_sum([embedding[i]::DOUBLE * ({_WEIGHTS})[i] for i in range(1, {C.VECTOR_SIZE} + 1)]) + {C.BIAS}"
-_WATERMARK = "(SELECT MAX(\"timestamp\") FROM feedback) - INTERVAL 1 DAY"
+_RUN = f"TIMESTAMP '{_RUN_TIME}'"
+_LINEAR = """list_sum(list_transform(range(0, 64), lambda i: embedding[i + 1]::DOUBLE * (((i * 7) % 11 - 5) / 10.0::DOUBLE)))
+  + 0.1::DOUBLE"""
+_NEWEST = '(SELECT MAX("timestamp") FROM feedback)'
 
 BASE = f"""
 WITH scored AS (
@@ -294,7 +301,7 @@ WHERE ts > (SELECT MAX(ingested_at) FROM images)""",
     "batch_stamp": f"SELECT image_id, {_RUN} AS ingested_at, '20240201_000000' AS ingestion_batch_id FROM images",
     "partition_prune": f"""SELECT prediction_id, predicted_label, prediction_probability,
   strftime(prediction_date, '%Y-%m-%d') AS prediction_date
-FROM predictions WHERE prediction_date BETWEEN DATE '{C.PRUNE_FROM}' AND DATE '{C.PRUNE_TO}'""",
+FROM predictions WHERE prediction_date BETWEEN DATE '{_PRUNE_FROM}' AND DATE '{_PRUNE_TO}'""",
     "change_feed": """SELECT 'insert' AS change_type, event_id, event_type, value FROM events WHERE event_type = 'signup'
 UNION ALL SELECT 'delete', event_id, event_type, value FROM events WHERE event_type = 'error'
 UNION ALL SELECT 'update_preimage', event_id, event_type, value FROM events WHERE event_type = 'click'
@@ -307,9 +314,9 @@ UNION ALL SELECT 'update_postimage', event_id, event_type, value + 1.0::DOUBLE F
     "ingest_summary_batch": f"""SELECT category, dataset_split, COUNT(*) AS image_count,
   CAST(SUM(file_size_bytes) AS BIGINT) AS total_size_bytes, AVG(file_size_bytes) AS avg_size_bytes,
   MIN(ingested_at) AS first_ingested, MAX(ingested_at) AS last_ingested FROM images
-WHERE ingestion_batch_id = '{C.SUMMARY_BATCH}' GROUP BY ALL""",
+WHERE ingestion_batch_id = '{_SUMMARY_BATCH}' GROUP BY ALL""",
     "sample_rows": "SELECT * FROM images ORDER BY image_id LIMIT 10",
-    "lookup_by_id": f"SELECT file_path, filename FROM images WHERE image_id = '{C.LOOKUP_IMAGE}' LIMIT 1",
+    "lookup_by_id": f"SELECT file_path, filename FROM images WHERE image_id = '{_LOOKUP_IMAGE}' LIMIT 1",
     "decode_label": f"""SELECT prediction_id, {_DECODE.format("predicted_label")} AS predicted,
   {_DECODE.format("true_label")} AS true_diagnosis, true_label FROM predictions""",
     "score_to_prediction": """SELECT prediction_id, CAST(prediction_probability > 0.5 AS INTEGER) AS predicted_label,
@@ -338,16 +345,16 @@ FROM request_log""",
     "performance_live": f"""{_LIVE}, strftime("date", '%Y-%m-%d') AS prediction_date, feedback_id FROM served""",
     "review_queue": _QUEUE.format(filter=""),
     "review_queue_filtered": _QUEUE.format(
-        filter=f"""AND p.prediction_date BETWEEN DATE '{C.PRUNE_FROM}' AND DATE '{C.PRUNE_TO}'
+        filter=f"""AND p.prediction_date BETWEEN DATE '{_PRUNE_FROM}' AND DATE '{_PRUNE_TO}'
   AND p.model_name = 'clf-1' AND p.confidence_score >= 0.7"""
     ),
     "review_queue_display": f"""SELECT prediction_id, substr(prediction_id, 1, 16) AS id_preview, ai_prediction,
   ROUND(prediction_probability, 3) AS prediction_probability,
   strftime(predicted_at, '%Y-%m-%d %H:%M:%S') AS predicted_at, '?image=' || image_id AS image_link,
   CAST(NULL AS VARCHAR) AS radiologist_assessment FROM ({_QUEUE.format(filter="")})""",
-    "batch_feedback": f"""SELECT 'fb-' || substr(sha256(prediction_id || '|{C.BATCH_REVIEWER}|' || radiologist_assessment || '|{C.RUN_TIME}'), 1, 32)
+    "batch_feedback": f"""SELECT 'fb-' || substr(sha256(prediction_id || '|{_BATCH_REVIEWER}|' || radiologist_assessment || '|{_RUN_TIME}'), 1, 32)
     AS feedback_id, prediction_id, {_RUN} AS "timestamp", radiologist_assessment AS ground_truth,
-  {_OUTCOME} AS feedback_type, '{C.BATCH_REVIEWER}' AS radiologist_id, 'confirmed' AS confidence,
+  {_OUTCOME} AS feedback_type, '{_BATCH_REVIEWER}' AS radiologist_id, 'confirmed' AS confidence,
   'batch' AS feedback_source, 'from known label' AS notes
 FROM (SELECT p.prediction_id, {_DECODE.format("p.predicted_label")} AS ai_prediction,
   {_DECODE.format("p.true_label")} AS radiologist_assessment
@@ -413,23 +420,27 @@ FROM reviewed WHERE {_MISS} GROUP BY feedback_type""",
   {_n("confidence = 'confirmed'")} AS confirmed_reviews, {_n("confidence = 'uncertain'")} AS uncertain_reviews,
   {_n("confidence = 'needs_review'")} AS needs_review_count, {_pct(_n(_HIT))} AS ai_agreement_pct,
   MIN("timestamp") AS first_review, MAX("timestamp") AS last_review FROM feedback GROUP BY radiologist_id""",
-    "reviewer_agreement": f"""SELECT radiologist_id, {_pct(_n(_HIT))} AS agreement_pct, COUNT(*) AS total_reviews,
-  {_n(_MISS)} AS disagreements FROM feedback GROUP BY radiologist_id HAVING radiologist_id IS NOT NULL""",
-    "feedback_coverage": f"""SELECT total AS total_predictions, reviews AS predictions_with_feedback,
-  total - reviews AS predictions_pending_feedback, {_pct("reviews", "total")} AS feedback_coverage_pct,
-  seen AS reviewed_predictions, {_pct("seen", "total")} AS reviewed_pct
-FROM (SELECT (SELECT COUNT(DISTINCT prediction_id) FROM predictions) AS total,
-  COUNT(DISTINCT feedback_id) AS reviews, COUNT(DISTINCT prediction_id) AS seen FROM reviewed)""",
-    "feedback_coverage_7d": f"""SELECT total AS total_predictions, reviews AS predictions_with_feedback,
-  {_pct("reviews", "total")} AS coverage_pct
-FROM (SELECT (SELECT COUNT(DISTINCT request_id) FROM recent) AS total,
-  COUNT(DISTINCT feedback_id) AS reviews FROM {_RECENT_SERVED})""",
+    "reviewer_agreement": f"""SELECT COALESCE(radiologist_id, 'Unknown') AS radiologist_id, {_pct(_n(_HIT))} AS agreement_pct,
+  COUNT(*) AS total_reviews, {_n(_MISS)} AS disagreements
+FROM feedback WHERE radiologist_id IS NOT NULL GROUP BY radiologist_id""",
+    "feedback_coverage": f"""SELECT COUNT(DISTINCT p.prediction_id) AS total_predictions,
+  COUNT(DISTINCT f.feedback_id) AS predictions_with_feedback,
+  COUNT(DISTINCT p.prediction_id) - COUNT(DISTINCT f.feedback_id) AS predictions_pending_feedback,
+  {_pct("COUNT(DISTINCT f.feedback_id)", "COUNT(DISTINCT p.prediction_id)")} AS feedback_coverage_pct,
+  COUNT(DISTINCT f.prediction_id) AS reviewed_predictions,
+  {_pct("COUNT(DISTINCT f.prediction_id)", "COUNT(DISTINCT p.prediction_id)")} AS reviewed_pct
+FROM predictions p LEFT JOIN feedback f ON p.prediction_id = f.prediction_id""",
+    "feedback_coverage_7d": f"""SELECT COUNT(DISTINCT l.request_id) AS total_predictions,
+  COUNT(DISTINCT f.feedback_id) AS predictions_with_feedback,
+  {_pct("COUNT(DISTINCT f.feedback_id)", "COUNT(DISTINCT l.request_id)")} AS coverage_pct
+FROM recent l LEFT JOIN feedback f ON l.request_id = f.prediction_id""",
     "errors_by_split": """SELECT i.dataset_split, r.feedback_type, COUNT(*) AS "count"
 FROM reviewed r JOIN images i ON r.image_id = i.image_id GROUP BY ALL""",
-    "accuracy_by_size": f"""SELECT CASE WHEN i.file_size_bytes < {K.SMALL_LIMIT_BYTES} THEN '{K.SMALL_BAND}'
-    WHEN i.file_size_bytes < {K.MEDIUM_LIMIT_BYTES} THEN '{K.MEDIUM_BAND}' ELSE '{K.LARGE_BAND}' END AS size_category,
+    "accuracy_by_size": f"""SELECT CASE WHEN i.file_size_bytes < 30000 THEN 'Small (<30KB)'
+    WHEN i.file_size_bytes < 60000 THEN 'Medium (30-60KB)' ELSE 'Large (>60KB)' END AS size_category,
   {_pct(_n(_HIT))} AS accuracy_pct, COUNT(*) AS total_predictions
-FROM images i JOIN reviewed r USING (image_id) GROUP BY 1""",
+FROM feedback f JOIN predictions p ON f.prediction_id = p.prediction_id JOIN images i ON p.image_id = i.image_id
+GROUP BY 1""",
     "confusion_by_model": f"""SELECT {_FAMILY} AS model_display_name, feedback_type, COUNT(*) AS "count", {_ORDER} AS sort_order
 FROM (SELECT a.logged_model AS model_name, f.feedback_type FROM attributed a
   JOIN feedback f ON a.prediction_id = f.prediction_id) GROUP BY ALL""",
@@ -495,13 +506,13 @@ FROM ({_PAIRS})""",
     COUNT(*) FILTER (true_label = 0 AND prediction_probability > threshold) AS false_positives,
     COUNT(*) FILTER (true_label = 0 AND prediction_probability <= threshold) AS true_negatives,
     COUNT(*) FILTER (true_label = 1 AND prediction_probability <= threshold) AS false_negatives
-  FROM predictions, (SELECT UNNEST([{", ".join(map(str, C.THRESHOLDS))}]::DOUBLE[]) AS threshold) GROUP BY threshold)""",
+  FROM predictions, (SELECT UNNEST([{_THRESHOLDS}]::DOUBLE[]) AS threshold) GROUP BY threshold)""",
     "confusion_json": f"""SELECT model_name, {_JSON} AS confusion_matrix
 FROM (SELECT model_name, {_EVAL_COUNTS} FROM predictions GROUP BY model_name)""",
     "evaluation_run": f"""SELECT 'eval-' || substr(sha256(c.model_name || '|' || c.model_version || '|' || c.dataset_split
-    || '|{C.RUN_TIME}'), 1, 32) AS evaluation_id, c.model_name, c.model_version, c.dataset_split,
+    || '|{_RUN_TIME}'), 1, 32) AS evaluation_id, c.model_name, c.model_version, c.dataset_split,
   {_EVAL_METRICS}, a.auc AS auc_roc, {_JSON} AS confusion_matrix, total AS total_samples, {_RUN} AS evaluated_at,
-  '{C.RUN_TIME[:10]}' AS evaluation_date
+  '{_RUN_TIME[:10]}' AS evaluation_date
 FROM (SELECT model_name, model_version, dataset_split, COUNT(*) AS total, {_EVAL_COUNTS}
   FROM predictions p JOIN images i ON p.image_id = i.image_id GROUP BY ALL) c
 JOIN ({_auc('''SELECT model_name, model_version, dataset_split, true_label AS label, prediction_probability AS score
@@ -513,24 +524,24 @@ FROM (SELECT image_id, category, ROW_NUMBER() OVER (ORDER BY {_SHUFFLE}) - 1 AS
   FROM images)""",
     "split_hash": f"""SELECT image_id, category, CASE WHEN {_HASH.format(seed=42)} / 4294967296.0::DOUBLE < 0.7 THEN 'train'
   WHEN {_HASH.format(seed=42)} / 4294967296.0::DOUBLE < 0.7::DOUBLE + 0.15::DOUBLE THEN 'val' ELSE 'test' END AS split FROM images""",
-    "sample_per_class": _first_per_class(str(C.PER_CLASS)),
+    "sample_per_class": _first_per_class(str(_PER_CLASS)),
     "stratified_quota": _first_per_class("CASE category WHEN 'NORMAL' THEN 3 ELSE 2 END"),
     "ab_assign": f"""SELECT image_id, CAST({_HASH.format(seed=7)} % 100 AS INTEGER) AS traffic_slot,
   CASE WHEN {_HASH.format(seed=7)} % 100 < 90 THEN 'clf-1' ELSE 'clf_alt-1' END AS served_model_name FROM images""",
     "batch_score": f"""SELECT image_id, ROUND(p, 6) AS prediction_probability, CAST(p > 0.5 AS INTEGER) AS predicted_label,
   ROUND(GREATEST(p, 1 - p), 6) AS confidence_score
 FROM (SELECT CAST(vec_id AS VARCHAR) AS image_id, 1 / (1 + EXP(-({_LINEAR}))) AS p FROM embeddings)""",
-    "prediction_log": f"""SELECT 'pred-' || substr(sha256(s.image_id || '|clf|1|{C.RUN_TIME}'), 1, 32) AS prediction_id, s.image_id,
+    "prediction_log": f"""SELECT 'pred-' || substr(sha256(s.image_id || '|clf|1|{_RUN_TIME}'), 1, 32) AS prediction_id, s.image_id,
   CAST(p > 0.5 AS INTEGER) AS predicted_label, ROUND(p, 6) AS prediction_probability,
   ROUND(GREATEST(p, 1 - p), 6) AS confidence_score,
   CASE WHEN i.image_id IS NULL THEN NULL WHEN i.category = 'PNEUMONIA' THEN 1 ELSE 0 END AS true_label,
   CASE WHEN i.image_id IS NOT NULL THEN (p > 0.5) = (i.category = 'PNEUMONIA') END AS is_correct,
-  'clf' AS model_name, '1' AS model_version, {_RUN} AS predicted_at, '{C.RUN_TIME[:10]}' AS prediction_date
+  'clf' AS model_name, '1' AS model_version, {_RUN} AS predicted_at, '{_RUN_TIME[:10]}' AS prediction_date
 FROM (SELECT CAST(vec_id AS VARCHAR) AS image_id, 1 / (1 + EXP(-({_LINEAR}))) AS p FROM embeddings) s
 LEFT JOIN images i ON s.image_id = i.image_id""",
     "scale_vector": f"""SELECT CAST(vec_id AS VARCHAR) AS image_id, CAST(i - 1 AS INTEGER) AS position,
   ROUND(embedding[i]::DOUBLE / 255.0::DOUBLE, 9) AS value
-FROM embeddings, (SELECT UNNEST(range(1, {C.VECTOR_SIZE} + 1)) AS i)""",
+FROM embeddings, (SELECT UNNEST(range(1, 65)) AS i)""",
     "vector_stats": """SELECT CAST(vec_id AS VARCHAR) AS image_id,
   ROUND(list_avg(embedding::DOUBLE[]), 6) AS mean_pixel_value,
   ROUND(list_stddev_pop(embedding::DOUBLE[]), 6) AS std_pixel_value FROM embeddings""",
@@ -561,26 +572,37 @@ JOIN embeddings e ON CAST(e.vec_id AS VARCHAR) = r.image_id""",
     WHEN challenger_accuracy > champion_accuracy THEN 'PROMOTE'
     WHEN challenger_accuracy < champion_accuracy THEN 'ROLLBACK' ELSE 'KEEP TESTING' END AS decision
 FROM ({_CHI})""",
-    "stream_daily_error_rate": f"""SELECT * FROM ({_daily(f"{_pct(_n(_MISS))} AS error_rate_pct, COUNT(*) AS total_predictions")})
-WHERE "date" + INTERVAL 1 DAY <= {_WATERMARK}""",
+    "stream_daily_error_rate": f"""SELECT *, "date" + INTERVAL 1 DAY + INTERVAL 1 DAY > {_NEWEST} AS provisional
+FROM ({_daily(f"{_pct(_n(_MISS))} AS error_rate_pct, COUNT(*) AS total_predictions")})""",
     "stream_sliding_accuracy": f"""SELECT window_start, window_start + INTERVAL 7 DAYS AS window_end, COUNT(*) AS reviews,
-  {_pct(_n(_HIT))} AS accuracy_pct
+  {_pct(_n(_HIT))} AS accuracy_pct, window_start + INTERVAL 7 DAYS + INTERVAL 1 DAY > {_NEWEST} AS provisional
 FROM (SELECT feedback_type, DATE_TRUNC('day', "timestamp")::TIMESTAMP - to_days(CAST(UNNEST(range(0, 7)) AS INTEGER))
   AS window_start FROM feedback)
-GROUP BY window_start HAVING window_start + INTERVAL 7 DAYS <= {_WATERMARK}""",
+GROUP BY window_start""",
     "stream_review_sessions": f"""SELECT radiologist_id, MIN("timestamp") AS first_review, MAX("timestamp") AS last_review,
-  COUNT(*) AS reviews
+  COUNT(*) AS reviews, MAX("timestamp") + INTERVAL 30 MINUTES > {_NEWEST} - INTERVAL 1 DAY AS is_open
 FROM (SELECT *, SUM(CASE WHEN gap <= INTERVAL 30 MINUTES THEN 0 ELSE 1 END)
     OVER (PARTITION BY radiologist_id ORDER BY "timestamp", feedback_id) AS session
   FROM (SELECT *, "timestamp" - LAG("timestamp") OVER (PARTITION BY radiologist_id ORDER BY "timestamp", feedback_id) AS gap
     FROM feedback))
-GROUP BY radiologist_id, session HAVING MAX("timestamp") + INTERVAL 30 MINUTES <= {_WATERMARK}""",
-    "stream_feedback_join": """SELECT p.prediction_id, p.model_name, p.predicted_at, f.feedback_id, f.feedback_type, f."timestamp"
+GROUP BY radiologist_id, session""",
+    "stream_feedback_join": f"""SELECT p.prediction_id, p.model_name, p.predicted_at, f.feedback_id, f.feedback_type, f."timestamp",
+  f.feedback_id IS NULL AND p.predicted_at + INTERVAL 96 HOURS
+    >= LEAST((SELECT MAX(predicted_at) FROM predictions), {_NEWEST}) - INTERVAL 1 DAY AS is_open
 FROM predictions p LEFT JOIN feedback f ON p.prediction_id = f.prediction_id
-  AND f."timestamp" BETWEEN p.predicted_at AND p.predicted_at + INTERVAL 96 HOURS
-WHERE f.feedback_id IS NOT NULL OR p.predicted_at + INTERVAL 96 HOURS < LEAST((SELECT MAX(predicted_at) FROM predictions),
-  (SELECT MAX("timestamp") FROM feedback)) - INTERVAL 1 DAY""",
-    "stream_dedup": "SELECT DISTINCT prediction_id, ground_truth FROM feedback",
+  AND f."timestamp" BETWEEN p.predicted_at AND p.predicted_at + INTERVAL 96 HOURS""",
+    "stream_late_split": """SELECT feedback_id, "timestamp", batch_id, CASE WHEN "timestamp" < mark THEN mark END AS watermark,
+  COALESCE("timestamp" < mark, FALSE) AS late
+FROM (SELECT f.feedback_id, f."timestamp",
+    LEAST(date_diff('day', DATE '2024-01-01', p.prediction_date) // 8, 3) AS batch_id
+  FROM feedback f JOIN predictions p ON f.prediction_id = p.prediction_id) arrived
+JOIN (SELECT batch, MAX(MAX("timestamp")) OVER (ORDER BY batch ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+      - INTERVAL 1 DAY AS mark
+  FROM (SELECT f."timestamp", LEAST(date_diff('day', DATE '2024-01-01', p.prediction_date) // 8, 3) AS batch
+    FROM feedback f JOIN predictions p ON f.prediction_id = p.prediction_id) GROUP BY batch) marks
+  ON arrived.batch_id = marks.batch""",
+    "stream_dedup": f"""SELECT {_FEEDBACK_COLUMNS} FROM feedback
+QUALIFY ROW_NUMBER() OVER (PARTITION BY prediction_id, ground_truth ORDER BY "timestamp", feedback_id) = 1""",
 }
 SELECTS["batch_score_pandas"] = SELECTS["batch_score"]
 

@@ -1,10 +1,4 @@
-"""Reading and writing parquet tables.
-
-A table that is replaced as a whole lives in numbered version folders below its root: a writer adds
-the next folder and readers take the highest one that Spark has finished (its ``_SUCCESS`` file is
-there). The folder being read is never overwritten, so a lost executor or a failed job leaves the
-current version as it was.
-"""
+"""Reading and writing parquet tables."""
 
 from __future__ import annotations
 
@@ -15,27 +9,17 @@ from pyspark.sql import types as T
 from scorewatch.schemas import conform
 
 
-def finished_versions(spark: SparkSession, root: str) -> list[int]:
-    jvm = spark._jvm
-    path = jvm.org.apache.hadoop.fs.Path(f"{root}/version=*/_SUCCESS")
-    found = path.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(path) or []
-    return sorted(int(f.getPath().getParent().getName().split("=")[1]) for f in found)
-
-
-def table_exists(spark: SparkSession, root: str) -> bool:
-    return bool(finished_versions(spark, root))
+def table_exists(spark: SparkSession, name: str) -> bool:
+    return spark.catalog.tableExists(name)
 
 
-def read_current(spark: SparkSession, root: str) -> DataFrame:
-    return spark.read.parquet(f"{root}/version={finished_versions(spark, root)[-1]}")
+def create_or_replace(df: DataFrame, name: str, path: str) -> None:
+    """Write a catalog table below ``path``, in place of what it held.
 
-
-def write_next(df: DataFrame, root: str) -> int:
-    """Write ``df`` as the next version; returns its number."""
-    done = finished_versions(df.sparkSession, root)
-    version = done[-1] + 1 if done else 1
-    df.write.mode("overwrite").parquet(f"{root}/version={version}")
-    return version
+    ``df`` must not read the table itself; a table that is changed from its own rows is a keyed table
+    (``sources.keyed``).
+    """
+    df.write.mode("overwrite").option("path", path).saveAsTable(name)
 
 
 def overwrite(df: DataFrame, path: str) -> None:

@@ -120,6 +120,17 @@ def feedback(spark: SparkSession, sf_dir: str) -> DataFrame:
     return feedback_from(table(spark, sf_dir, "events"))
 
 
+#: Parts in which ``feedback_arrival`` hands over the reviews; the last one is open at its end.
+ARRIVALS = 4
+
+
+def feedback_arrival(spark: SparkSession, sf_dir: str, part: int) -> DataFrame:
+    """Reviews of the predictions of eight days; reviews of a part's last days are newer than the next part's first."""
+    day = F.datediff("ts", F.lit("2024-01-01").cast("date"))
+    number = F.least(F.floor(day / 8), F.lit(ARRIVALS - 1))
+    return feedback_from(table(spark, sf_dir, "events").where(number == part))
+
+
 def images(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw image metadata, one batch per nation."""
     rows = table(spark, sf_dir, "customer").selectExpr(

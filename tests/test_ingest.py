@@ -89,16 +89,13 @@ def test_conform(rows):
     assert conform(rows([("x",)], "ingested_at string"), RAW_IMAGES).collect()[0].ingested_at is None
 
 
-def test_versions(spark, rows):
-    root = shared_folder(spark, "test-versions")
-    assert not tables.table_exists(spark, root)
-    assert tables.write_next(rows([("a", 1, "x")], SCHEMA), root) == 1
-    assert tables.write_next(tables.read_current(spark, root).withColumn("v", F.lit(2)), root) == 2
-    # A version without its success marker is not read.
-    rows([("half", 0, "x")], SCHEMA).write.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false").parquet(
-        f"{root}/version=3"
-    )
-    assert table(tables.read_current(spark, root)) == [("a", 2, "x")]
+def test_tables_are_replaced(spark, rows):
+    path = shared_folder(spark, "test-tables")
+    name = "test_" + path[-12:]
+    assert not tables.table_exists(spark, name)
+    for value in (1, 2):
+        tables.create_or_replace(rows([("a", value, "x")], SCHEMA), name, path)
+        assert tables.table_exists(spark, name) and table(spark.table(name)) == [("a", value, "x")]
 
 
 def test_date_folders_are_pruned(spark, sf_dir):
