@@ -4,12 +4,10 @@ from __future__ import annotations
 
 import math
 
-import pandas as pd
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.stat import ChiSquareTest
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType
 
 from scorewatch import constants as K
 from scorewatch.functions import labels, numeric
@@ -55,14 +53,24 @@ def chi_square(predictions: DataFrame, feedback: DataFrame, champion: str, chall
     )
 
 
-@F.pandas_udf(DoubleType())
-def upper_tail(statistic: pd.Series) -> pd.Series:
-    """Upper tail of the chi-square distribution with one degree of freedom."""
-    return statistic.map(lambda x: None if pd.isna(x) else math.erfc(math.sqrt(x / 2.0)))
+def upper_tail(x: Column) -> Column:
+    """Upper tail of the chi-square distribution with one degree of freedom, as erfc(sqrt(x / 2)).
+
+    Up to 12 it is one less a series of positive terms x^n / (1 * 3 * ... * (2n + 1)), beyond that a continued
+    fraction, read from its inner end; both have more terms than a double can tell.
+    """
+    step = lambda s, n: F.struct(
+        (s["term"] * x / (2 * n + 1)).alias("term"), (s["total"] + s["term"] * x / (2 * n + 1)).alias("total")
+    )
+    one = F.struct(F.lit(1.0).alias("term"), F.lit(1.0).alias("total"))
+    series = F.aggregate(F.sequence(F.lit(1), F.lit(80)), one, step)["total"]
+    near = 1 - F.sqrt(2 * x / math.pi) * F.exp(-x / 2) * series
+    fraction = F.aggregate(F.sequence(F.lit(120), F.lit(1), F.lit(-1)), F.lit(1.0), lambda f, k: 1 + k / x / f)
+    return F.when(x <= 12, near).otherwise(F.sqrt(2 / (math.pi * x)) * F.exp(-x / 2) / fraction)
 
 
 def p_value(test: DataFrame) -> DataFrame:
-    """Adds the p-value. Spark has no error function, so the single row goes through Python."""
+    """Adds the p-value, NULL where there is no statistic."""
     return test.withColumn("p_value", upper_tail(F.col("chi_square")))
 
 

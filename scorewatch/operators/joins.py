@@ -13,7 +13,6 @@ from pyspark.sql import functions as F
 from scorewatch import constants as K
 from scorewatch.functions import labels, numeric, payloads, times
 from scorewatch.operators.skew import salted_join
-from scorewatch.session import pin
 
 HITS = "hits"
 MISSES = "misses"
@@ -115,12 +114,12 @@ def unreviewed(predictions: DataFrame, feedback: DataFrame) -> DataFrame:
 def lookup_rows(top: DataFrame, table: DataFrame, key: str) -> DataFrame:
     """Left join of a limited result (``top`` ends in a ``limit``) with a table of any size.
 
-    The limited rows are computed once and kept. The table is cut to the few wanted keys with a
-    broadcast semi join, so it is scanned but not shuffled. The broadcast is bounded by the limit.
+    The table is cut to the few wanted keys with a broadcast semi join, so it is scanned but not shuffled.
+    Both broadcasts are bounded by the limit. The limited rows are asked for twice; what stands before their
+    limit is the same exchange and runs once.
     """
-    few = pin(top, "lookup")
-    wanted = F.broadcast(few.select(key).distinct())
-    return few.join(table.join(wanted, key, "left_semi"), key, "left")
+    wanted = F.broadcast(top.select(key).distinct())
+    return top.join(table.join(wanted, key, "left_semi"), key, "left")
 
 
 def score_log(payload: DataFrame) -> DataFrame:
@@ -179,6 +178,30 @@ def call_points(payload: DataFrame, model: Column | None = None) -> DataFrame:
     )
 
 
+POINT = ["prediction_probability", "predicted_ms"]
+
+
+def at_points(rows: DataFrame) -> DataFrame:
+    """Rows with the whole second of their prediction; with the score it makes the point that calls match."""
+    return rows.withColumn("predicted_ms", times.epoch_ms(F.col("predicted_at")))
+
+
+def calls_at_points(timed: DataFrame, payload: DataFrame, band_ms: int = K.ATTRIBUTION_BAND_MS) -> DataFrame:
+    """Per point and model that served it: the calls in the band and the nearest one's distance."""
+    near = band_join(
+        timed.select(*POINT).distinct(),
+        call_points(payload),
+        "predicted_ms",
+        "timestamp_ms",
+        band_ms,
+        equal=[("prediction_probability", "logged_score")],
+    )
+    return near.groupBy(*POINT, "logged_model").agg(
+        F.sum("calls").alias("matches"),
+        F.min(F.abs(F.col("timestamp_ms") - F.col("predicted_ms"))).alias("nearest_ms"),
+    )
+
+
 def matched_calls(
     rows: DataFrame, payload: DataFrame, band_ms: int = K.ATTRIBUTION_BAND_MS, spread_by: str | None = None
 ) -> DataFrame:
@@ -191,24 +214,27 @@ def matched_calls(
     rows share them; pairs of single rows are never formed. Scores are compared as numbers. With
     ``spread_by`` (an id of the rows) a score and second that many rows share is spread.
     """
-    timed = rows.withColumn("predicted_ms", times.epoch_ms(F.col("predicted_at")))
-    point = ["prediction_probability", "predicted_ms"]
-    near = band_join(
-        timed.select(*point).distinct(),
-        call_points(payload),
-        "predicted_ms",
-        "timestamp_ms",
-        band_ms,
-        equal=[("prediction_probability", "logged_score")],
-    )
-    per_model = near.groupBy(*point, "logged_model").agg(
-        F.sum("calls").alias("matches"),
-        F.min(F.abs(F.col("timestamp_ms") - F.col("predicted_ms"))).alias("nearest_ms"),
-    )
-    found = salted_join(timed, per_model, point, spread_by) if spread_by else timed.join(per_model, point)
+    timed = at_points(rows)
+    per_model = calls_at_points(timed, payload, band_ms)
+    found = salted_join(timed, per_model, POINT, spread_by) if spread_by else timed.join(per_model, POINT)
     return found.drop("predicted_ms")
 
 
+def newest_matched(
+    rows: DataFrame, payload: DataFrame, order: list[Column], newest: int, spread_by: str, band_ms: int = K.ATTRIBUTION_BAND_MS
+) -> DataFrame:
+    """The first ``newest`` rows in an order that any call matches, with each model that served them.
+
+    Points decide whether a row is matched; only the rows that remain after the limit are attributed. A point
+    that many rows share is spread.
+    """
+    timed = at_points(rows)
+    per_model = calls_at_points(timed, payload, band_ms)
+    served = per_model.select(*POINT).distinct()
+    top = salted_join(timed, served, POINT, spread_by, how="left_semi").orderBy(*order).limit(newest)
+    return top.join(per_model, POINT).drop("predicted_ms")
+
+
 def log_attribution(
     predictions: DataFrame, payload: DataFrame, band_ms: int = K.ATTRIBUTION_BAND_MS
 ) -> DataFrame:

@@ -254,9 +254,12 @@ def _coverage(predictions: DataFrame, feedback: DataFrame) -> DataFrame:
     matched = joins.salted_join(
         feedback.select("prediction_id", "feedback_id"), known, "prediction_id", spread_by="feedback_id", how="left_semi"
     )
-    return matched.agg(
-        F.count_distinct("feedback_id").alias("reviews"), F.count_distinct("prediction_id").alias("reviewed")
-    ).select(known.agg(F.count("prediction_id")).scalar().alias("total"), "reviews", "reviewed")
+    # One distinct count each: together they would send every row twice.
+    reviewed = matched.agg(F.count_distinct("prediction_id")).scalar()
+    total = known.agg(F.count("prediction_id")).scalar()
+    return matched.agg(F.count_distinct("feedback_id").alias("reviews")).select(
+        total.alias("total"), "reviews", reviewed.alias("reviewed")
+    )
 
 
 def feedback_coverage(predictions: DataFrame, feedback: DataFrame) -> DataFrame:
@@ -445,9 +448,9 @@ def false_positive_feed(
         predictions.select("prediction_id", "image_id", "predicted_at", "prediction_probability"), alarms
     )
     # Every matched row is at least one entry of the feed, so the newest rows are enough; only they
-    # are then repeated once per matching call.
-    matched = joins.matched_calls(reviewed, payload)
-    newest_rows = matched.orderBy(F.desc("timestamp"), "feedback_id", "logged_model").limit(newest)
+    # are then repeated once per model and matching call.
+    order = [F.desc("timestamp"), F.col("feedback_id")]
+    newest_rows = joins.newest_matched(reviewed, payload, order, newest, spread_by="feedback_id")
     return (
         newest_rows.withColumn("call", F.explode(F.sequence(F.lit(1), F.least("matches", F.lit(newest)).cast("int"))))
         .orderBy(F.desc("timestamp"), "feedback_id", "logged_model", "call")

@@ -53,29 +53,50 @@ def rule_counts(df: DataFrame, rules: Mapping[str, Column]) -> DataFrame:
     return counts.select(F.explode(entries).alias("entry"), "total").select("entry.rule", "entry.failed", "total")
 
 
-def duplicate_keys(df: DataFrame, key: str, rule: str) -> DataFrame:
-    """Rows beyond the first of their key."""
-    return (
-        df.groupBy(key)
-        .agg(F.count("*").alias("n"))
-        .agg(F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).alias("failed"), F.coalesce(F.sum("n"), F.lit(0)).alias("total"))
-        .select(F.lit(rule).alias("rule"), "failed", "total")
-    )
-
+def key_rules(tables: Mapping[str, DataFrame], unique: Mapping[str, str], references: Mapping[tuple[str, str], str]) -> DataFrame:
+    """Rows beyond the first of their key, and rows whose key their parent table lacks: rule, failed, total.
 
-def orphans(df: DataFrame, parent: DataFrame, key: str, rule: str) -> DataFrame:
-    """Rows whose key is not in the parent table; a missing key is another rule's business.
-
-    Rows are counted per key before the join.
+    ``unique`` names each table's key, ``references`` the tables of (child, key) whose key must be in a parent.
+    Every table is read once: its keys are tagged with what they are the key of, all tables' keys are counted
+    together, and a key's counts as own and as reference tell duplicates and orphans. Counting combines before
+    the shuffle, so hot keys stay small. A missing reference is another rule's business.
     """
-    per_key = df.groupBy(key).agg(F.count("*").alias("n"))
-    known = parent.select(key).distinct().withColumn("known", F.lit(True))
-    missing = F.when(F.col("known").isNull() & F.col(key).isNotNull(), F.col("n")).otherwise(0)
-    return (
-        per_key.join(known, key, "left")
-        .agg(F.coalesce(F.sum(missing), F.lit(0)).alias("failed"), F.coalesce(F.sum("n"), F.lit(0)).alias("total"))
-        .select(F.lit(rule).alias("rule"), "failed", "total")
+    roles = {name: [(key, name, 1)] for name, key in unique.items()}
+    for (child, key), parent in references.items():
+        roles[child].append((key, parent, 0))
+    tagged = None
+    for name, uses in roles.items():
+        entries = [
+            F.struct(
+                F.lit(of).alias("of"), F.lit(name).alias("name"), F.col(key).cast("string").alias("key"),
+                F.lit(own).alias("own"),
+            )
+            for key, of, own in uses
+        ]
+        rows = tables[name].select(F.explode(F.array(*entries)).alias("k")).select("k.*")
+        tagged = rows if tagged is None else tagged.unionByName(rows)
+    users = [name for name, _ in references]
+    used = lambda name: F.count_if((F.col("own") == 0) & (F.col("name") == name))
+    per_key = tagged.groupBy("of", "key").agg(
+        F.count_if(F.col("own") == 1).alias("rows"), *[used(n).alias(f"by_{n}") for n in users]
+    )
+    orphan = F.col("rows").eqNullSafe(0) & F.col("key").isNotNull()
+    per_table = per_key.groupBy("of").agg(
+        F.sum(F.greatest(F.col("rows") - 1, F.lit(0))).alias("repeated"),
+        F.sum("rows").alias("rows"),
+        *[F.sum(F.when(orphan, F.col(f"by_{n}")).otherwise(0)).alias(f"lost_{n}") for n in users],
+        *[F.sum(f"by_{n}").alias(f"by_{n}") for n in users],
     )
+    # Rules of the report with the count they are read from; an empty table has no count.
+    wanted = [(f"{t}.{key} unique", t, "repeated", "rows") for t, key in unique.items()]
+    wanted += [(f"{c}.{key} in {p}", p, f"lost_{c}", f"by_{c}") for (c, key), p in references.items()]
+    rule = lambda r, t, failed, total: F.when(
+        F.col("of") == t, F.struct(F.lit(r).alias("rule"), F.col(failed).alias("failed"), F.col(total).alias("total"))
+    )
+    found = per_table.select(F.explode(F.array_compact(F.array(*[rule(*w) for w in wanted]))).alias("r")).select("r.*")
+    names = found.sparkSession.range(1).select(F.explode(F.array(*[F.lit(w[0]) for w in wanted])).alias("rule"))
+    counts = names.join(found, "rule", "left")
+    return counts.select("rule", *[F.coalesce(c, F.lit(0)).alias(c) for c in ("failed", "total")])
 
 
 def quality_report(images: DataFrame, predictions: DataFrame, feedback: DataFrame) -> DataFrame:
@@ -98,17 +119,12 @@ def quality_report(images: DataFrame, predictions: DataFrame, feedback: DataFram
         "feedback.confidence known": F.col("confidence").isin(*K.CERTAINTY_LEVELS),
         "feedback.radiologist_id present": F.col("radiologist_id").isNotNull(),
     }
-    parts = [
-        rule_counts(images, image_rules),
-        rule_counts(predictions, prediction_rules),
-        rule_counts(feedback, feedback_rules),
-        duplicate_keys(images, "image_id", "images.image_id unique"),
-        duplicate_keys(predictions, "prediction_id", "predictions.prediction_id unique"),
-        duplicate_keys(feedback, "feedback_id", "feedback.feedback_id unique"),
-        orphans(predictions, images, "image_id", "predictions.image_id in images"),
-        orphans(feedback, predictions, "prediction_id", "feedback.prediction_id in predictions"),
-    ]
-    report = parts[0]
-    for part in parts[1:]:
+    keys = key_rules(
+        {"images": images, "predictions": predictions, "feedback": feedback},
+        unique={"images": "image_id", "predictions": "prediction_id", "feedback": "feedback_id"},
+        references={("predictions", "image_id"): "images", ("feedback", "prediction_id"): "predictions"},
+    )
+    report = rule_counts(images, image_rules)
+    for part in (rule_counts(predictions, prediction_rules), rule_counts(feedback, feedback_rules), keys):
         report = report.unionByName(part)
     return report

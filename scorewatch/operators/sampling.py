@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-BUCKET_HEX_DIGITS = 4
+#: Hexadecimal digits of a hash, and how many are found in one round.
+HEX_DIGITS, CUT_DIGITS = 32, 3
 SUB_BUCKETS = 256
 AFTER_ANY_HEX = "g"
 
@@ -32,46 +34,49 @@ def exact_split(
 ) -> DataFrame:
     """Shuffled split with exact sizes: int(n * train), int(n * val) and the rest.
 
-    Adds ``split``. The data itself is not shuffled or sorted. Ids are counted in 65,536 hash
-    buckets; the two places where a split ends lie in at most two buckets, and only those are
-    ranked to find the exact hash at which to cut.
+    Adds ``split``. The data itself is not shuffled or sorted: the hash at which a split ends is selected
+    digit by digit (``keys_at``). Rows that repeat an id go the same way. The selection runs when the split is
+    asked for, as the number of rounds depends on the data.
     """
     key = _shuffle_key(id_col, seed)
-    keyed = rows.select(key.alias("key")).withColumn(
-        "bucket", F.conv(F.substring("key", 1, BUCKET_HEX_DIGITS), 16, 10).cast("int")
-    )
-    upto = Window.orderBy("bucket").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    buckets = keyed.groupBy("bucket").agg(F.count("*").alias("n"))
-    placed = buckets.withColumn("end", F.sum("n").over(upto)).withColumn("total", F.sum("n").over(Window.partitionBy()))
-    train_rows = F.floor(F.col("total") * F.lit(train))
-    val_rows = F.floor(F.col("total") * F.lit(val))
-    cuts = F.array(
-        F.struct(F.lit("train").alias("name"), train_rows.alias("rank")),
-        F.struct(F.lit("val").alias("name"), (train_rows + val_rows).alias("rank")),
-    )
-    start = F.col("end") - F.col("n")
-    cut_buckets = (
-        placed.withColumn("cut", F.explode(cuts))
-        .select("bucket", start.alias("start"), "end", "cut.name", "cut.rank")
-        .filter((F.col("start") <= F.col("rank")) & (F.col("rank") < F.col("end")))
-    )
-    order = Window.partitionBy("name").orderBy("key")
-    cut_keys = (
-        keyed.join(F.broadcast(cut_buckets), "bucket")  # at most two rows
-        .withColumn("position", F.row_number().over(order) - 1 + F.col("start"))
-        .filter(F.col("position") == F.col("rank"))
-        .agg(
-            F.struct(
-                F.max(F.when(F.col("name") == "train", F.col("key"))).alias("train_end"),
-                F.max(F.when(F.col("name") == "val", F.col("key"))).alias("val_end"),
-            ).alias("ends")
-        )
-        .scalar()
-    )
-    end_of = lambda name: F.coalesce(cut_keys.getField(name), F.lit(AFTER_ANY_HEX))
-    return rows.withColumn(
-        "split", F.when(key < end_of("train_end"), "train").when(key < end_of("val_end"), "val").otherwise("test")
-    )
+    keyed = rows.select(key.alias("key"))
+    total = keyed.count()
+    first = math.floor(total * train)
+    train_end, val_end = keys_at(keyed, [first, first + math.floor(total * val)])
+    return rows.withColumn("split", F.when(key < train_end, "train").when(key < val_end, "val").otherwise("test"))
+
+
+def keys_at(keyed: DataFrame, places: Sequence[int]) -> list[str]:
+    """The shortest texts that cut off the first ``places`` rows in the order of the column ``key``.
+
+    ``key`` starts with hexadecimal digits. Each round counts the rows that share the digits found so far by
+    their next three, at most 4,096 counts per place, until a place's digits belong to one row or all digits
+    are used. A place behind the last row is cut off by a text above all.
+    """
+    found = dict.fromkeys(places, "")
+    left = {place: place for place in places}
+    open_ = set(places)
+    for length in range(CUT_DIGITS, HEX_DIGITS + CUT_DIGITS, CUT_DIGITS):
+        starts = {found[place] for place in open_}
+        rows = keyed if "" in starts else keyed.where(F.substring("key", 1, length - CUT_DIGITS).isin(*starts))
+        counts = sorted(map(tuple, rows.groupBy(F.substring("key", 1, length)).count().collect()))
+        for place in list(open_):
+            before = 0
+            for digits, n in counts:
+                if not digits.startswith(found[place]):
+                    continue
+                if before + n > left[place]:
+                    found[place], left[place] = digits, left[place] - before
+                    if n == 1:
+                        open_.discard(place)
+                    break
+                before += n
+            else:
+                found[place] = AFTER_ANY_HEX
+                open_.discard(place)
+        if not open_:
+            break
+    return [found[place] for place in places]
 
 
 def hash_split(rows: DataFrame, id_col: str, train: float = 0.70, val: float = 0.15, seed: int = 42) -> DataFrame:

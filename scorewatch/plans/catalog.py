@@ -69,15 +69,25 @@ def _as_of(log: DataFrame):
 # --- tables, loads and files -------------------------------------------------------------------
 
 
-@query("file_listing")
-def _file_listing(spark, sf_dir):
-    """Customer records written as files of up to 500 records, one folder per class, then listed."""
+def _listing(spark, sf_dir):
     folder = shared_folder(spark, "files")
-    records = testbed.images(spark, sf_dir).select("category", F.to_json(F.struct("image_id", "file_path")).alias("value"))
+    records = testbed.images(spark, sf_dir).select("category", F.concat_ws(" ", "image_id", "file_path").alias("value"))
     records.write.partitionBy("category").option("maxRecordsPerFile", 500).text(folder)
     return files.list_images(spark, folder, _run_time(), suffix=".txt")
 
 
+@query("file_listing")
+def _file_listing(spark, sf_dir):
+    """Customer records written as files of up to 500 records, one folder per class, then listed."""
+    return _listing(spark, sf_dir)
+
+
+@query("file_listing_totals")
+def _file_listing_totals(spark, sf_dir):
+    """Bytes per class of the same files, whose number depends on the run."""
+    return _listing(spark, sf_dir).groupBy("category").agg(F.sum("file_size_bytes").alias("total_bytes"))
+
+
 @query("conform_schema")
 def _conform_schema(spark, sf_dir):
     raw = testbed.feedback(spark, sf_dir).withColumn("timestamp", F.col("timestamp").cast("string"))
@@ -222,7 +232,7 @@ def _assessed(spark, sf_dir):
         F.when(F.col("radiologist_id").isNotNull(), F.col("ground_truth"))
     )
     sheet = testbed.feedback(spark, sf_dir).select("feedback_id", "prediction_id", assessment.alias("radiologist_assessment"))
-    return sheet.join(predicted, "prediction_id")
+    return joins.with_feedback(predicted, sheet)
 
 
 @query("classify_outcome")
@@ -630,7 +640,8 @@ def _ab_chi_square(spark, sf_dir):
 
 @query("ab_p_value")
 def _ab_p_value(spark, sf_dir):
-    return abtest.p_value(_chi_square(spark, sf_dir)).select("champion", "challenger", "chi_square", "p_value")
+    tested = abtest.p_value(_chi_square(spark, sf_dir)).select("champion", "challenger", "chi_square", "p_value")
+    return tested.withColumns({c: F.round(c, 6) for c in ("chi_square", "p_value")})
 
 
 @query("ab_decision")

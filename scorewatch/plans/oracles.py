@@ -287,6 +287,8 @@ SELECTS: dict[str, str] = {
     "write_overwrite": "SELECT * FROM images",
     "append_rows": f"SELECT {_FEEDBACK_COLUMNS} FROM feedback",
     "csv_roundtrip": f"SELECT {_FEEDBACK_COLUMNS} FROM feedback",
+    "file_listing_totals": """SELECT category, CAST(SUM(length(image_id || ' ' || file_path) + 1) AS BIGINT) AS total_bytes
+FROM images GROUP BY category""",
     "upsert_by_key": """SELECT * FROM images WHERE dataset_split = 'train'
 UNION ALL SELECT image_id, filename, category, dataset_split, file_path, file_size_bytes + 1,
   TIMESTAMP '2024-02-01 06:00:00', '20240201_060000' FROM images WHERE dataset_split <> 'train'""",
@@ -563,6 +565,10 @@ JOIN embeddings e ON CAST(e.vec_id AS VARCHAR) = r.image_id""",
     "ab_chi_square": f"""SELECT champion_correct, champion_wrong, challenger_correct, challenger_wrong, champion, challenger,
   ROUND(champion_accuracy, 6) AS champion_accuracy, ROUND(challenger_accuracy, 6) AS challenger_accuracy,
   ROUND(chi, 6) AS chi_square, chi > 3.841459 AS significant FROM ({_CHI})""",
+    "ab_p_value": f"""SELECT champion, challenger, ROUND(chi, 6) AS chi_square,
+  ROUND(1 - SQRT(2 * chi / PI()) * EXP(-chi / 2) * list_sum(list_transform(range(0, 150), lambda n:
+    EXP(n * LN(chi) + n * LN(2.0::DOUBLE) + lgamma((n + 1)::DOUBLE) - lgamma((2 * n + 2)::DOUBLE)))), 6) AS p_value
+FROM ({_CHI})""",
     "ab_decision": f"""SELECT champion, challenger, champion_correct + champion_wrong AS champion_reviewed,
   challenger_correct + challenger_wrong AS challenger_reviewed,
   ROUND(challenger_accuracy - champion_accuracy, 6) AS accuracy_difference, ROUND(chi, 6) AS chi_square,

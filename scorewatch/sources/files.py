@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from scorewatch import constants as K
 from scorewatch.functions import texts, times
 from scorewatch.schemas import RAW_IMAGES, conform
+from scorewatch.sources.listing import list_files
 
 
 def list_images(
@@ -19,16 +20,10 @@ def list_images(
 ) -> DataFrame:
     """One raw metadata row per file below ``folder``, class taken from the file's own folder.
 
-    The file contents are never read: the ``content`` column is pruned, so only names, sizes and
-    times leave the file system, and the listing is spread over the executors.
+    The file contents are never read; only names, sizes and times leave the file system. Each sub-folder is
+    listed by a task (``sources.listing``).
     """
-    files = (
-        spark.read.format("binaryFile")
-        .option("pathGlobFilter", f"*{suffix}")
-        .option("recursiveFileLookup", "true")
-        .load(folder)
-        .select("path", "length")
-    )
+    files = list_files(spark, folder, suffix)
     name = texts.base_name(F.col("path"))
     return conform(
         files.select(

@@ -104,6 +104,17 @@ def test_exact_split_sizes(spark, n):
     assert split.exceptAll(sampling.exact_split(frame.repartition(3), "id")).count() == 0
 
 
+def test_keys_at_any_place(spark):
+    """Cut texts split the sorted keys at the place, also among keys with the same beginning and repeated keys."""
+    keys = [f"{(k * 7919) % 4096:03x}" * 10 + "00" for k in range(300)] + [f"{'ab' * 15}{k:02x}" for k in range(200)]
+    frame = spark.createDataFrame([(k,) for k in keys], "key string")
+    places = [0, 1, 150, 277, 299, 400, 499, 500, 900]
+    for place, cut in zip(places, sampling.keys_at(frame, places)):
+        assert sum(k < cut for k in keys) == min(place, len(keys))
+    same = spark.createDataFrame([("c" * 32,)] * 9 + [("d" * 32,)], "key string")
+    assert sampling.keys_at(same, [4, 9]) == ["c" * 32, "ddd"]
+
+
 def test_exact_split_depends_on_the_seed(spark):
     frame = spark.range(500).selectExpr("CAST(id AS STRING) AS id")
     other = sampling.exact_split(frame, "id", seed=1)

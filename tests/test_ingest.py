@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from scorewatch.operators import ingest
 from scorewatch.schemas import FEEDBACK, RAW_IMAGES, conform, required_columns
 from scorewatch.session import shared_folder
-from scorewatch.sources import files, tables, testbed
+from scorewatch.sources import files, listing, tables, testbed
 
 SCHEMA = "id string, v int, w string"
 
@@ -117,10 +117,25 @@ def test_listing(spark):
     assert {r.category for r in got} == {"NORMAL", "PNEUMONIA"}
     assert all(r.filename == r.image_id + ".txt" and r.file_size_bytes == 4 for r in got)
     assert {r.ingestion_batch_id for r in got} == {"20240102_030405"}
-    assert "content" not in found._jdf.queryExecution().executedPlan().toString()
     assert files.list_images(spark, folder, F.current_timestamp()).count() == 0
 
 
+def test_listing_of_nested_and_hidden_files(tmp_path, spark):
+    """Any depth, files of the folder itself, hidden names left out; one task per sub-folder."""
+    sizes = {"top.txt": 3, "a/one.txt": 1, "a/deep/er/two.txt": 2, "b/none.csv": 9, "b/_hid/x.txt": 9, ".c/x.txt": 9, "b/.x.txt": 9}
+    for name, size in sizes.items():
+        (tmp_path / name).parent.mkdir(parents=True, exist_ok=True)
+        (tmp_path / name).write_text("x" * size)
+    (tmp_path / "empty").mkdir()
+    found = listing.list_files(spark, str(tmp_path), ".txt")
+    assert {(r.path.removeprefix(f"file:{tmp_path}/"), r.length) for r in found.collect()} == {
+        ("top.txt", 3), ("a/one.txt", 1), ("a/deep/er/two.txt", 2)
+    }
+    assert found.rdd.getNumPartitions() == 4 and all(r.modified for r in found.collect())
+    assert listing.list_files(spark, f"file://{tmp_path}/a").count() == 2
+    assert listing.list_files(spark, f"{tmp_path}/absent").count() == 0
+
+
 def test_lookup_takes_any_text(spark, sf_dir):
     images = testbed.images(spark, sf_dir)
     assert ingest.lookup_by_id(images, "7").collect()[0].filename == "7.jpeg"

@@ -6,7 +6,7 @@ from oracle_check import connect, difference, duck_rows, spark_rows
 from scorewatch.plans.catalog import QUERIES
 from scorewatch.plans.oracles import ORACLES
 
-WITHOUT_SQL = {"file_listing", "auc_mllib", "ab_p_value"}
+WITHOUT_SQL = {"file_listing", "auc_mllib"}
 
 
 @pytest.fixture(scope="module")

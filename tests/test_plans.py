@@ -9,7 +9,7 @@ from scorewatch.plans.catalog import QUERIES
 from scorewatch.sources import testbed
 
 PYTHON_NODES = ("BatchEvalPython", "ArrowEvalPython", "MapInPandas", "FlatMapGroupsInPandas")
-PYTHON_ALLOWED = {"batch_score_pandas", "ab_p_value"}
+PYTHON_ALLOWED = {"batch_score_pandas"}
 BATCH = sorted(n for n in QUERIES if not n.startswith("stream_"))
 
 
@@ -40,6 +40,39 @@ def test_one_scan_reports(plans):
         assert plans[name].count("FileScan") == 1, name
 
 
+def test_quality_report_reads_each_table_twice(plans):
+    """Once for the rules of its columns, once for all rules of keys."""
+    assert plans["quality_report"].count("FileScan") == 6
+
+
+def test_exact_split_ranks_nothing(plans):
+    assert "Window" not in plans["split_exact"] and "Exchange" not in plans["split_exact"]
+
+
+def test_distinct_counts_do_not_expand(plans):
+    assert [n for n in ("feedback_coverage", "feedback_coverage_7d") if "Expand" in plans[n]] == []
+
+
+def test_listing_happens_on_executors(plans):
+    """The files come out of a scan of the data source; no file index of the driver is in the plan."""
+    assert "folder_listing" in plans["file_listing"] and "FileScan" not in plans["file_listing"]
+
+
+def test_joins_run_nothing_while_planned(spark, sf_dir):
+    """Hot keys and looked-up rows are part of the query."""
+    tracker = spark.sparkContext.statusTracker()
+    before = len(tracker.getJobIdsForGroup(None))
+    names = ("model_metrics", "performance_live", "log_attribution", "review_queue", "classify_outcome", "false_positive_feed", "feedback_coverage")
+    for name in names:
+        QUERIES[name](spark, sf_dir)
+    assert len(tracker.getJobIdsForGroup(None)) == before
+
+
+def test_false_positive_feed_attributes_after_the_limit(plans):
+    text = plans["false_positive_feed"]
+    assert text.count("TakeOrderedAndProject") == 2 and "LeftSemi" in text
+
+
 def test_scans_read_only_their_columns(plans):
     schema = lambda name: set(re.findall(r"ReadSchema: struct<([^>]*)>", plans[name]))
     assert schema("count_by_category") == {"c_custkey:bigint"}

@@ -1,6 +1,7 @@
 """Reports, review queue, quality, significance and trends on small hand-made frames."""
 
 import datetime as dt
+import math
 
 import pytest
 from pyspark.sql import functions as F
@@ -178,10 +179,17 @@ def test_no_verdicts_keep_testing(predictions, feedback):
 
 
 def test_critical_value(rows):
-    got = rows([(3.841459,), (0.0,)], "chi_square double").select(abtest.upper_tail("chi_square")).collect()
+    got = rows([(3.841459,), (0.0,)], "chi_square double").select(abtest.upper_tail(F.col("chi_square"))).collect()
     assert got[0][0] == pytest.approx(0.05, abs=1e-6) and got[1][0] == 1.0
 
 
+def test_upper_tail_of_any_size(rows):
+    values = [1e-12, 1e-4, 0.3, 1.0, 7.0, 11.999, 12.0, 12.001, 25.0, 80.0, 400.0]
+    found = rows([(v,) for v in values], "x double").select(abtest.upper_tail(F.col("x"))).collect()
+    for v, (p,) in zip(values, found):
+        assert p == pytest.approx(math.erfc(math.sqrt(v / 2)), rel=1e-9)
+
+
 def test_drift(predictions, feedback):
     p = predictions(*[(f"{d}-{i}", "m", 1, 0.9, d) for d in range(20) for i in range(10)])
     f = feedback(*[(f"f{d}-{i}", f"{d}-{i}", TP if i < (9 if d < 10 else 7) else FP, d * 24 + 1, "x", "t") for d in range(20) for i in range(10)])
@@ -207,6 +215,20 @@ def test_quality_report_finds_what_is_wrong(spark, sf_dir):
     assert found["predictions.prediction_probability in range"] == 0
 
 
+def test_key_rules_of_missing_and_empty(spark):
+    """NULL keys, a hot orphan, a parent without rows and empty tables."""
+    make = lambda data: spark.createDataFrame(data, "id string, ref string")
+    rules = lambda a, b: {
+        r.rule: (r.failed, r.total)
+        for r in quality.key_rules({"a": a, "b": b}, {"a": "id", "b": "id"}, {("b", "ref"): "a"}).collect()
+    }
+    a = make([("1", None), ("1", None), ("2", None), (None, None)])
+    b = make([("x", "1"), ("y", "9"), ("z", None)] + [(f"h{i}", "8") for i in range(500)])
+    assert rules(a, b) == {"a.id unique": (1, 4), "b.id unique": (0, 503), "b.ref in a": (501, 503)}
+    assert rules(a.limit(0), b) == {"a.id unique": (0, 0), "b.id unique": (0, 503), "b.ref in a": (502, 503)}
+    assert rules(a.limit(0), b.limit(0)) == {"a.id unique": (0, 0), "b.id unique": (0, 0), "b.ref in a": (0, 0)}
+
+
 def test_silver(rows):
     data = [("a", "a.jpeg", "NORMAL", "train", "dbfs:/x/a.jpeg", 10, DAY, "b1"), (None, None, "cat", "train", "", 0, DAY, "b1")]
     schema = "image_id string, filename string, category string, dataset_split string, file_path string, file_size_bytes bigint, ingested_at timestamp, ingestion_batch_id string"

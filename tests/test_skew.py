@@ -34,6 +34,11 @@ def test_hot_keys_are_found(hot):
     assert skew.hot_keys(feedback.filter("false"), ["prediction_id"]) == []
 
 
+def test_many_equally_hot_keys_are_found(spark):
+    feedback = spark.range(40_000).selectExpr("IF(id % 2 = 0, concat('h', id % 800), string(id)) AS k", "id")
+    assert len(skew.hot_keys(feedback, ["k"], share=1 / 1000)) == 400
+
+
 @pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
 def test_salted_join_equals_plain_join(hot, how):
     feedback, predictions = hot
