@@ -28,6 +28,8 @@ INPUT = PATH_SIZE + WORD_SIZE + PROPORTIONS
 LAYOUTS, EPOCHS, BATCH, RATE, SEED = 2000, 5, 32, 0.01, 3
 #: Pages whose blocks are read side by side.
 SIDE_BY_SIDE = 256
+#: Blocks, with padding, that are read together.
+TOGETHER = 1 << 16
 
 SCHEMA = "page_id long, url string, text string, n_chars long, n_blocks long, n_kept long"
 _ARROW = pa.schema(
@@ -237,8 +239,14 @@ def label_pages(model: Labeller, pages: list[list[Block]]) -> list[np.ndarray]:
     """For every block of every page whether it is the article's."""
     out: list[np.ndarray] = [np.zeros(0, bool)] * len(pages)
     order = sorted((k for k, blocks in enumerate(pages) if blocks), key=lambda k: len(pages[k]))
-    for at in range(0, len(order), SIDE_BY_SIDE):
-        part = order[at : at + SIDE_BY_SIDE]
+    at = 0
+    while at < len(order):
+        # Pages are padded to the longest of those read together, which is the last one; a long page stands alone.
+        end = at + 1
+        while end < min(len(order), at + SIDE_BY_SIDE) and (end + 1 - at) * len(pages[order[end]]) <= TOGETHER:
+            end += 1
+        part = order[at:end]
+        at = end
         x, used = model.vectors([Page.of(pages[k]) for k in part])
         logits = model.read(x, used)
         for j, k in enumerate(part):
@@ -251,8 +259,8 @@ def extract(pages: DataFrame, model: Labeller | None = None) -> DataFrame:
 
     ``pages`` needs ``page_id``, ``url`` and ``html``; other columns are ignored. NULL or empty html,
     or a page without article blocks, gives an empty text of 0 characters. NULL or repeated ids and
-    NULL urls stay as they are, row by row; an empty table gives no rows. Long pages are read whole.
-    Nothing is shuffled; the model of fixed size goes to the tasks with the plan.
+    NULL urls stay as they are, row by row; an empty table gives no rows. Long pages are read whole, alone if
+    they have many blocks, so memory follows the blocks of one page. Nothing is shuffled; the model of fixed size goes to the tasks with the plan.
     """
     model = model or trained()
 
