@@ -6,16 +6,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from scorewatch.llm import grams as G
-from scorewatch.llm.common import pin, words_of
+from scorewatch.llm.common import words_of
+from scorewatch.llm.target_resampling import ranked
 
 #: Share of the documents that the sample holds.
 SHARE = 0.9
 #: N-grams that a document's mean log ratio stands for; the weight is the mean times this.
 STRENGTH = 100.0
 SEED = 17
-#: Keys are ranked in steps of 2^-20; a round of the search counts 2^12 values.
-_STEP = float(1 << 20)
-_ROUND = 12
 
 
 def weigh(docs: DataFrame, ratios: list[int], strength: float = STRENGTH, seed: int = SEED) -> DataFrame:
@@ -40,37 +38,17 @@ def weigh(docs: DataFrame, ratios: list[int], strength: float = STRENGTH, seed:
     return scored.select("doc_id", "log_ratio", weight.alias("log_weight"), (weight + F.col("noise")).alias("sample_key"))
 
 
-def key_at(keyed: DataFrame, k: int) -> int | None:
-    """The ``k``-th largest of the whole numbers ``step``, or None for fewer rows.
-
-    Digit by digit from the top: each round counts the next 12 bits of the numbers that share the
-    digits found so far, so a few thousand counts reach the driver, however many rows there are.
-    """
-    low, left = None, k
-    for shift in range(3 * _ROUND, -1, -_ROUND):
-        rows = keyed if low is None else keyed.where(F.shiftright("step", shift + _ROUND) == low)
-        counts = rows.groupBy(F.shiftright("step", shift).alias("digit")).count().collect()
-        for digit, n in sorted(counts, reverse=True):
-            if n >= left:
-                low = digit
-                break
-            left -= n
-        else:
-            return None
-    return low
-
-
 def resample(docs: DataFrame, labels: DataFrame, share: float = SHARE, strength: float = STRENGTH, seed: int = SEED) -> DataFrame:
     """Every document with its weight and whether the sample of ``share`` of the rows holds it.
 
     ``docs`` needs ``doc_id`` and ``text``, ``labels`` ``doc_id`` and ``quality``; other columns are
     ignored. The weight is the ratio of the target's to the raw corpus's n-gram model, as a mean so
     that long texts are not favoured for their length. The rows with the largest keys (weight plus
-    Gumbel noise) are drawn without replacement; rows with equal keys, as repeated rows, are drawn
-    together. NULL ids share one noise; an empty table gives no rows.
+    Gumbel noise) are drawn without replacement, as many as the share of all rows comes to; of equal keys
+    those of the smaller id, NULL ids last, and of repeated rows as many as are left. NULL ids share one noise;
+    an empty table gives no rows.
     """
     keyed = weigh(docs, G.log_ratios(docs, labels), strength, seed)
-    keyed = pin(keyed.withColumn("step", F.round(F.col("sample_key") * _STEP).cast("long")), "resample")
-    floor = key_at(keyed, round(share * keyed.count()))
-    chosen = F.lit(True) if floor is None else F.col("step") >= floor
-    return keyed.select("doc_id", "log_ratio", "log_weight", "sample_key", chosen.alias("kept"))
+    placed = ranked(keyed, [F.desc("sample_key"), F.asc_nulls_last("doc_id")])
+    drawn = round(share * placed.count())
+    return placed.select("doc_id", "log_ratio", "log_weight", "sample_key", (F.col("place") <= drawn).alias("kept"))
