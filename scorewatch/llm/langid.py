@@ -15,11 +15,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from scorewatch.llm.common import id_share, map_batches, rows_out
+from scorewatch.operators.sampling import first_per_class
 
 FOLDS, HELD_FOLD = 4, 2
 HIDDEN = 8
-#: Labelled documents (those of lowest hashed id) and windows of each that the training sees.
-SAMPLE_DOCS, WINDOWS, WINDOW_BYTES = 6000, 4, 96
+#: Labelled texts of each language and windows of each text that the training sees.
+SAMPLE_DOCS, WINDOWS, WINDOW_BYTES = 1500, 4, 96
 STEPS, BATCH, RATE = 200, 96, 0.02
 #: Bytes that the network reads in one go; a longer text is read in consecutive windows.
 SPAN = 128
@@ -181,11 +182,25 @@ def train(windows: list[bytes], labels: np.ndarray, classes: int, seed: int = 11
     return network
 
 
+def labelled_sample(docs: DataFrame, per_language: int = SAMPLE_DOCS) -> DataFrame:
+    """(lang, text) of labelled texts outside the held-out fold, at most ``per_language`` different ones of each language.
+
+    A language's texts are taken by the hash of id and text, first among parts of them, then of what is left, so
+    every language that occurs is in the sample and none is sorted by one task. A text that an id repeats counts
+    once, however many rows hold it.
+    """
+    of_fold = id_share(F.col("doc_id"), FOLDS) != HELD_FOLD
+    labelled = docs.where(F.col("text").isNotNull() & F.col("lang").isNotNull() & of_fold).select(
+        "lang", F.hex(F.xxhash64(F.lit(5), "doc_id", "text")).alias("mark"), "text"
+    )
+    marks = labelled.select("lang", "mark").distinct()
+    chosen = first_per_class(marks, "lang", "mark", per_language)
+    found = labelled.join(F.broadcast(chosen), ["lang", "mark"], "left_semi")
+    return found.groupBy("lang", "mark").agg(F.first("text").alias("text")).select("lang", "text")
+
+
 def sample_windows(docs: DataFrame) -> DataFrame:
-    """Byte windows, spread over the whole text, of a bounded number of labelled documents."""
-    labelled = docs.where(F.col("text").isNotNull() & F.col("lang").isNotNull() & (id_share(F.col("doc_id"), FOLDS) != HELD_FOLD))
-    chosen = labelled.select("doc_id", "lang").orderBy(F.xxhash64(F.lit(5), "doc_id"), "doc_id").limit(SAMPLE_DOCS)
-    pairs = F.broadcast(chosen.distinct())
+    """Byte windows, spread over the whole text, of a bounded number of labelled texts of each language."""
 
     def cut(batch: pa.RecordBatch) -> pa.RecordBatch:
         langs, parts = [], []
@@ -198,7 +213,7 @@ def sample_windows(docs: DataFrame) -> DataFrame:
         names = ["lang", "part"]
         return pa.RecordBatch.from_arrays([pa.array(langs, pa.string()), pa.array(parts, pa.binary())], names=names)
 
-    return map_batches(labelled.join(pairs, ["doc_id", "lang"], "left_semi").select("lang", "text"), cut, "lang string, part binary")
+    return map_batches(labelled_sample(docs), cut, "lang string, part binary")
 
 
 def learn(docs: DataFrame) -> tuple[Network, list[str]] | None:
