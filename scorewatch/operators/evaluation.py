@@ -171,13 +171,13 @@ def sum_where(condition: Column, value: str) -> Column:
 def evaluation_run(predictions: DataFrame, images: DataFrame, evaluated_at: Column) -> DataFrame:
     """One ``model_performance`` row per model, version and dataset split.
 
-    Predictions are measured against their known label; predictions of unknown images are left out.
+    Predictions are measured against their known label; predictions of unknown images are left out. All others
+    are samples, those without a label too.
     """
     group = ["model_name", "model_version", "dataset_split"]
     known = salted_join(predictions, images.select("image_id", "dataset_split"), "image_id", spread_by="prediction_id")
-    counts = confusion_counts(F.col("true_label"), F.col("predicted_label"))
+    counts = [*confusion_counts(F.col("true_label"), F.col("predicted_label")), F.count("*").alias("samples")]
     run = auc(known, "true_label", "prediction_probability", by=group, counts=counts).select("*", *quality_metrics())
-    samples = F.col("true_positives") + F.col("false_positives") + F.col("true_negatives") + F.col("false_negatives")
     return conform(
         run.select(
             texts.derived_id("eval-", *[F.col(c) for c in group], evaluated_at).alias("evaluation_id"),
@@ -188,7 +188,7 @@ def evaluation_run(predictions: DataFrame, images: DataFrame, evaluated_at: Colu
             "f1_score",
             F.col("auc").alias("auc_roc"),
             confusion_json().alias("confusion_matrix"),
-            samples.alias("total_samples"),
+            F.col("samples").alias("total_samples"),
             evaluated_at.alias("evaluated_at"),
             F.to_date(evaluated_at).alias("evaluation_date"),
         ),

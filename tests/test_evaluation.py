@@ -115,6 +115,16 @@ def test_keys_at_any_place(spark):
     assert sampling.keys_at(same, [4, 9]) == ["c" * 32, "ddd"]
 
 
+def test_samples_without_a_label_count(spark, rows):
+    from scorewatch.schemas import PREDICTIONS, conform
+
+    data = [("a", "i", 1, 0.9, 1, "m", "1"), ("b", "i", 0, 0.2, None, "m", "1"), ("c", "i", 1, 0.8, 0, "m", "1"), ("d", "x", 1, 0.8, 0, "m", "1")]
+    names = "prediction_id string, image_id string, predicted_label int, prediction_probability double, true_label int, model_name string, model_version string"
+    images = rows([("i", "train")], "image_id string, dataset_split string")
+    row = evaluation.evaluation_run(conform(rows(data, names), PREDICTIONS), images, F.lit("2024-01-01").cast("timestamp")).collect()[0]
+    assert (row.total_samples, row.confusion_matrix, row.auc_roc) == (3, "[[0,1],[0,1]]", 1.0)
+
+
 def test_exact_split_depends_on_the_seed(spark):
     frame = spark.range(500).selectExpr("CAST(id AS STRING) AS id")
     other = sampling.exact_split(frame, "id", seed=1)
