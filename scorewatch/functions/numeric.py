@@ -26,7 +26,3 @@ def percent(numerator: Column, denominator: Column, digits: int = 2) -> Column:
 def f1(precision: Column, recall: Column) -> Column:
     """Harmonic mean; NULL when either side is NULL or both are 0."""
     return 2.0 * precision * recall / F.nullif(precision + recall, F.lit(0.0))
-
-
-def zero_if_undefined(value: Column) -> Column:
-    return F.coalesce(value, F.lit(0.0))

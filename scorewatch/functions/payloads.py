@@ -20,8 +20,3 @@ def response_score(response: Column) -> Column:
 def metadata_value(metadata: Column, key: str) -> Column:
     """Value of a map entry, NULL when the key is absent."""
     return F.try_element_at(metadata, F.lit(key))
-
-
-def score_response(score: Column) -> Column:
-    """The response text a scorer writes for one score."""
-    return F.concat(F.lit('{"predictions":[['), score.cast("string"), F.lit("]]}"))

@@ -38,8 +38,3 @@ def parse_source_time(text: Column) -> Column:
 
 def display_time(ts: Column) -> Column:
     return F.date_format(ts, K.DISPLAY_TIME_FORMAT)
-
-
-def days_before(ts: Column, days: int) -> Column:
-    """Date ``days`` days before the date of ``ts``."""
-    return F.date_sub(F.to_date(ts), days)
