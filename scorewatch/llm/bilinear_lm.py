@@ -15,6 +15,8 @@ import math
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cached_property
+from itertools import repeat
 from zlib import crc32
 
 import numpy as np
@@ -91,6 +93,8 @@ class Counts:
     types: int
     #: How many of the words are symbols of their own.
     own: int
+    #: The symbol of each of the words.
+    symbols: np.ndarray
     class_tokens: np.ndarray
     class_types: np.ndarray
 
@@ -126,24 +130,40 @@ def gather_counts(vocabulary: DataFrame) -> Counts:
     class_tokens, class_types = np.zeros(CLASSES), np.zeros(CLASSES)
     for k, n, t in sums.collect():
         class_tokens[k], class_types[k] = n, t
-    return Counts(words, numbers, tokens, types, len(own), class_tokens, class_types)
+    symbols = [k if k < len(own) else len(own) + class_of(w) for k, w in enumerate(words)]
+    return Counts(words, numbers, tokens, types, len(own), np.array(symbols, np.int64), class_tokens, class_types)
 
 
 class Reader:
     """Texts as symbols."""
 
     def __init__(self, counts: Counts):
-        self.own = counts.own
-        self.places = {w: k for k, w in enumerate(counts.words)}
-        symbols = [k if k < self.own else self.own + class_of(w) for k, w in enumerate(counts.words)]
-        self.symbols = np.array(symbols, np.int64)
+        self.counts, self.own, self.symbols = counts, counts.own, counts.symbols
         self.start = self.own + CLASSES
 
+    @cached_property
+    def places(self) -> dict[bytes, int]:
+        return {w: k for k, w in enumerate(self.counts.words)}
+
+    @cached_property
+    def symbol_of(self) -> dict[bytes, int]:
+        return dict(zip(self.counts.words, self.symbols.tolist(), strict=True))
+
+    def symbols_of(self, text: str | None) -> np.ndarray:
+        """The symbols of a text."""
+        parts, get = [], self.symbol_of.get
+        for words in tokens_of(text):
+            part = np.fromiter(map(get, words, repeat(-1)), np.int64, len(words))
+            lost = np.flatnonzero(part < 0).tolist()
+            part[lost] = [self.own + class_of(words[k]) for k in lost]
+            parts.append(part)
+        return np.concatenate(parts)
+
     def read(self, text: str | None) -> Iterator[tuple[np.ndarray, np.ndarray, list[bytes]]]:
         """(symbols, places among the frequent words or -1, the words without a place) of a text, part by part."""
         get = self.places.get
         for words in tokens_of(text):
-            places = np.fromiter((get(w, -1) for w in words), np.int64, len(words))
+            places = np.fromiter(map(get, words, repeat(-1)), np.int64, len(words))
             lost = np.flatnonzero(places < 0)
             others = [words[k] for k in lost.tolist()]
             symbols = self.symbols[places] if len(self.symbols) else np.zeros(len(words), np.int64)
@@ -182,7 +202,7 @@ def train_network(docs: DataFrame, counts: Counts, rounds: int = ROUNDS, seed: i
 
             for batch in pieces_of(batches):
                 for text in batch.column("text").to_pylist():
-                    symbols = np.concatenate([s for s, _, _ in reader.read(text)])
+                    symbols = reader.symbols_of(text)
                     held.append(symbols)
                     size += len(symbols)
                     if size >= 1 << 19:

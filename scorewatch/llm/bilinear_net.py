@@ -18,8 +18,8 @@ SIZE = 32
 BATCH = 512
 NOISE = 64
 RATE = 0.1
-#: Tokens whose scores are held at once.
-BLOCK = 1024
+#: Tokens whose sums are formed at once.
+BLOCK = 256
 
 
 @dataclass
@@ -59,25 +59,48 @@ class Network:
         return out
 
     def log_probabilities(self, before: np.ndarray, target: np.ndarray) -> np.ndarray:
-        """Natural log probability of each target, normalised over all symbols."""
+        """Natural log probability of each target, normalised over all symbols.
+
+        A score is a sum over the places, so the scores of every symbol at every place come from one matrix
+        product each, and their exponentials are taken once: a token's sum over all symbols is then a sum of
+        products of four rows. Networks whose scores could leave the range of the numbers are read score by score.
+        """
+        scores = [(self.context * p) @ self.output.T for p in self.places]
+        scores[0] = scores[0] + self.bias
+        if sum(float(np.abs(s).max(initial=0)) for s in scores) > 60:
+            return self._shifted(scores, before, target)
+        powers = [np.exp(s) for s in scores]
         found = np.empty(len(target))
+        # Two blocks only, so that tables and blocks stay near the processor.
+        product, rows = (np.empty((BLOCK, len(self.output)), np.float32) for _ in range(2))
         for start in range(0, len(target), BLOCK):
             part = slice(start, start + BLOCK)
-            scores = self.predicted(before[part]) @ self.output.T
-            scores += self.bias
-            scores -= scores.max(axis=1, keepdims=True)
-            own = scores[np.arange(len(scores)), target[part]]
-            np.exp(scores, out=scores)
-            found[part] = own - np.log(scores.sum(axis=1, dtype=np.float64))
+            held, of = before[part], target[part]
+            all_, one = product[: len(of)], rows[: len(of)]
+            np.take(powers[0], held[:, 0], axis=0, out=all_, mode="clip")
+            for k in range(1, CONTEXT - 1):
+                all_ *= np.take(powers[k], held[:, k], axis=0, out=one, mode="clip")
+            np.take(powers[-1], held[:, CONTEXT - 1], axis=0, out=one, mode="clip")
+            own = sum(s[held[:, k], of] for k, s in enumerate(scores))
+            found[part] = own - np.log(np.einsum("ij,ij->i", all_, one))
+        return found
+
+    def _shifted(self, scores: list[np.ndarray], before: np.ndarray, target: np.ndarray) -> np.ndarray:
+        found = np.empty(len(target))
+        for start in range(0, len(target), BLOCK):
+            part = slice(start, start + BLOCK)
+            block = sum(s[before[part, k]] for k, s in enumerate(scores))
+            block -= block.max(axis=1, keepdims=True)
+            own = block[np.arange(len(block)), target[part]]
+            found[part] = own - np.log(np.exp(block).sum(axis=1))
         return found
 
 
-def _add_rows(total: np.ndarray, index: np.ndarray, rows: np.ndarray) -> None:
-    """``total[index] += rows`` where an index may repeat."""
-    order = np.argsort(index, kind="stable")
-    ordered = index[order]
-    firsts = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]]))
-    total[ordered[firsts]] += np.add.reduceat(rows[order], firsts, axis=0)
+def _summed_rows(index: np.ndarray, rows: np.ndarray, n: int) -> np.ndarray:
+    """Sum of the rows of each index below ``n``; an index may repeat."""
+    width = rows.shape[1]
+    cells = (index[:, None] * width + np.arange(width)).ravel()
+    return np.bincount(cells, rows.ravel(), n * width).reshape(n, width).astype(np.float32)
 
 
 def gradients(net: Network, before: np.ndarray, target: np.ndarray, drawn: np.ndarray, log_noise: np.ndarray):
@@ -85,24 +108,26 @@ def gradients(net: Network, before: np.ndarray, target: np.ndarray, drawn: np.nd
 
     ``log_noise`` is the log probability of each symbol as noise, ``drawn`` the noise symbols of the batch.
     """
-    q = net.predicted(before)
-    many = np.float32(np.log(len(drawn)))
+    held = [np.take(net.context, before[:, k], axis=0) for k in range(CONTEXT)]
+    q = held[0] * net.places[0]
+    for k in range(1, CONTEXT):
+        q += held[k] * net.places[k]
+    margin = net.bias - log_noise - np.float32(np.log(len(drawn)))
     own, noise = net.output[target], net.output[drawn]
-    own_margin = np.einsum("ij,ij->i", q, own) + (net.bias - log_noise)[target] - many
-    noise_margin = q @ noise.T + ((net.bias - log_noise)[drawn] - many)
-    sigmoid = lambda x: 1 / (1 + np.exp(-np.clip(x, -30, 30)))
-    own_slope = sigmoid(own_margin) - 1
-    noise_slope = sigmoid(noise_margin)
+    sigmoid = lambda x: 1 / (1 + np.exp(-np.maximum(x, np.float32(-60))))
+    own_slope = sigmoid(np.einsum("ij,ij->i", q, own) + margin[target]) - 1
+    noise_slope = sigmoid(q @ noise.T + margin[drawn])
     q_slope = own_slope[:, None] * own + noise_slope @ noise
-    output, bias = np.zeros_like(net.output), np.zeros_like(net.bias)
-    _add_rows(output, np.concatenate([target, drawn]), np.concatenate([own_slope[:, None] * q, noise_slope.T @ q]))
-    bias += np.bincount(target, own_slope, len(bias)).astype(np.float32)
-    bias += np.bincount(drawn, noise_slope.sum(axis=0), len(bias)).astype(np.float32)
+    symbols, rows = np.concatenate([target, drawn]), np.concatenate([own_slope[:, None] * q, noise_slope.T @ q])
+    bias = np.bincount(symbols, np.concatenate([own_slope, noise_slope.sum(axis=0)]), len(net.bias)).astype(np.float32)
+    # Sums per symbol and place first: the places' weights then apply to few rows.
     context = np.zeros_like(net.context)
-    rows = np.concatenate([q_slope * net.places[k] for k in range(CONTEXT)])
-    _add_rows(context, before.T.ravel(), rows)
-    places = np.stack([np.einsum("ij,ij->j", q_slope, net.context[before[:, k]]) for k in range(CONTEXT)])
-    return [context, output, places, bias]
+    places = np.empty_like(net.places)
+    for k in range(CONTEXT):
+        per_symbol = _summed_rows(before[:, k], q_slope, len(context))
+        context += per_symbol * net.places[k]
+        places[k] = np.einsum("ij,ij->j", per_symbol, net.context)
+    return [context, _summed_rows(symbols, rows, len(net.output)), places, bias]
 
 
 class Trainer:
@@ -117,12 +142,15 @@ class Trainer:
     def learn(self, before: np.ndarray, target: np.ndarray) -> None:
         """One pass over the examples in random order."""
         order = self.rng.permutation(len(target))
+        # One place's symbols lie side by side.
+        before, target = np.ascontiguousarray(before[order].T).T, target[order]
         for start in range(0, len(order), BATCH):
-            part = order[start : start + BATCH]
+            part = slice(start, start + BATCH)
+            size = len(target[part])
             drawn = np.searchsorted(self.upto, self.rng.random(NOISE) * self.upto[-1], "right")
             drawn = np.minimum(drawn, len(self.upto) - 1)
             slopes = gradients(self.net, before[part], target[part], drawn, self.log_noise)
             for weights, slope, square in zip(self.net.parts(), slopes, self.squares, strict=True):
-                slope /= len(part)
+                slope /= size
                 square += slope * slope
                 weights -= RATE * slope / np.sqrt(square)

@@ -158,3 +158,17 @@ def test_without_training_texts(spark):
     same([(*tuple(r)[:6], 0) for r in rows], expected(held, 0))
     assert all(math.isfinite(r["score"]) and r["n_known"] == r["train_tokens"] == 0 for r in rows)
     assert L.score(frame(spark, [])).count() == 0
+
+
+def test_both_ways_to_normalise_agree():
+    """Products of exponentials, and scores shifted by their maximum where the former could overflow."""
+    rng = np.random.default_rng(8)
+    net = N.Network.initial(np.full(30, 1 / 30))
+    net.context += rng.standard_normal(net.context.shape).astype(np.float32) * 0.5
+    before, target = rng.integers(0, 31, (700, N.CONTEXT)), rng.integers(0, 30, 700)
+    plain = net.log_probabilities(before, target)
+    scores = [(net.context * p) @ net.output.T for p in net.places]
+    scores[0] = scores[0] + net.bias
+    assert np.allclose(plain, net._shifted(scores, before, target), atol=1e-4)
+    net.output *= 1e4
+    assert np.isfinite(net.log_probabilities(before, target)).all()
