@@ -119,26 +119,27 @@ def _order_items(items: list[int], symbols: int) -> list[int]:
     ends_list = np.cumsum(counts).tolist()
     starts_list = (np.cumsum(counts) - counts).tolist()
 
-    def induce(seeds: list[int]) -> list[int]:
+    def induce(seeds: list[int], larger: list[int] = before_larger, smaller: list[int] = before_smaller) -> list[int]:
         order = [-1] * n
         tails = ends_list.copy()
         for j in reversed(seeds):
             c = items[j]
-            tails[c] -= 1
-            order[tails[c]] = j
+            tails[c] = place = tails[c] - 1
+            order[place] = j
         heads = starts_list.copy()
         # Both loops read places that they themselves have filled.
         for j in order:
-            c = before_larger[j]
+            c = larger[j]
             if c >= 0:
-                order[heads[c]] = j - 1
-                heads[c] += 1
+                place = heads[c]
+                order[place] = j - 1
+                heads[c] = place + 1
         tails = ends_list.copy()
         for j in reversed(order):
-            c = before_smaller[j]
+            c = smaller[j]
             if c >= 0:
-                tails[c] -= 1
-                order[tails[c]] = j - 1
+                tails[c] = place = tails[c] - 1
+                order[place] = j - 1
         return order
 
     if len(leftmost) <= 1:
