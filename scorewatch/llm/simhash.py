@@ -22,10 +22,23 @@ RADIUS = 3
 BLOCKS = 4
 #: Distance of near texts: on sf0.1 the 335 pairs at Jaccard similarity 0.75 to 1 lie 7 to 31 bits apart.
 NEAR = 31
-#: Share of the pairs at exactly that distance that the sampled tables find; closer ones are missed less.
-RECALL = 0.99
-#: Mean number of fingerprints with the same key in a sampled table.
-GROUP = 4096
+#: Blocks of 32 bits of the tables for ``NEAR``: of two fingerprints at most that far apart, some block differs in
+#: at most ``_BLOCK_ERRORS`` bits.
+COVER_BLOCKS, _BLOCK_ERRORS = 4, 7
+#: A vector for every bit of a block. Any are right; with these no table has under 12 bits, found by a search.
+_VECTORS = np.array(
+    [158, 138, 131, 241, 55, 43, 142, 159, 234, 109, 15, 223, 35, 60, 76, 186, 77, 41, 164, 97, 91, 49, 126, 200, 3, 155]
+    + [99, 104, 115, 94, 245, 121],
+    np.uint32,
+)
+#: Fingerprints of one part, parts that the search is cut into at least, and fingerprints that a part is worth.
+GROUP, LEAST_PARTS, SMALL = 1 << 19, 5, 4096
+#: Pairs of a tile up to which all are compared without tables. Like the parts this only moves the cost.
+FEW = 1 << 30
+#: Pairs that are compared at once, and near pairs of a tile that are held at once.
+_PAIRS, _HELD = 1 << 16, 1 << 23
+#: Of ``sampled_bits``: share of the pairs at a radius to be found, and mean number of fingerprints with the same key.
+RECALL, SAMPLED_GROUP = 0.99, 4096
 #: Terms whose bits are voted on at once.
 _CHUNK = 4096
 
@@ -207,9 +220,10 @@ def near_sets(marks: DataFrame, radius: int = RADIUS, blocks: int = BLOCKS) -> D
     return counted.groupBy("fingerprint").agg(F.sum("n_near").alias("n_near"))
 
 
-def sampled_bits(n: int, radius: int = NEAR, recall: float = RECALL, group: int = GROUP) -> np.ndarray:
-    """Bit positions (tables x bits) of the keys of ``n`` fingerprints.
+def sampled_bits(n: int, radius: int = NEAR, recall: float = RECALL, group: int = SAMPLED_GROUP) -> np.ndarray:
+    """Bit positions (tables x bits) of the keys of ``n`` fingerprints, for searches that may miss pairs.
 
+    No query uses them, as what they find depends on ``n``.
     Bits are added until about ``group`` fingerprints share a key, tables until a pair at ``radius``
     agrees on all bits of some table with probability ``recall``. Up to ``group`` fingerprints are in
     one table without a key, so all their pairs are compared.
@@ -221,84 +235,133 @@ def sampled_bits(n: int, radius: int = NEAR, recall: float = RECALL, group: int
     return np.array([np.sort(rng.permutation(BITS)[:bits]) for _ in range(tables)], np.int64).reshape(tables, bits)
 
 
-def _masks(picked: np.ndarray) -> np.ndarray:
-    """The bits of each table as two words."""
-    set_bits = np.zeros((len(picked), BITS), np.uint8)
-    np.put_along_axis(set_bits, picked, 1, axis=1)
-    return np.packbits(set_bits, axis=1).view(np.uint64)
+def _cover() -> np.ndarray:
+    """Bits of a block that each of its tables is keyed by, as 32-bit masks.
+
+    Every bit has a vector of ``_BLOCK_ERRORS + 1`` binary places, and each vector ``v`` but zero is a table that
+    keeps the bits whose vectors have an odd product with ``v``. Some ``v`` has even products with any
+    ``_BLOCK_ERRORS`` vectors, so two blocks that differ in so many bits agree on all that its table keeps.
+    """
+    v = np.arange(1, 1 << (_BLOCK_ERRORS + 1), dtype=np.uint32)
+    kept = np.bitwise_count(v[:, None] & _VECTORS) & 1
+    return (kept.astype(np.uint32) << np.arange(32, dtype=np.uint32)).sum(1, dtype=np.uint32)
 
 
-def _near_in_tile(lanes: np.ndarray, parts: np.ndarray, own: bool, radius: int, earlier: np.ndarray) -> Iterator[tuple]:
-    """(i, j, distance) arrays of the near pairs of a tile that meet in no earlier table."""
-    order = np.argsort(parts, kind="stable")
-    cut = 0 if own else int(np.searchsorted(parts[order], parts.max()))
-    left, right = (order, order) if own else (order[:cut], order[cut:])
-    step = max(1, (1 << 18) // max(len(right), 1))
+def _near_by_tables(left: np.ndarray, right: np.ndarray, radius: int) -> np.ndarray | None:
+    """Sorted places ``x * len(right) + y`` of all pairs within ``radius`` bits, by the tables of all blocks.
+
+    None if the pairs that share a key would take longer than a comparison of all pairs, as in large groups of
+    near copies, or if ``radius`` is beyond what the tables find.
+    """
+    if radius >= COVER_BLOCKS * (_BLOCK_ERRORS + 1):
+        return None
+    spare = len(left) * len(right) // 4
+    blocks = [np.ascontiguousarray(side.view(np.uint32).T) for side in (left, right)]
+    l0, l1 = np.ascontiguousarray(left.T)
+    r0, r1 = np.ascontiguousarray(right.T)
+    found, size = [np.zeros(0, np.int64)], 0
+    for k in range(COVER_BLOCKS):
+        for mask in _cover():
+            # Masked bits are mixed to 16: unlike ones may meet, and like ones always do.
+            own, other = (((b[k] & mask) * np.uint32(0x9E3779B1) >> np.uint32(16)).astype(np.uint16) for b in blocks)
+            order = np.argsort(other, kind="stable")
+            sizes = np.bincount(other, minlength=1 << 16)
+            n = sizes[own]
+            upto = np.cumsum(n)
+            spare -= int(upto[-1])
+            if spare < 0:
+                return None
+            # Member ``i`` of all pairs of this table is member ``i + shift`` of the other side in key order.
+            shift = (np.cumsum(sizes) - sizes)[own] - upto + n
+            s0, s1 = r0[order], r1[order]
+            cuts = [*np.searchsorted(upto, np.arange(0, int(upto[-1]), _PAIRS), "right").tolist(), len(left)]
+            for a, z in zip(cuts, cuts[1:]):
+                x = np.repeat(np.arange(a, z), n[a:z])
+                y = np.arange(len(x)) + (upto[a] - n[a] if a < z else 0) + shift[x]
+                near = np.flatnonzero(np.bitwise_count(l0[x] ^ s0[y]) + np.bitwise_count(l1[x] ^ s1[y]) <= radius)
+                if len(near):
+                    found.append(x[near] * len(right) + order[y[near]])
+                    size += len(near)
+            if size > _HELD:
+                found = [np.unique(np.concatenate(found))]
+                size = len(found[0])
+                if size > _HELD // 2:
+                    return None
+    return np.unique(np.concatenate(found))
+
+
+def _near_by_all(left: np.ndarray, right: np.ndarray, radius: int) -> Iterator[np.ndarray]:
+    """Places of all pairs within ``radius`` bits, every pair compared."""
+    r0, r1 = np.ascontiguousarray(right.T)
+    step = max(1, _PAIRS // max(len(right), 1))
     for k in range(0, len(left), step):
-        i, j = left[k : k + step], right[k:] if own else right
-        apart = sum(np.bitwise_count(lanes[i, w][:, None] ^ lanes[j, w][None, :]) for w in range(WORDS))
-        near = apart <= radius
+        part = left[k : k + step]
+        apart = np.bitwise_count(part[:, :1] ^ r0)
+        apart += np.bitwise_count(part[:, 1:] ^ r1)
+        near = np.flatnonzero(apart.ravel() <= radius)
+        if len(near):
+            yield near + k * len(right)
+
+
+def _near_in_tile(lanes: np.ndarray, parts: np.ndarray, own: bool, radius: int, few: int = FEW) -> Iterator[tuple]:
+    """(i, j, distance) arrays of all near pairs of a tile, each pair once.
+
+    Tiles of up to ``few`` pairs, for which the tables cost more than they save, are compared whole.
+    """
+    low = parts == parts.min()
+    i, j = (np.arange(len(lanes)),) * 2 if own else (np.flatnonzero(low), np.flatnonzero(~low))
+    if not len(i) or not len(j):
+        return
+    left, right = lanes[i], lanes[j]
+    listed = _near_by_tables(left, right, radius) if len(i) * len(j) > few else None
+    for places in _near_by_all(left, right, radius) if listed is None else [listed]:
+        x, y = np.divmod(places, len(j))
         if own:
-            near &= np.arange(len(j))[None, :] > np.arange(len(i))[:, None]
-        x, y = np.nonzero(near)
-        distance, x, y = apart[x, y], i[x], j[y]
-        for mask in earlier:
-            if not len(x):
-                break
-            new = ((lanes[x] ^ lanes[y]) & mask).any(1)
-            x, y, distance = x[new], y[new], distance[new]
+            x, y = x[x < y], y[x < y]
         if len(x):
-            yield x, y, distance
+            yield i[x], j[y], np.bitwise_count(left[x] ^ right[y]).sum(1)
 
 
-def near_tiles(classes: DataFrame, radius: int = NEAR, recall: float = RECALL, group: int = GROUP):
-    """Grouped tiles of fingerprints to compare, and the tables that their keys are made of.
+def near_tiles(classes: DataFrame, group: int = GROUP):
+    """Fingerprints grouped by pairs of parts, so that any two meet in one tile.
 
-    ``classes`` needs distinct ``fingerprint`` and its ``class_id``; it is read more than once. Keys with
-    more than twice ``group`` members are dealt into square tiles.
+    ``classes`` needs distinct ``fingerprint`` and its ``class_id``; it is read more than once. Parts hold about
+    ``group`` fingerprints, or fewer if there would be less than ``LEAST_PARTS``; what is found does not depend on them.
     """
-    picked = sampled_bits(classes.count(), radius, recall, group)
-    tables, bits = picked.shape
-    names = ["key", "f0", "f1", "class_id"]
+    n = classes.count()
+    parts = max(1, math.ceil(n / group), min(LEAST_PARTS, n // SMALL))
 
     def deal(batch: pa.RecordBatch) -> pa.RecordBatch:
-        raw = np.frombuffer(b"".join(map(bytes.fromhex, batch.column(0).to_pylist())), np.uint8).reshape(-1, BITS // 8)
-        on = np.unpackbits(raw, axis=1)
-        keys = [(np.int64(t) << np.int64(40)) + on[:, picked[t]] @ (1 << np.arange(bits, dtype=np.int64)) for t in range(tables)]
-        lanes = np.tile(raw.view(np.int64), (tables, 1))
-        ids = pa.concat_arrays([batch.column(1)] * tables)
-        columns = [pa.array(np.concatenate(keys), pa.int64()), *(pa.array(np.ascontiguousarray(c)) for c in lanes.T), ids]
-        return pa.RecordBatch.from_arrays(columns, names=names)
-
-    rows = map_batches(classes.select("fingerprint", F.col("class_id").cast("long")), deal, "key long, f0 long, f1 long, class_id long")
-    limit = 2 * group
-    sizes = rows.groupBy("key").count().where("count > 1").select("key", F.ceil(F.col("count") / limit).cast("int").alias("parts"))
-    members = rows.join(sizes, "key").withColumn("part", F.pmod(F.xxhash64("f0", "f1"), F.col("parts")).cast("int"))
-    tiles = members.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).select(
-        *names, "part", F.least("part", "other").alias("a"), F.greatest("part", "other").alias("b")
+        raw = np.frombuffer(b"".join(map(bytes.fromhex, batch.column(0).to_pylist())), np.int64).reshape(-1, WORDS)
+        columns = [*(pa.array(np.ascontiguousarray(c)) for c in raw.T), batch.column(1)]
+        return pa.RecordBatch.from_arrays(columns, names=["f0", "f1", "class_id"])
+
+    marks = classes.select("fingerprint", F.col("class_id").cast("long"))
+    rows = map_batches(marks, deal, "f0 long, f1 long, class_id long")
+    members = rows.withColumn("part", F.pmod(F.xxhash64("f0", "f1"), F.lit(parts)).cast("int"))
+    tiles = members.withColumn("other", F.explode(F.sequence(F.lit(0), F.lit(parts - 1)))).select(
+        "f0", "f1", "class_id", "part", F.least("part", "other").alias("a"), F.greatest("part", "other").alias("b")
     )
-    return tiles.groupBy("key", "a", "b"), _masks(picked)
+    return tiles.groupBy("a", "b")
 
 
-def _tile(table: pa.Table, masks: np.ndarray, radius: int) -> tuple[np.ndarray, Iterator[tuple]]:
+def _tile(table: pa.Table, radius: int, few: int) -> tuple[np.ndarray, Iterator[tuple]]:
     lanes = np.stack([table.column(c).to_numpy() for c in ("f0", "f1")], 1).view(np.uint64)
     parts = table.column("part").to_numpy()
     own = table.column("a")[0].as_py() == table.column("b")[0].as_py()
-    if not own and parts.min() == parts.max():
-        return lanes, iter(())
-    return lanes, _near_in_tile(lanes, parts, own, radius, masks[: table.column("key")[0].as_py() >> 40])
+    return lanes, _near_in_tile(lanes, parts, own, radius, few)
 
 
 def _hex(lanes: np.ndarray) -> pa.Array:
     return pa.array([r.tobytes().hex() for r in lanes], pa.string())
 
 
-def near_counts(classes: DataFrame, radius: int = NEAR, recall: float = RECALL, group: int = GROUP) -> DataFrame:
-    """Fingerprints with others within ``radius`` bits, and the number of these others. No pairs are listed."""
-    tiles, masks = near_tiles(classes, radius, recall, group)
+def near_counts(classes: DataFrame, radius: int = NEAR, group: int = GROUP, few: int = FEW) -> DataFrame:
+    """Fingerprints with others within ``radius`` bits, and the number of all these others. No pairs are listed."""
+    tiles = near_tiles(classes, group)
 
     def count(table: pa.Table) -> pa.Table:
-        lanes, found = _tile(table, masks, radius)
+        lanes, found = _tile(table, radius, few)
         n_near = np.zeros(len(lanes), np.int64)
         for x, y, _ in found:
             n_near += np.bincount(x, minlength=len(lanes)) + np.bincount(y, minlength=len(lanes))
@@ -308,12 +371,12 @@ def near_counts(classes: DataFrame, radius: int = NEAR, recall: float = RECALL,
     return tiles.applyInArrow(count, "fingerprint string, n_near long").groupBy("fingerprint").agg(F.sum("n_near").alias("n_near"))
 
 
-def near_pairs(classes: DataFrame, radius: int = NEAR, recall: float = RECALL, group: int = GROUP) -> DataFrame:
-    """Every found pair of classes within ``radius`` bits once, with representatives and distance."""
-    tiles, masks = near_tiles(classes, radius, recall, group)
+def near_pairs(classes: DataFrame, radius: int = NEAR, group: int = GROUP, few: int = FEW) -> DataFrame:
+    """Every pair of classes within ``radius`` bits once, with representatives and distance."""
+    tiles = near_tiles(classes, group)
 
     def pairs(table: pa.Table) -> pa.Table:
-        lanes, found = _tile(table, masks, radius)
+        lanes, found = _tile(table, radius, few)
         found = [*found] or [(np.zeros(0, np.int64),) * 3]
         x, y, distance = (np.concatenate(c) for c in zip(*found, strict=True))
         ids = table.column("class_id").combine_chunks()

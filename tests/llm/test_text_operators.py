@@ -4,6 +4,7 @@ import hashlib
 import random
 import re
 import zlib
+from collections import Counter
 
 import numpy as np
 import public_tokenizers
@@ -286,6 +287,47 @@ def test_sampled_tables_hold_their_recall(spark):
     assert {(r["a"], r["b"]) for r in simhash.near_pairs(classes).collect()} == want
 
 
+def test_near_search_finds_all_at_any_size(spark):
+    """Pairs at the full radius among more fingerprints than one small group; all of them, by tables and by comparison."""
+    rng = np.random.default_rng(6)
+    marks = [rng.bytes(16) for _ in range(3000)]
+    for m in marks[:]:
+        flips = rng.permutation(128)[: simhash.NEAR]
+        marks.append((int.from_bytes(m) ^ sum(1 << int(f) for f in flips)).to_bytes(16))
+    lanes = np.frombuffer(b"".join(marks), np.uint64).reshape(-1, 2)
+    want = set()
+    for k in range(len(lanes)):
+        near = np.flatnonzero(np.bitwise_count(lanes[k + 1 :] ^ lanes[k]).sum(1) <= simhash.NEAR) + k + 1
+        want |= {(k, j) for j in near.tolist()}
+    assert want >= {(k, k + 3000) for k in range(3000)}
+    classes = spark.createDataFrame([(m.hex(), k) for k, m in enumerate(marks)], "fingerprint string, class_id long")
+    counts = {r["fingerprint"]: r["n_near"] for r in simhash.near_counts(classes).collect()}
+    assert counts == {marks[k].hex(): n for k, n in Counter(k for pair in want for k in pair).items()}
+    assert {(r["a"], r["b"]) for r in simhash.near_pairs(classes).collect()} == want
+    found = [(r["a"], r["b"]) for r in simhash.near_pairs(classes, group=2500, few=0).collect()]
+    assert len(found) == len(want) and {*found} == want
+
+
+def test_near_tables_agree_with_all_pairs():
+    """Blocks with every number of errors, and groups of near copies, which the tables leave to the comparison."""
+    rng = np.random.default_rng(7)
+    assert simhash.NEAR == simhash.COVER_BLOCKS * 8 - 1
+    left = rng.integers(0, 1 << 64, (1500, 2), dtype=np.uint64)
+    bits = np.unpackbits(left.view(np.uint8), axis=1)
+    for row in bits:
+        for block in range(4):
+            row[32 * block + rng.permutation(32)[: rng.integers(5, 10)]] ^= 1
+    right = np.packbits(bits, axis=1).view(np.uint64)
+    exact = np.concatenate([*simhash._near_by_all(left, right, simhash.NEAR)])
+    assert 500 < len(exact) < 1500
+    assert np.array_equal(simhash._near_by_tables(left, right, simhash.NEAR), exact)
+    same = left[:1] ^ (np.uint64(1) << rng.integers(0, 64, (700, 2)).astype(np.uint64))
+    assert simhash._near_by_tables(same, same, simhash.NEAR) is None
+    found = [*simhash._near_in_tile(same, np.zeros(700, np.int32), True, simhash.NEAR, 0)]
+    assert sum(len(x) for x, _, _ in found) == 700 * 699 // 2
+    assert simhash._near_by_tables(left, right, simhash.NEAR + 1) is None
+
+
 def test_packing(odd):
     exact = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
     args = public_tokenizers.path(queries.BYTE_BPE), public_tokenizers.PATTERN, queries.END_OF_TEXT
