@@ -44,6 +44,8 @@ _UPPER = bytes(range(65, 91))
 _FOLD = bytes.maketrans(_UPPER + b"\t\n\x0b\x0c\r", _UPPER.lower() + b" " * 5)
 _STOPS = b".,;:!?\"')"
 _STEP = 1 << 20
+#: How the symbols of a text are kept.
+SYMBOL = np.dtype("<i2")
 
 
 def tokens_of(text: str | None, size: int = SLICE) -> Iterator[list[bytes]]:
@@ -145,20 +147,6 @@ class Reader:
     def places(self) -> dict[bytes, int]:
         return {w: k for k, w in enumerate(self.counts.words)}
 
-    @cached_property
-    def symbol_of(self) -> dict[bytes, int]:
-        return dict(zip(self.counts.words, self.symbols.tolist(), strict=True))
-
-    def symbols_of(self, text: str | None) -> np.ndarray:
-        """The symbols of a text."""
-        parts, get = [], self.symbol_of.get
-        for words in tokens_of(text):
-            part = np.fromiter(map(get, words, repeat(-1)), np.int64, len(words))
-            lost = np.flatnonzero(part < 0).tolist()
-            part[lost] = [self.own + class_of(words[k]) for k in lost]
-            parts.append(part)
-        return np.concatenate(parts)
-
     def read(self, text: str | None) -> Iterator[tuple[np.ndarray, np.ndarray, list[bytes]]]:
         """(symbols, places among the frequent words or -1, the words without a place) of a text, part by part."""
         get = self.places.get
@@ -178,15 +166,15 @@ class Reader:
         return np.stack([line[at - k] for k in range(1, B.CONTEXT + 1)], axis=1), line[at]
 
 
-def train_network(docs: DataFrame, counts: Counts, rounds: int = ROUNDS, seed: int = SEED) -> B.Network:
-    """Network trained on all texts, each in one of the rounds by its id and text.
+def train_network(read: DataFrame, counts: Counts, rounds: int = ROUNDS, seed: int = SEED) -> B.Network:
+    """Network trained on all texts of ``read_texts``, each in one of the rounds by its id and symbols.
 
     A task returns its network as sums of whole numbers, so the average is the same in any order of the tasks.
     The driver holds one network, whose size does not depend on the input.
     """
     frequency = counts.frequency()
     net = B.Network.initial(frequency, seed)
-    turn = F.pmod(F.xxhash64("doc_id", "text"), F.lit(rounds))
+    turn = F.pmod(F.xxhash64("doc_id", "symbols"), F.lit(rounds))
     for k in range(rounds):
         flat = net.flat()
 
@@ -200,9 +188,9 @@ def train_network(docs: DataFrame, counts: Counts, rounds: int = ROUNDS, seed: i
                 trainer.learn(before, target)
                 return len(target)
 
-            for batch in pieces_of(batches):
-                for text in batch.column("text").to_pylist():
-                    symbols = reader.symbols_of(text)
+            for batch in batches:
+                for line in batch.column("symbols").to_pylist():
+                    symbols = np.frombuffer(line, SYMBOL)
                     held.append(symbols)
                     size += len(symbols)
                     if size >= 1 << 19:
@@ -215,7 +203,7 @@ def train_network(docs: DataFrame, counts: Counts, rounds: int = ROUNDS, seed: i
                 place = np.arange(-1, len(sums), dtype=np.int32)
                 yield pa.RecordBatch.from_arrays([pa.array(place), pa.array(np.append(weight, sums))], ["place", "total"])
 
-        share = docs.where(turn == k).select("text")
+        share = read.where(turn == k).select("symbols")
         found = share.mapInArrow(work, "place int, total long").groupBy("place").agg(F.sum("total").alias("total")).toArrow()
         if found.num_rows:
             places = np.asarray(found.column("place"))
@@ -225,49 +213,67 @@ def train_network(docs: DataFrame, counts: Counts, rounds: int = ROUNDS, seed: i
     return net
 
 
-def _scored(docs: DataFrame, counts: Counts, net: B.Network, kind: str) -> DataFrame:
-    """Per document what needs no other counts, and its words that do."""
+def read_texts(docs: DataFrame, counts: Counts, kind: str) -> DataFrame:
+    """Per document its symbols, what needs no other counts, and its words that do. A text is cut into words once."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         reader = Reader(counts)
         log_counts = np.log10(np.array(counts.numbers, np.float64) + 0.5)
         # A word of a class has its share of the class; of a symbol of its own the whole.
         sizes = np.concatenate([np.zeros(counts.own), np.log10(counts.class_sizes())])
-        in_class = np.arange(len(counts.words)) >= counts.own
+        shares = np.where(np.arange(len(counts.words)) < counts.own, 0.0, log_counts) - sizes[counts.symbols]
         for batch in pieces_of(batches):
-            texts, lines, known, base, extra = batch.column("text").to_pylist(), [], [], [], []
+            texts, lines, lengths, known, base, extra = batch.column("text").to_pylist(), [], [], [], [], []
             words, numbers = [], []
             for text in texts:
                 parts, held, logs, more, rare = [], 0, 0.0, 0.0, Counter()
                 for symbols, places, others in reader.read(text):
-                    parts.append(symbols)
+                    parts.append(symbols.astype(SYMBOL))
                     rare.update(others)
+                    more -= float(sizes[symbols[places < 0]].sum())
                     places = places[places >= 0]
                     held += len(places)
                     logs += float(log_counts[places].sum())
-                    more += float(log_counts[places[in_class[places]]].sum()) - float(sizes[symbols].sum())
-                lines.append(np.concatenate(parts))
+                    more += float(shares[places].sum())
+                line = np.concatenate(parts)
+                lines.append(line.tobytes())
+                lengths.append(len(line))
                 known.append(held)
                 base.append(logs)
                 extra.append(more)
                 words.append(list(rare))
                 numbers.append(list(rare.values()))
-            before, target = reader.examples(lines)
-            logs = net.log_probabilities(before, target) / math.log(10)
-            lengths = np.array([len(x) for x in lines])
-            own = np.add.reduceat(logs, np.cumsum(lengths) - lengths)
-            columns = [batch.column("doc_id"), batch.column("held_out"), *map(pa.array, (lengths, known, base, own + extra))]
+            columns = [batch.column("doc_id"), batch.column("held_out"), *map(pa.array, (lengths, known, base, extra))]
             columns += [pa.array(words, pa.list_(pa.binary())), pa.array(numbers, pa.list_(pa.int64()))]
-            yield pa.RecordBatch.from_arrays(columns, names)
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(lines, pa.binary())], names)
 
-    names = ["doc_id", "held_out", "n_tokens", "n_known", "base", "model", "words", "numbers"]
+    names = ["doc_id", "held_out", "n_tokens", "n_known", "base", "extra", "words", "numbers", "symbols"]
     schema = (
-        f"doc_id {kind}, held_out boolean, n_tokens long, n_known long, base double, model double,"
-        " words array<binary>, numbers array<long>"
+        f"doc_id {kind}, held_out boolean, n_tokens long, n_known long, base double, extra double,"
+        " words array<binary>, numbers array<long>, symbols binary"
     )
     return docs.select("doc_id", "held_out", "text").mapInArrow(work, schema)
 
 
+def _scored(read: DataFrame, counts: Counts, net: B.Network) -> DataFrame:
+    """The documents with the model's part of their score, ``model``."""
+    kept = ["row", "doc_id", "held_out", "n_tokens", "n_known", "base"]
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        reader = Reader(counts)
+        for batch in pieces_of(batches, 4 << 20, "symbols"):
+            lines = [np.frombuffer(line, SYMBOL) for line in batch.column("symbols").to_pylist()]
+            before, target = reader.examples(lines)
+            logs = net.log_probabilities(before, target) / math.log(10)
+            lengths = np.array([len(x) for x in lines])
+            own = np.add.reduceat(logs, np.cumsum(lengths) - lengths) + batch.column("extra").to_numpy()
+            yield pa.RecordBatch.from_arrays([*map(batch.column, kept), pa.array(own)], [*kept, "model"])
+
+    wanted = read.select(*kept, "extra", "symbols")
+    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in read.select(*kept).schema)
+    return wanted.mapInArrow(work, schema + ", model double")
+
+
 def held_out(doc_id: Column) -> Column:
     return id_share(doc_id, PARTS) == HELD_OUT
 
@@ -285,10 +291,10 @@ def score(docs: DataFrame) -> DataFrame:
     training = docs.where(~F.col("held_out"))
     vocabulary = pin(token_counts(training), "token-counts")
     counts = gather_counts(vocabulary)
-    net = train_network(training, counts)
-    rows = _scored(docs, counts, net, kind).withColumn("row", F.monotonically_increasing_id())
-    rows = pin(rows, "scored-texts")
-    other = rows.select("row", F.explode(F.arrays_zip("words", "numbers")).alias("w")).select("row", "w.words", "w.numbers")
+    read = pin(read_texts(docs, counts, kind).withColumn("row", F.monotonically_increasing_id()), "read-texts")
+    net = train_network(read.where(~F.col("held_out")), counts)
+    rows = _scored(read, counts, net)
+    other = read.select("row", F.explode(F.arrays_zip("words", "numbers")).alias("w")).select("row", "w.words", "w.numbers")
     met = other.withColumnRenamed("words", "word").join(vocabulary, "word", "left")
     log_count = F.log10(F.coalesce("c", F.lit(0)) + 0.5)
     sums = met.groupBy("row").agg(
@@ -297,7 +303,7 @@ def score(docs: DataFrame) -> DataFrame:
     )
     logs = F.coalesce("logs", F.lit(0.0))
     whole = math.log10(counts.tokens + 0.5 * (counts.types + 1))
-    return rows.drop("words", "numbers").join(sums, "row", "left").select(
+    return rows.join(sums, "row", "left").select(
         "doc_id",
         "held_out",
         "n_tokens",

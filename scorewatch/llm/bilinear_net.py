@@ -9,6 +9,7 @@ Probabilities are normalised over all symbols.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import cache
 
 import numpy as np
 
@@ -20,6 +21,8 @@ NOISE = 64
 RATE = 0.1
 #: Tokens whose sums are formed at once.
 BLOCK = 256
+#: Sums below this are not taken from products.
+LEAST = 1e-25
 
 
 @dataclass
@@ -45,6 +48,12 @@ class Network:
     def flat(self) -> np.ndarray:
         return np.concatenate([p.ravel() for p in self.parts()])
 
+    def view(self, numbers: np.ndarray) -> None:
+        """Take the parts from a row of numbers without a copy."""
+        cuts = np.cumsum([p.size for p in self.parts()])[:-1]
+        views = [v.reshape(p.shape) for v, p in zip(np.split(numbers, cuts), self.parts(), strict=True)]
+        self.context, self.output, self.places, self.bias = views
+
     @classmethod
     def from_flat(cls, numbers: np.ndarray, symbols: int) -> Network:
         shapes = [(symbols + 1, SIZE), (symbols, SIZE), (CONTEXT, SIZE), (symbols,)]
@@ -53,9 +62,12 @@ class Network:
 
     def predicted(self, before: np.ndarray) -> np.ndarray:
         """Predicted vectors; ``before`` has a column of symbols per place."""
-        out = self.context[before[:, 0]] * self.places[0]
+        out = np.take(self.context, before[:, 0], axis=0)
+        out *= self.places[0]
         for k in range(1, CONTEXT):
-            out += self.context[before[:, k]] * self.places[k]
+            held = np.take(self.context, before[:, k], axis=0)
+            held *= self.places[k]
+            out += held
         return out
 
     def log_probabilities(self, before: np.ndarray, target: np.ndarray) -> np.ndarray:
@@ -63,13 +75,13 @@ class Network:
 
         A score is a sum over the places, so the scores of every symbol at every place come from one matrix
         product each, and their exponentials are taken once: a token's sum over all symbols is then a sum of
-        products of four rows. Networks whose scores could leave the range of the numbers are read score by score.
+        products of four rows. Each row is taken relative to its maximum, so that no product leaves the range of the
+        numbers; the few tokens whose sums are too small for them are read score by score.
         """
         scores = [(self.context * p) @ self.output.T for p in self.places]
         scores[0] = scores[0] + self.bias
-        if sum(float(np.abs(s).max(initial=0)) for s in scores) > 60:
-            return self._shifted(scores, before, target)
-        powers = [np.exp(s) for s in scores]
+        tops = [s.max(axis=1) for s in scores]
+        powers = [np.exp(s - top[:, None]) for s, top in zip(scores, tops, strict=True)]
         found = np.empty(len(target))
         # Two blocks only, so that tables and blocks stay near the processor.
         product, rows = (np.empty((BLOCK, len(self.output)), np.float32) for _ in range(2))
@@ -81,8 +93,13 @@ class Network:
             for k in range(1, CONTEXT - 1):
                 all_ *= np.take(powers[k], held[:, k], axis=0, out=one, mode="clip")
             np.take(powers[-1], held[:, CONTEXT - 1], axis=0, out=one, mode="clip")
-            own = sum(s[held[:, k], of] for k, s in enumerate(scores))
-            found[part] = own - np.log(np.einsum("ij,ij->i", all_, one))
+            own = sum(s[held[:, k], of] - tops[k][held[:, k]] for k, s in enumerate(scores))
+            sums = np.einsum("ij,ij->i", all_, one)
+            low = np.flatnonzero(sums < LEAST)
+            sums[low] = 1
+            found[part] = own - np.log(sums)
+            if len(low):
+                found[start + low] = self._shifted(scores, held[low], of[low])
         return found
 
     def _shifted(self, scores: list[np.ndarray], before: np.ndarray, target: np.ndarray) -> np.ndarray:
@@ -96,11 +113,22 @@ class Network:
         return found
 
 
+@cache
+def _cells(n: int, width: int) -> np.ndarray:
+    return np.arange(n * width).reshape(n, width)
+
+
 def _summed_rows(index: np.ndarray, rows: np.ndarray, n: int) -> np.ndarray:
     """Sum of the rows of each index below ``n``; an index may repeat."""
-    width = rows.shape[1]
-    cells = (index[:, None] * width + np.arange(width)).ravel()
-    return np.bincount(cells, rows.ravel(), n * width).reshape(n, width).astype(np.float32)
+    cells = np.take(_cells(n, rows.shape[1]), index, axis=0)
+    return np.bincount(cells.ravel(), rows.ravel(), n * rows.shape[1]).reshape(n, -1).astype(np.float32)
+
+
+def _falling(x: np.ndarray) -> np.ndarray:
+    """1 / (1 + exp(x)), in place."""
+    np.exp(np.minimum(x, np.float32(60), out=x), out=x)
+    x += 1
+    return np.reciprocal(x, out=x)
 
 
 def gradients(net: Network, before: np.ndarray, target: np.ndarray, drawn: np.ndarray, log_noise: np.ndarray):
@@ -108,25 +136,28 @@ def gradients(net: Network, before: np.ndarray, target: np.ndarray, drawn: np.nd
 
     ``log_noise`` is the log probability of each symbol as noise, ``drawn`` the noise symbols of the batch.
     """
-    held = [np.take(net.context, before[:, k], axis=0) for k in range(CONTEXT)]
-    q = held[0] * net.places[0]
-    for k in range(1, CONTEXT):
-        q += held[k] * net.places[k]
+    q = net.predicted(before)
     margin = net.bias - log_noise - np.float32(np.log(len(drawn)))
-    own, noise = net.output[target], net.output[drawn]
-    sigmoid = lambda x: 1 / (1 + np.exp(-np.maximum(x, np.float32(-60))))
-    own_slope = sigmoid(np.einsum("ij,ij->i", q, own) + margin[target]) - 1
-    noise_slope = sigmoid(q @ noise.T + margin[drawn])
-    q_slope = own_slope[:, None] * own + noise_slope @ noise
+    own, noise = np.take(net.output, target, axis=0), net.output[drawn]
+    own_slope = _falling(-(np.einsum("ij,ij->i", q, own) + margin[target])) - 1
+    score = q @ -noise.T
+    score -= margin[drawn]
+    noise_slope = _falling(score)
+    q_slope = noise_slope @ noise
+    own *= own_slope[:, None]
+    q_slope += own
     symbols, rows = np.concatenate([target, drawn]), np.concatenate([own_slope[:, None] * q, noise_slope.T @ q])
-    bias = np.bincount(symbols, np.concatenate([own_slope, noise_slope.sum(axis=0)]), len(net.bias)).astype(np.float32)
+    drawn_slope = np.ones(len(target), noise_slope.dtype) @ noise_slope
+    bias = np.bincount(symbols, np.concatenate([own_slope, drawn_slope]), len(net.bias)).astype(np.float32)
     # Sums per symbol and place first: the places' weights then apply to few rows.
+    q_slope = q_slope.astype(np.float64)
     context = np.zeros_like(net.context)
     places = np.empty_like(net.places)
     for k in range(CONTEXT):
         per_symbol = _summed_rows(before[:, k], q_slope, len(context))
-        context += per_symbol * net.places[k]
         places[k] = np.einsum("ij,ij->j", per_symbol, net.context)
+        per_symbol *= net.places[k]
+        context += per_symbol
     return [context, _summed_rows(symbols, rows, len(net.output)), places, bias]
 
 
@@ -137,7 +168,10 @@ class Trainer:
         self.net, self.rng = net, np.random.default_rng(seed)
         self.upto = np.cumsum(frequency)
         self.log_noise = np.log(frequency).astype(np.float32)
-        self.squares = [np.full(p.shape, 1e-6, np.float32) for p in net.parts()]
+        # The network's parts become views of one row of numbers, so that a step is one pass over it.
+        self.weights = net.flat()
+        net.view(self.weights)
+        self.squares = np.full(len(self.weights), 1e-6, np.float32)
 
     def learn(self, before: np.ndarray, target: np.ndarray) -> None:
         """One pass over the examples in random order."""
@@ -150,7 +184,11 @@ class Trainer:
             drawn = np.searchsorted(self.upto, self.rng.random(NOISE) * self.upto[-1], "right")
             drawn = np.minimum(drawn, len(self.upto) - 1)
             slopes = gradients(self.net, before[part], target[part], drawn, self.log_noise)
-            for weights, slope, square in zip(self.net.parts(), slopes, self.squares, strict=True):
-                slope /= size
-                square += slope * slope
-                weights -= RATE * slope / np.sqrt(square)
+            slope = np.concatenate([s.ravel() for s in slopes])
+            slope /= size
+            step = slope * slope
+            self.squares += step
+            np.sqrt(self.squares, out=step)
+            slope *= RATE
+            slope /= step
+            self.weights -= slope

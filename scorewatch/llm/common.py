@@ -81,10 +81,10 @@ def rows_out(schema: pa.Schema, columns: Iterable) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema, strict=True)], schema=schema)
 
 
-def pieces_of(batches: Iterator[pa.RecordBatch], limit: int = 16 << 20) -> Iterator[pa.RecordBatch]:
+def pieces_of(batches: Iterator[pa.RecordBatch], limit: int = 16 << 20, name: str = "text") -> Iterator[pa.RecordBatch]:
     """Cut batches so that the texts of a piece hold about ``limit`` bytes; a longer text stands alone."""
     for batch in batches:
-        sizes = np.array([len(t) if t else 0 for t in batch.column("text").to_pylist()], np.int64)
+        sizes = np.array([len(t) if t else 0 for t in batch.column(name).to_pylist()], np.int64)
         cuts = np.flatnonzero(np.diff(np.cumsum(sizes) // limit)) + 1
         edges = [0, *cuts.tolist(), batch.num_rows]
         for a, b in zip(edges, edges[1:]):

@@ -172,3 +172,35 @@ def test_both_ways_to_normalise_agree():
     assert np.allclose(plain, net._shifted(scores, before, target), atol=1e-4)
     net.output *= 1e4
     assert np.isfinite(net.log_probabilities(before, target)).all()
+
+
+def test_large_scores_stay_products(monkeypatch):
+    """Scores whose sum over the places passes 60, as after long training, are still read by products of rows."""
+    rng = np.random.default_rng(9)
+    net = N.Network.initial(np.full(30, 1 / 30))
+    net.context += rng.standard_normal(net.context.shape).astype(np.float32)
+    net.output += rng.standard_normal(net.output.shape).astype(np.float32) * 0.6
+    scores = [(net.context * p) @ net.output.T for p in net.places]
+    scores[0] = scores[0] + net.bias
+    assert 40 < sum(float(np.abs(s).max()) for s in scores)
+    net.bias[:] += 40
+    scores[0] = scores[0] + 40
+    before, target = rng.integers(0, 31, (700, N.CONTEXT)), rng.integers(0, 30, 700)
+    shifted = net._shifted(scores, before, target)
+    read = []
+    monkeypatch.setattr(N.Network, "_shifted", lambda net, scores, before, target: read.append(len(target)) or np.zeros(len(target)))
+    assert np.allclose(net.log_probabilities(before, target), shifted, atol=1e-3) and not read
+
+
+def test_training_reads_symbols_only(spark):
+    """Texts are cut into words once; the rounds of training need no text."""
+    docs = L.token_counts(frame(spark, corpus()))
+    counts = L.gather_counts(docs)
+    texts = frame(spark, corpus()).select("doc_id", "text").withColumn("held_out", L.held_out(L.F.col("doc_id")))
+    read = L.read_texts(texts, counts, "bigint")
+    own = {w: k for k, w in enumerate(counts.words[: counts.own])}
+    found = sorted((r["doc_id"] is None, r["doc_id"], np.frombuffer(r["symbols"], L.SYMBOL).tolist()) for r in read.collect())
+    symbols = lambda t: [own.get(w, counts.own + L.class_of(w)) for w in tokens(t)]
+    assert found == sorted((i is None, i, symbols(t)) for i, t in corpus())
+    net = L.train_network(read.select("doc_id", "symbols"), counts)
+    assert np.isfinite(net.flat()).all() and not np.array_equal(net.flat(), N.Network.initial(counts.frequency(), L.SEED).flat())
