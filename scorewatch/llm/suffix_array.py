@@ -1,7 +1,7 @@
-"""Suffix arrays by induced sorting, and permuted longest common prefixes.
+"""Suffix arrays by prefix doubling, and permuted longest common prefixes.
 
-The text's own level works on whole buckets at a time: all suffixes that a bucket induces are placed
-with one array operation. The reduced strings below it have large alphabets and are sorted item by item.
+Suffixes are ordered by as many symbols as fit into one number, then by twice as many in each round. A
+round sorts only the suffixes that are still equal to another, all with one array operation.
 """
 
 from __future__ import annotations
@@ -9,171 +9,43 @@ from __future__ import annotations
 import numpy as np
 
 
-def suffix_types(text: np.ndarray) -> np.ndarray:
-    """True where a suffix is smaller than the one after it; the text ends with its smallest symbol."""
-    n = len(text)
-    sign = np.sign(np.diff(text.astype(np.int64)))
-    known = np.flatnonzero(sign[::-1])
-    at = np.full(n - 1, -1)
-    at[known] = known
-    at = np.maximum.accumulate(at)
-    types = np.ones(n, bool)
-    types[:-1] = (sign[::-1][np.maximum(at, 0)] > 0)[::-1]
-    return types
-
-
-def _leftmost(types: np.ndarray) -> np.ndarray:
-    return np.flatnonzero(types[1:] & ~types[:-1]) + 1
-
-
-def _induce(text: np.ndarray, types: np.ndarray, leftmost: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """Order of all suffixes, induced from the given order of the leftmost smaller ones."""
-    n, symbols = len(text), len(ends)
-    starts = np.concatenate([[0], ends[:-1]])
-    order = np.full(n, -1, np.int64)
-    first = text[leftmost]
-    by = np.argsort(first, kind="stable")
-    counts = np.bincount(first, minlength=symbols)
-    tails = ends - counts
-    place = np.cumsum(counts) - counts
-    order[tails[first[by]] + np.arange(len(by)) - place[first[by]]] = leftmost[by]
-    smaller_from = tails.copy()
-    heads = starts.copy()
+def _first_keys(text: np.ndarray, symbols: int) -> tuple[np.ndarray, int]:
+    """The first symbols of every suffix as one number, and how many these are."""
+    bits = max(1, (symbols - 1).bit_length())
+    size = 63 // bits
+    padded = np.concatenate([text, np.zeros(size - 1, np.int64)])
+    keys = np.zeros(len(text), np.int64)
+    for k in range(size):
+        keys = (keys << bits) | padded[k : k + len(text)]
+    return keys, size
 
-    def larger(found: np.ndarray) -> None:
-        before = found - 1
-        before = before[before >= 0]
-        before = before[~types[before]]
-        if len(before):
-            symbol = text[before]
-            by = np.argsort(symbol, kind="stable")
-            symbol = symbol[by]
-            counts = np.bincount(symbol, minlength=symbols)
-            place = np.cumsum(counts) - counts
-            order[heads[symbol] + np.arange(len(by)) - place[symbol]] = before[by]
-            heads[:] += counts
 
-    for c in range(symbols):
-        at = starts[c]
-        while at < heads[c]:
-            upto = heads[c]
-            larger(order[at:upto])
-            at = upto
-        larger(order[smaller_from[c] : ends[c]])
-    tails = ends.copy()
-
-    def smaller(found: np.ndarray) -> None:
-        before = found - 1
-        before = before[before >= 0]
-        before = before[types[before]]
-        if len(before):
-            symbol = text[before]
-            by = np.argsort(symbol, kind="stable")
-            symbol = symbol[by]
-            counts = np.bincount(symbol, minlength=symbols)
-            place = np.cumsum(counts) - counts
-            order[tails[symbol] - 1 - (np.arange(len(by)) - place[symbol])] = before[by]
-            tails[:] -= counts
-
-    for c in range(symbols - 1, -1, -1):
-        at = ends[c]
-        while at > tails[c]:
-            downto = tails[c]
-            smaller(order[downto:at][::-1])
-            at = downto
-        smaller(order[starts[c] : heads[c]][::-1])
-    return order
-
-
-def _names(text: np.ndarray, leftmost: np.ndarray, ordered: np.ndarray) -> np.ndarray:
-    """Rank of each leftmost smaller substring among the different ones, in text order."""
-    size = np.ones(len(text), np.int64)
-    size[leftmost[:-1]] = np.diff(leftmost) + 1
-    a, b = ordered[:-1], ordered[1:]
-    same = size[a] == size[b]
-    at = np.flatnonzero(same)
-    offset = 0
-    while len(at):
-        equal = text[a[at] + offset] == text[b[at] + offset]
-        same[at[~equal]] = False
-        offset += 1
-        at = at[equal]
-        at = at[size[a[at]] > offset]
-    names = np.zeros(len(text), np.int64)
-    names[ordered] = np.concatenate([[0], np.cumsum(~same)])
-    return names[leftmost]
-
-
-def _order_items(items: list[int], symbols: int) -> list[int]:
-    """Suffix order of a string over a large alphabet that ends with its only smallest symbol."""
-    n = len(items)
-    text = np.array(items, np.int64)
-    types_array = suffix_types(text)
-    leftmost = _leftmost(types_array)
-    # Symbol before each suffix if that makes a larger (smaller) one, else -1; the last entry serves empty places.
-    before = np.concatenate([[-1], text[:-1], [-1]])
-    is_larger = np.concatenate([[False], ~types_array[:-1], [False]])
-    before_larger = np.where(is_larger, before, -1).tolist()
-    before_smaller = np.where(is_larger, -1, before).tolist()
-    counts = np.bincount(text, minlength=symbols)
-    ends_list = np.cumsum(counts).tolist()
-    starts_list = (np.cumsum(counts) - counts).tolist()
-
-    def induce(seeds: list[int], larger: list[int] = before_larger, smaller: list[int] = before_smaller) -> list[int]:
-        order = [-1] * n
-        tails = ends_list.copy()
-        for j in reversed(seeds):
-            c = items[j]
-            tails[c] = place = tails[c] - 1
-            order[place] = j
-        heads = starts_list.copy()
-        # Both loops read places that they themselves have filled.
-        for j in order:
-            c = larger[j]
-            if c >= 0:
-                place = heads[c]
-                order[place] = j - 1
-                heads[c] = place + 1
-        tails = ends_list.copy()
-        for j in reversed(order):
-            c = smaller[j]
-            if c >= 0:
-                tails[c] = place = tails[c] - 1
-                order[place] = j - 1
-        return order
-
-    if len(leftmost) <= 1:
-        return induce(leftmost.tolist())
-    is_leftmost = np.zeros(n, bool)
-    is_leftmost[leftmost] = True
-    order = np.array(induce(leftmost.tolist()))
-    names = _names(text, leftmost, order[is_leftmost[order]])
-    return induce(leftmost[_order_reduced(names)].tolist())
-
-
-def _order_reduced(names: np.ndarray) -> np.ndarray:
-    distinct = int(names.max()) + 1
-    if distinct == len(names):
-        out = np.empty(len(names), np.int64)
-        out[names] = np.arange(len(names))
-        return out
-    return np.array(_order_items(names.tolist(), distinct))
+def _firsts(keys: np.ndarray) -> np.ndarray:
+    """True where a run of equal keys starts."""
+    return np.concatenate([[True], keys[1:] != keys[:-1]])
 
 
 def suffix_array(text: np.ndarray, symbols: int) -> np.ndarray:
     """Starts of all suffixes in order. ``text`` ends with 0, which occurs nowhere else."""
-    if len(text) == 1:
-        return np.zeros(1, np.int64)
-    ends = np.cumsum(np.bincount(text, minlength=symbols))
-    types = suffix_types(text)
-    leftmost = _leftmost(types)
-    order = _induce(text, types, leftmost, ends)
-    if len(leftmost) > 1:
-        is_leftmost = np.zeros(len(text), bool)
-        is_leftmost[leftmost] = True
-        names = _names(text, leftmost, order[is_leftmost[order]])
-        order = _induce(text, types, leftmost[_order_reduced(names)], ends)
-    return order
+    n = len(text)
+    keys, size = _first_keys(text.astype(np.int64), symbols)
+    order = np.argsort(keys)
+    rank = np.empty(n, np.int64)
+    places, some, keys = np.arange(n), order, keys[order]
+    while True:
+        # A suffix has the first place of those that are equal so far as its rank.
+        first = _firsts(keys)
+        rank[some] = np.maximum.accumulate(np.where(first, places, 0))
+        shared = np.flatnonzero(~(first & np.concatenate([first[1:], [True]])))
+        if not len(shared):
+            return order
+        places, some = places[shared], some[shared]
+        # Equal suffixes do not reach the last symbol, so something follows.
+        keys = rank[some] * n + rank[some + size]
+        by = np.argsort(keys)
+        some, keys = some[by], keys[by]
+        order[places] = some
+        size *= 2
 
 
 def common_prefixes(text: np.ndarray, order: np.ndarray) -> np.ndarray:
