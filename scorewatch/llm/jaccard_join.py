@@ -1,9 +1,10 @@
 """Near duplicates by the Jaccard similarity of word shingles, joined in signature trees.
 
-A set whose tokens are mostly its own cannot be linked; one exchange of packed tokens finds the others.
-Of these, sets that share none of their rarest tokens cannot be similar enough. Chains through such
-tokens give coarse groups, every link lies inside one of them, and each group is joined exactly in a
-tree.
+A set whose tokens are mostly its own cannot be linked; one exchange of half of all tokens, packed, finds
+the others. Of these, sets that share none of their rarest tokens cannot be similar enough. Chains through such
+tokens give coarse groups, and every link lies inside one of them. Over many sets chance ties unrelated sets
+into one group, so groups that are too large for one task are split by parity sketches, whose distance is
+at most the number of tokens in which two sets differ. Each group is joined exactly in a tree.
 """
 
 from __future__ import annotations
@@ -26,8 +27,13 @@ PERCENT = 75
 #: Buckets of the token counts that order tokens from rare to frequent.
 COUNTERS = 1 << 20
 SLICES = 16
+#: Tokens that a set sends to the comparison beyond those that a link may leave unshared, in percent of its size.
+SPARE = 25
 #: Tokens of the sets that one task joins together. Larger groups are dealt into tiles.
 BLOCK_TOKENS = 2_000_000
+#: Sets, and blocks of tokens, whose sketches one task compares. A sketch is about 50 times smaller than its text.
+SKETCH_SETS = 1 << 15
+SKETCH_BLOCKS = 32
 
 _UPPER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 _SPLIT = bytes.maketrans(SPACES.encode(), b" " * len(SPACES))
@@ -78,6 +84,11 @@ def prefix_length(size: int, percent: int = PERCENT) -> int:
     return size - math.ceil(percent * size / 100) + 1
 
 
+def sent_length(size: int, percent: int = PERCENT) -> int:
+    """Tokens, the smallest of a set, that are compared with those of the other sets."""
+    return min(size, prefix_length(size, percent) - 1 + math.ceil(SPARE * size / 100))
+
+
 def identity(tokens: np.ndarray) -> tuple[int, int]:
     """128-bit identity of a set, in two signed numbers."""
     marks = mix64(tokens), mix64(tokens ^ np.uint64(0x5851F42D4C957F2D))
@@ -103,8 +114,12 @@ def sets_table(docs: DataFrame) -> DataFrame:
     return rows.mapInArrow(measure, "doc_id long, n_shingles long, s1 long, s2 long, mark long")
 
 
-def packed_tokens(docs: DataFrame, parts: int) -> DataFrame:
-    """(part, blob) rows: tokens dealt by hash, four bytes each, with the sets that they belong to."""
+def packed_tokens(docs: DataFrame, parts: int, percent: int = PERCENT) -> DataFrame:
+    """(part, blob) rows: tokens dealt by hash, four bytes each, with the sets that they belong to.
+
+    With many parts nearly every token brings the eight bytes of its set along, so only the tokens that
+    decide are sent: the smallest of each set, ``sent_length`` of them.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces_of(batches):
@@ -112,7 +127,7 @@ def packed_tokens(docs: DataFrame, parts: int) -> DataFrame:
             for text in batch.column("text"):
                 tokens = shingle_set(text.as_py())
                 if len(tokens):
-                    sets[identity(tokens)[0]] = tokens
+                    sets[identity(tokens)[0]] = tokens[: sent_length(len(tokens), percent)]
             if not sets:
                 continue
             nodes = np.fromiter(sets, np.int64, len(sets))
@@ -137,7 +152,7 @@ def packed_tokens(docs: DataFrame, parts: int) -> DataFrame:
 
 
 def shared_counts(packed: DataFrame, parts: int) -> DataFrame:
-    """(s1, shared): how many tokens of each set another set has too, at least.
+    """(s1, shared): how many tokens that a set sends another set sends too, at least.
 
     Tokens are compared by their part and 32 more bits; a rare false match only keeps a set longer.
     """
@@ -180,11 +195,15 @@ def shared_counts(packed: DataFrame, parts: int) -> DataFrame:
 def candidate_texts(docs: DataFrame, classes: DataFrame, percent: int = PERCENT) -> DataFrame:
     """One text (s1, n_shingles, text) of each set that shares enough tokens for a link.
 
-    It is fetched by id and mark, as an id may stand on other texts too.
+    Linked sets share ``least`` tokens or more, and neither is smaller than that. Of two linked sets take
+    the one whose sent tokens end first: up to there the other set sends all that both have, and behind
+    there lie no more tokens than a link may leave unshared. So both send the spare tokens of that set, at
+    least, in common. The text is fetched by id and mark, as an id may stand on other texts too.
     """
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    counts = shared_counts(packed_tokens(docs, parts), parts)
-    enough = 100 * F.col("shared") >= percent * F.col("n_shingles")
+    counts = shared_counts(packed_tokens(docs, parts, percent), parts)
+    least = f"(({percent} * n_shingles + 99) div 100)"
+    enough = F.expr(f"shared >= ({min(SPARE, percent)} * {least} + 99) div 100")
     alive = classes.join(counts, "s1").where(enough).select("rep", "mark", "s1", "n_shingles")
     texts = docs.where("doc_id is not null").select(F.col("doc_id").alias("rep"), text_mark(docs).alias("mark"), "text")
     return pin(alive.join(texts, ["rep", "mark"]).select("s1", "n_shingles", "text"), "jaccard-candidates")
@@ -270,6 +289,79 @@ def _tree_links(table: pa.Table, percent: int) -> pa.Table:
     return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
 
+def parity_sketch(tokens: np.ndarray, words: int) -> bytes:
+    """For each of ``64 * words`` bits, whether the set has an odd number of the tokens that fall on it."""
+    at = (tokens % np.uint64(64 * words)).astype(np.int64)
+    return np.packbits((np.bincount(at, minlength=64 * words) & 1).astype(np.uint8), bitorder="little").tobytes()
+
+
+def _possible_ties(table: pa.Table, percent: int) -> pa.Table:
+    """Ties (a, b) of a task's sets: each set with the first of those that it reaches by possible links.
+
+    Of every pair the smaller set is in the band ``low``; the two parts of a piece are only compared with
+    each other, as each has a piece of its own. Sets that are tied already are not compared again.
+    """
+    node, first = np.unique(table.column("s1").to_numpy(), return_index=True)
+    size, band, part = (table.column(c).to_numpy()[first] for c in ("n_shingles", "band", "part"))
+    order = np.argsort(size, kind="stable")
+    node, size, band, part, first = node[order], size[order], band[order], part[order], first[order]
+    bits = np.frombuffer(b"".join(table.column("sketch").to_pylist()), np.uint64).reshape(table.num_rows, -1)[first]
+    two = len(np.unique(part)) > 1
+    ends = np.searchsorted(size, size * 100 // percent, "right")
+    label = np.arange(len(node))
+    for i in np.flatnonzero(band == table.column("low")[0].as_py()).tolist():
+        at = slice(i + 1, ends[i])
+        open_ = label[at] != label[i]
+        if two:
+            open_ &= part[at] != part[i]
+        others = np.flatnonzero(open_) + i + 1
+        both = size[others] + size[i]
+        differ = both - 2 * (-(-percent * both // (100 + percent)))
+        found = others[np.bitwise_count(bits[others] ^ bits[i]).sum(1, dtype=np.int64) <= differ]
+        if len(found):
+            label[np.isin(label, label[found])] = label[i]
+    _, least, at = np.unique(label, return_index=True, return_inverse=True)
+    a, b = node, node[least[at]]
+    return pa.table({"a": pa.array(a[a != b], pa.int64()), "b": pa.array(b[a != b], pa.int64())})
+
+
+def split_groups(large: DataFrame, texts: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """(s1, root) of the groups that possible links leave of the given ones; sets without any are left out.
+
+    ``large`` has s1, n_shingles, root, and the tokens and sets of the root's group. Only sketches are dealt
+    into tiles. Two linked sets lie in one band of sizes or in neighbouring ones, and a set has a sketch for
+    its band and one for the band below, as wide as the sets that meet there are large.
+    """
+    step = math.log(100 / percent)
+    tasks = F.greatest(F.col("tokens") / (SKETCH_BLOCKS * BLOCK_TOKENS), F.col("sets") / SKETCH_SETS)
+    rows = large.join(texts.select("s1", "text"), "s1").select(
+        "s1", "n_shingles", "root", F.floor(F.log("n_shingles") / step).cast("int").alias("band"),
+        F.ceil(2 * tasks).cast("int").alias("parts"), "text",
+    )
+
+    def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in pieces_of(batches):
+            sets = [shingle_set(text.as_py()) for text in batch.column("text")]
+            bands = batch.column("band").to_pylist()
+            for below in (1, 0):
+                lows = [band - below for band in bands]
+                words = [math.ceil((100 / percent) ** (low + 2) / 64) for low in lows]
+                made = [parity_sketch(tokens, n) for tokens, n in zip(sets, words, strict=True)]
+                columns = [*batch.columns[:-1], pa.array(lows, pa.int32()), pa.array(made, pa.binary())]
+                yield pa.RecordBatch.from_arrays(columns, names=["s1", "n_shingles", "root", "band", "parts", "low", "sketch"])
+
+    made = rows.mapInArrow(sketch, "s1 long, n_shingles long, root long, band int, parts int, low int, sketch binary")
+    tiles = (
+        made.withColumn("part", F.pmod(F.xxhash64("s1"), F.col("parts")).cast("int"))
+        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+        .withColumn("piece", F.concat_ws(":", "root", "low", F.least("part", "other"), F.greatest("part", "other")))
+        .select("piece", "s1", "n_shingles", "band", "part", "low", "sketch")
+    )
+    work = lambda table: _possible_ties(table, percent)
+    ties = tiles.groupBy("piece").applyInArrow(work, "a long, b long")
+    return components(ties, "jaccard-split").withColumnRenamed("node", "s1")
+
+
 def link_classes(docs: DataFrame, sets: DataFrame, percent: int = PERCENT) -> tuple[DataFrame, DataFrame]:
     """Classes of equal sets (s1, s2, rep and the mark of its text) and the links (a, b) that tie their s1 together."""
     classes = pin(
@@ -283,7 +375,15 @@ def link_classes(docs: DataFrame, sets: DataFrame, percent: int = PERCENT) -> tu
     edges = candidate_edges(prefix_rows(texts, token_counts(texts), percent))
     coarse = components(edges, "jaccard-coarse").withColumnRenamed("node", "s1")
     members = pin(texts.select("s1", "n_shingles").distinct().join(coarse, "s1").select("s1", "root", "n_shingles"), "jaccard-members")
-    sizes = members.groupBy("root").agg(F.sum("n_shingles").alias("tokens"))
+    counted = [F.sum("n_shingles").alias("tokens"), F.count("*").alias("sets")]
+    sizes = members.groupBy("root").agg(*counted)
+    if (sizes.agg(F.max("tokens")).first()[0] or 0) > BLOCK_TOKENS:
+        sized = members.join(sizes, "root")
+        large = sized.where(F.col("tokens") > BLOCK_TOKENS)
+        split = split_groups(large, texts, percent).join(large.select("s1", "n_shingles"), "s1")
+        fitting = sized.where(F.col("tokens") <= BLOCK_TOKENS).select("s1", "root", "n_shingles")
+        members = pin(fitting.union(split.select("s1", "root", "n_shingles")), "jaccard-members")
+        sizes = members.groupBy("root").agg(*counted)
     total = sizes.agg(F.sum("tokens")).first()[0] or 0
     blocks = max(1, math.ceil(4 * total / BLOCK_TOKENS))
     sized = members.join(sizes, "root")
