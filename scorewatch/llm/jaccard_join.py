@@ -1,7 +1,7 @@
 """Near duplicates by the Jaccard similarity of word shingles, joined in signature trees.
 
-A set whose tokens are mostly its own cannot be linked; one exchange of half of all tokens, packed, finds
-the others. Of these, sets that share none of their rarest tokens cannot be similar enough. Chains through such
+A set whose tokens are mostly its own cannot be linked; one exchange of half of all tokens, packed, finds most
+of these, and one of all tokens of the sets that are left finds the rest. Of the others, sets that share none of their rarest tokens cannot be similar enough. Chains through such
 tokens give coarse groups, and every link lies inside one of them. Over many sets chance ties unrelated sets
 into one group, so groups that are too large for one task are split by parity sketches, whose distance is
 at most the number of tokens in which two sets differ. Each group is joined exactly in a tree.
@@ -114,11 +114,11 @@ def sets_table(docs: DataFrame) -> DataFrame:
     return rows.mapInArrow(measure, "doc_id long, n_shingles long, s1 long, s2 long, mark long")
 
 
-def packed_tokens(docs: DataFrame, parts: int, percent: int = PERCENT) -> DataFrame:
+def packed_tokens(docs: DataFrame, parts: int, percent: int = PERCENT, whole: bool = False) -> DataFrame:
     """(part, blob) rows: tokens dealt by hash, four bytes each, with the sets that they belong to.
 
     With many parts nearly every token brings the eight bytes of its set along, so only the tokens that
-    decide are sent: the smallest of each set, ``sent_length`` of them.
+    decide are sent: the smallest of each set, ``sent_length`` of them, or all if ``whole``.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -127,7 +127,7 @@ def packed_tokens(docs: DataFrame, parts: int, percent: int = PERCENT) -> DataFr
             for text in batch.column("text"):
                 tokens = shingle_set(text.as_py())
                 if len(tokens):
-                    sets[identity(tokens)[0]] = tokens[: sent_length(len(tokens), percent)]
+                    sets[identity(tokens)[0]] = tokens if whole else tokens[: sent_length(len(tokens), percent)]
             if not sets:
                 continue
             nodes = np.fromiter(sets, np.int64, len(sets))
@@ -148,7 +148,7 @@ def packed_tokens(docs: DataFrame, parts: int, percent: int = PERCENT) -> DataFr
             columns = [pa.array([k for k, _ in out], pa.int32()), pa.array([d for _, d in out], pa.binary())]
             yield pa.RecordBatch.from_arrays(columns, names=["part", "blob"])
 
-    return docs.where("doc_id is not null").select("text").mapInArrow(run, "part int, blob binary")
+    return docs.select("text").mapInArrow(run, "part int, blob binary")
 
 
 def shared_counts(packed: DataFrame, parts: int) -> DataFrame:
@@ -198,15 +198,19 @@ def candidate_texts(docs: DataFrame, classes: DataFrame, percent: int = PERCENT)
     Linked sets share ``least`` tokens or more, and neither is smaller than that. Of two linked sets take
     the one whose sent tokens end first: up to there the other set sends all that both have, and behind
     there lie no more tokens than a link may leave unshared. So both send the spare tokens of that set, at
-    least, in common. The text is fetched by id and mark, as an id may stand on other texts too.
+    least, in common. What is left is counted again with all tokens. The text is fetched by id and mark, as
+    an id may stand on other texts too.
     """
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    counts = shared_counts(packed_tokens(docs, parts, percent), parts)
+    counts = shared_counts(packed_tokens(docs.where("doc_id is not null"), parts, percent), parts)
     least = f"(({percent} * n_shingles + 99) div 100)"
     enough = F.expr(f"shared >= ({min(SPARE, percent)} * {least} + 99) div 100")
     alive = classes.join(counts, "s1").where(enough).select("rep", "mark", "s1", "n_shingles")
     texts = docs.where("doc_id is not null").select(F.col("doc_id").alias("rep"), text_mark(docs).alias("mark"), "text")
-    return pin(alive.join(texts, ["rep", "mark"]).select("s1", "n_shingles", "text"), "jaccard-candidates")
+    found = pin(alive.join(texts, ["rep", "mark"]).select("s1", "n_shingles", "text"), "jaccard-half")
+    counts = shared_counts(packed_tokens(found, parts, percent, whole=True), parts)
+    still = counts.join(found.select("s1", "n_shingles").distinct(), "s1").where(F.expr(f"shared >= {least}")).select("s1")
+    return pin(found.join(still, "s1", "left_semi"), "jaccard-candidates")
 
 
 def prefix_rows(candidates: DataFrame, counts: np.ndarray, percent: int = PERCENT) -> DataFrame:
